@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidentia.llm.components import group_ids
+from evidentia.llm.residue import mark_residue
 from evidentia.sources.tables import norm_id, table
 
 
@@ -20,5 +21,10 @@ def p2_found(spark, sf_dir):
     return group_ids(spark, pairs.unionByName(listed_pairs(table(spark, sf_dir, "news_event"))))
 
 
-QUERIES = {"p2_found": p2_found}
+def p6_found(spark, sf_dir):
+    rows = table(spark, sf_dir, "article").select(norm_id("id").alias("id"), "title", "source_name", "source_domain", "published")
+    return mark_residue(rows).where("residue is not null and id is not null").select("id").distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p6_found": p6_found}
 ORACLE = {}
