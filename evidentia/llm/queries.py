@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidentia.llm.components import group_ids
+from evidentia.llm.language import fit, identify
 from evidentia.llm.residue import mark_residue
 from evidentia.sources.tables import norm_id, table
 
@@ -16,6 +17,23 @@ def listed_pairs(events):
     return rows.select(F.element_at("ids", 1).alias("a"), F.explode(F.slice("ids", F.lit(2), F.size("ids") - 1)).alias("b"))
 
 
+def _content(spark, sf_dir, *columns):
+    """Articles with a usable title (those of problem 6 kept out), redeliveries included."""
+    names = dict.fromkeys([*columns, "title", "source_name", "source_domain", "published"])
+    rows = table(spark, sf_dir, "article").select(norm_id("id").alias("id"), *names).where("id is not null")
+    return mark_residue(rows).where("residue is null").drop("residue")
+
+
+def p1_segments(spark, sf_dir):
+    articles = _content(spark, sf_dir, "lang")
+    return identify(articles, fit(table(spark, sf_dir, "article")))
+
+
+def p1_found(spark, sf_dir):
+    found = p1_segments(spark, sf_dir)
+    return found.where("label is null or label <> lang").select("id", "lang").distinct()
+
+
 def p2_found(spark, sf_dir):
     pairs = table(spark, sf_dir, "match_pair").select(norm_id("id_a").alias("a"), norm_id("id_b").alias("b"))
     return group_ids(spark, pairs.unionByName(listed_pairs(table(spark, sf_dir, "news_event"))))
@@ -26,5 +44,5 @@ def p6_found(spark, sf_dir):
     return mark_residue(rows).where("residue is not null and id is not null").select("id").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p6_found": p6_found}
 ORACLE = {}
