@@ -114,9 +114,9 @@ def message(text: Column, outlet_name: Column, outlet_host: Column) -> Column:
     """The folded and masked form of a text."""
     # each step uses the one before once only: nested conditions would repeat it in the generated code
     a, b = pairs_1to1(folding())
-    t = F.lower(F.translate(text, a, b))
+    t = F.lower(F.when(text.rlike("[^\\x00-\\x7f]"), F.translate(text, a, b)).otherwise(text))
     hostname = F.regexp_replace(F.lower(F.trim(outlet_host)), "^www\\.", "")
-    for x in (F.lower(F.translate(outlet_name, a, b)), hostname):
+    for x in (F.lower(outlet_name), hostname):
         t = F.replace(t, F.coalesce(F.when(F.length(x) > 2, x), F.lit("\x00")), F.lit("<src>"))
     t = F.regexp_replace(t, "[0-9]+", "0")
     t = F.regexp_replace(t, " *\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})$", "")
@@ -133,7 +133,7 @@ def leaf(m: Column) -> Column:
 def has_slot(text: Column) -> Column:
     """An unfilled placeholder stands in the text (its full-width and look-alike forms brought to one before)."""
     a, b = pairs_1to1(folding())
-    return F.translate(text, a, b).rlike(SLOT)
+    return F.when(text.rlike("[{}@%_$#<\\[｛｝＠％＿＄＃＜［]"), F.translate(text, a, b).rlike(SLOT)).otherwise(False)
 
 
 def mark_residue(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.5) -> DataFrame:
@@ -142,13 +142,15 @@ def mark_residue(df: DataFrame, text: str = "title", name: str = "source_name",
     day = F.coalesce(F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")), F.lit(0))
     outlet_bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({host}), 63) as int))")
     messages = rows.where("_m is not null").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), F.bit_or(outlet_bit).alias("outlets"), F.min(F.when(day > 0, day)).alias("first"), F.max(day).alias("last"))
-    leaves = messages.groupBy(leaf(F.col("_m")).alias("leaf")).agg(F.sum("n").alias("in_leaf"))
-    repeated = messages.where((F.col("n") >= min_repeats) & (F.bit_count("outlets") >= min_outlets) & (F.col("last") - F.col("first") >= min_days) & F.col("_m").rlike(_CUE) & (F.length("_m") <= 80))
-    mined = repeated.withColumn("leaf", leaf(F.col("_m"))).join(leaves, "leaf").where(F.col("n") >= share * F.col("in_leaf")).select("_m")
-    worded = messages.where(F.col("_m").rlike(_NOTICE)).select("_m")
+    worded = F.col("_m").rlike(_NOTICE)
+    repeated = (F.col("n") >= min_repeats) & (F.bit_count("outlets") >= min_outlets) & (F.col("last") - F.col("first") >= min_days) & F.col("_m").rlike(_CUE) & (F.length("_m") <= 80)
+    # one pass over the messages: a leaf's size, and those of its messages that may be notices
+    kinds = messages.select("_m", "n", leaf(F.col("_m")).alias("leaf"), F.when(worded, "worded").when(repeated, "repeated").alias("why"))
+    leaves = kinds.groupBy("leaf").agg(F.sum("n").alias("in_leaf"), F.collect_list(F.when(F.col("why").isNotNull(), F.struct("_m", "n", "why"))).alias("some"))
+    mined = leaves.select("in_leaf", F.explode("some").alias("x")).where((F.col("x.why") == "worded") | (F.col("x.n") >= share * F.col("in_leaf"))).select("x._m")
     scratch = Scratch(df.sparkSession, "residue")
     # written, so that its size is known and the join below is a broadcast only while it is small
-    verdict = scratch.keep(worded.unionByName(mined).distinct().withColumn("_notice", F.lit(True)), "verdict")
+    verdict = scratch.keep(mined.withColumn("_notice", F.lit(True)), "verdict")
     out = rows.join(verdict, "_m", "left")
     kind = F.when(F.col(text).isNull(), None).when(F.col("_m") == "", "empty").when(F.col("_notice"), "notice").when(has_slot(F.col(text)), "slot")
     return out.withColumn("residue", kind).select(*df.columns, "residue")
