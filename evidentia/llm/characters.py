@@ -11,12 +11,13 @@ INVISIBLE = [0x00AD, 0x034F, 0x061C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x1
 # Kinds of blank.
 BLANK = [0x0009, 0x000A, 0x000B, 0x000C, 0x000D, 0x0085, 0x00A0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
-# Cyrillic, Greek and other letters drawn like a Latin letter, and that letter.
+# Cyrillic, Greek and other letters drawn like a Latin letter, and that letter; hyphens drawn like hyphen-minus.
 ALIKE = {
     "А": "A", "В": "B", "С": "C", "Е": "E", "Н": "H", "І": "I", "Ј": "J", "К": "K", "М": "M", "О": "O", "Р": "P", "Ѕ": "S", "Т": "T", "Х": "X", "У": "Y", "Ү": "Y", "Ԛ": "Q", "Ԝ": "W", "Ѵ": "V", "Ԍ": "G", "Ӏ": "I",
     "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "у": "y", "ү": "y", "х": "x", "ԝ": "w", "ѵ": "v",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
     "ο": "o", "ν": "v", "α": "a", "ι": "i", "ρ": "p", "ϲ": "c", "ϳ": "j", "υ": "u", "κ": "k", "χ": "x",
+    "\u2010": "-", "\u2011": "-",
     "ɑ": "a", "ɡ": "g", "ı": "i", "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "զ": "q", "Տ": "S", "Լ": "L", "Օ": "O", "Ս": "U",
 }
 

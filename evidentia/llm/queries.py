@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.components import group_ids
 from evidentia.llm.language import fit, identify
+from evidentia.llm.one_form import one_form
 from evidentia.llm.residue import mark_residue
+from evidentia.scratch import Scratch
 from evidentia.sources.tables import norm_id, table
 
 
@@ -39,10 +41,33 @@ def p2_found(spark, sf_dir):
     return group_ids(spark, pairs.unionByName(listed_pairs(table(spark, sf_dir, "news_event"))))
 
 
+def _forms(spark, sf_dir):
+    """(field, id, text_hash, form) of titles (those of problem 6 kept out) and summaries."""
+    articles = table(spark, sf_dir, "article")
+    titles = _content(spark, sf_dir).select(F.lit("title").alias("field"), "id", F.col("title").alias("text"))
+    summaries = articles.select(F.lit("summary").alias("field"), norm_id("id").alias("id"), F.col("summary").alias("text")).where("id is not null and summary <> ''")
+    return one_form(titles.unionByName(summaries), ["field", "id"])
+
+
+def p5_forms(spark, sf_dir):
+    return _forms(spark, sf_dir).select("field", "id", "form").distinct()
+
+
+def p5_found(spark, sf_dir):
+    scratch = Scratch(spark, "forms")
+    # the form as two hashes: what is compared below is 128 bits wide, and no text is moved
+    rows = scratch.keep(_forms(spark, sf_dir).select("field", "id", "text_hash", F.xxhash64("form").alias("h1"), F.xxhash64("form", F.lit(7)).alias("h2")), "rows")
+    form = ["field", "h1", "h2"]
+    several = rows.groupBy(*form).agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi")).where("lo <> hi").select(*form)
+    hits = scratch.keep(rows.join(several, form).distinct(), "hits")
+    a, b = hits.select(*form, F.col("id").alias("id_a"), F.col("text_hash").alias("ta")), hits.select(*form, F.col("id").alias("id_b"), F.col("text_hash").alias("tb"))
+    return a.join(b, form).where("id_a < id_b and ta <> tb").select("field", "id_a", "id_b").distinct()
+
+
 def p6_found(spark, sf_dir):
     rows = table(spark, sf_dir, "article").select(norm_id("id").alias("id"), "title", "source_name", "source_domain", "published")
     return mark_residue(rows).where("residue is not null and id is not null").select("id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found}
 ORACLE = {}
