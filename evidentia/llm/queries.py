@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.components import group_ids
 from evidentia.llm.language import fit, identify
+from evidentia.llm.mixture import mix
 from evidentia.llm.one_form import one_form
 from evidentia.llm.residue import mark_residue
+from evidentia.llm.tokens import encode
 from evidentia.scratch import Scratch
 from evidentia.sources.tables import norm_id, table
 
@@ -69,5 +71,17 @@ def p6_found(spark, sf_dir):
     return mark_residue(rows).where("residue is not null and id is not null").select("id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found}
+def p8_ids(spark, sf_dir):
+    return encode(table(spark, sf_dir, "documents"))
+
+
+def p9_mix(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))[0]
+
+
+def p9_shares(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))[1]
+
+
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLE = {}
