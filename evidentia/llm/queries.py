@@ -9,6 +9,7 @@ from evidentia.llm.language import fit, identify
 from evidentia.llm.mixture import mix
 from evidentia.llm.one_form import one_form
 from evidentia.llm.residue import mark_residue
+from evidentia.llm.sentences import sentences
 from evidentia.llm.tokens import encode
 from evidentia.scratch import Scratch
 from evidentia.sources.tables import norm_id, table
@@ -83,5 +84,9 @@ def p9_shares(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))[1]
 
 
-QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+def p10_found(spark, sf_dir):
+    return sentences(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLE = {}
