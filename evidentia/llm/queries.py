@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evidentia.llm.components import group_ids
+from evidentia.llm.hash_forest import split_batches
 from evidentia.llm.language import fit, identify
 from evidentia.llm.mixture import mix
 from evidentia.llm.one_form import one_form
@@ -44,6 +45,14 @@ def p2_found(spark, sf_dir):
     return group_ids(spark, pairs.unionByName(listed_pairs(table(spark, sf_dir, "news_event"))))
 
 
+def p3_found(spark, sf_dir):
+    return split_batches(table(spark, sf_dir, "news_event"))[1]
+
+
+def p3_accepted(spark, sf_dir):
+    return split_batches(table(spark, sf_dir, "news_event"))[0]
+
+
 def _forms(spark, sf_dir):
     """(field, id, text_hash, form) of titles (those of problem 6 kept out) and summaries."""
     articles = table(spark, sf_dir, "article")
@@ -88,5 +97,5 @@ def p10_found(spark, sf_dir):
     return sentences(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p3_found": p3_found, "p3_accepted": p3_accepted, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLE = {}
