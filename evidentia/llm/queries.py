@@ -8,6 +8,7 @@ from evidentia.llm.components import group_ids
 from evidentia.llm.hash_forest import split_batches
 from evidentia.llm.language import fit, identify
 from evidentia.llm.mixture import mix
+from evidentia.llm.near_titles import near_pairs
 from evidentia.llm.one_form import one_form
 from evidentia.llm.residue import mark_residue
 from evidentia.llm.sentences import sentences
@@ -81,6 +82,18 @@ def p6_found(spark, sf_dir):
     return mark_residue(rows).where("residue is not null and id is not null").select("id").distinct()
 
 
+def p7_groups(spark, sf_dir):
+    """(id, group_id) of articles whose outlet published their headline again within hours."""
+    pairs = Scratch(spark, "p7").keep(near_pairs(_content(spark, sf_dir)), "pairs")
+    return group_ids(spark, pairs)
+
+
+def p7_found(spark, sf_dir):
+    groups = Scratch(spark, "p7").keep(p7_groups(spark, sf_dir), "groups")
+    a, b = groups.select("group_id", F.col("id").alias("id_a")), groups.select("group_id", F.col("id").alias("id_b"))
+    return a.join(b, "group_id").where("id_a < id_b").select("id_a", "id_b")
+
+
 def p8_ids(spark, sf_dir):
     return encode(table(spark, sf_dir, "documents"))
 
@@ -97,5 +110,5 @@ def p10_found(spark, sf_dir):
     return sentences(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p3_found": p3_found, "p3_accepted": p3_accepted, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p3_found": p3_found, "p3_accepted": p3_accepted, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLE = {}
