@@ -54,10 +54,11 @@ def prefix_depth(target: float, trees: int = TREES, similarity: float = 0.5) ->
 
 def labels(ids: Column) -> Column:
     """An array of (tree, label): label is DEPTH hashes of 8 bytes as hexadecimal digits."""
-    def least(seed: int) -> Column:
-        return F.lpad(F.hex(F.array_min(F.transform(ids, lambda x: F.xxhash64(x, F.lit(seed))))), 16, "0")
+    def least(seed: Column) -> Column:
+        return F.lpad(F.hex(F.array_min(F.transform(ids, lambda x: F.xxhash64(x, seed)))), 16, "0")
 
-    return F.array(*(F.struct(F.lit(t).alias("tree"), F.concat(*(least(t * DEPTH + k) for k in range(DEPTH))).alias("label")) for t in range(TREES)))
+    levels = F.sequence(F.lit(0), F.lit(DEPTH - 1))
+    return F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.array_join(F.transform(levels, lambda k: least(t * DEPTH + k)), "").alias("label")))
 
 
 def alike(a: Column, b: Column) -> Column:
@@ -92,12 +93,15 @@ class Forest:
     def _prefix(self, col: str = "label") -> Column:
         return F.substring(col, 1, 16 * self.depth)
 
-    def add(self, accepted: DataFrame, run: str) -> None:
-        """accepted: row_id, event, ids."""
-        self.scratch.keep(accepted, f"rows-{run}")
-        rows = self.spark.read.parquet(self.scratch.path(f"rows-{run}"))
-        entries = rows.where("size(ids) > 0").select("row_id", F.size("ids").alias("n"), F.explode(labels(F.col("ids"))).alias("l")).select("row_id", "n", "l.tree", "l.label")
-        self.scratch.keep(entries.sortWithinPartitions("tree", "label"), f"labels-{run}")
+    def entries(self, sets: DataFrame, name: str) -> DataFrame:
+        """(key, n, tree, label) of sets (key, ids), as a table."""
+        return self.scratch.keep(sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("ids"))).alias("l")).select("key", "n", "l.tree", "l.label"), name)
+
+    def add(self, accepted: DataFrame, entries: DataFrame, run: str) -> None:
+        """accepted: row_id, event, set, ids; entries: those of its sets."""
+        rows = self.scratch.keep(accepted, f"rows-{run}")
+        own = entries.withColumnRenamed("key", "set").join(rows.select("set", F.col("row_id").alias("key")), "set").select("key", "n", "tree", "label")
+        self.scratch.keep(own.sortWithinPartitions("tree", "label"), f"labels-{run}")
         self.runs.append(run)
         if len(self.runs) > self.most_runs:
             self._merge()
@@ -112,11 +116,11 @@ class Forest:
             self.scratch.drop(f"labels-{r}")
         self.runs = [name]
 
-    def links(self, sets: DataFrame, against: DataFrame | None = None) -> DataFrame:
-        """(key_a, key_b) of alike sets. sets: key, ids; against: key, ids, or None for the index (key_a is then a row_id)."""
-        own = sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("ids"))).alias("l")).select(F.col("key").alias("key_b"), F.col("n").alias("n_b"), F.col("l.tree").alias("tree"), F.substring("l.label", 1, 16 * self.depth).alias("prefix"))
-        if against is None:
-            other = self._read("labels").select(F.col("row_id").alias("key_a"), F.col("n").alias("n_a"), "tree", self._prefix().alias("prefix"))
+    def links(self, name: str, sets: DataFrame, entries: DataFrame, history: bool) -> DataFrame:
+        """(key_a, key_b) of alike sets; key_a is a row of the index, or, without history, an earlier one of the sets themselves."""
+        own = entries.select(F.col("key").alias("key_b"), F.col("n").alias("n_b"), "tree", self._prefix().alias("prefix"))
+        if history:
+            other = self._read("labels").select(F.col("key").alias("key_a"), F.col("n").alias("n_a"), "tree", self._prefix().alias("prefix"))
             data = self._read("rows").select(F.col("row_id").alias("key_a"), F.col("ids").alias("ids_a"))
             order = F.lit(True)
         else:
@@ -124,11 +128,13 @@ class Forest:
             data = sets.select(F.col("key").alias("key_a"), F.col("ids").alias("ids_a"))
             order = F.col("key_a") < F.col("key_b")
         bucket = ["tree", "prefix"]
-        crowded = other.groupBy(*bucket).count().where(F.col("count") > self.hot).select(*bucket)
-        cold = other.join(F.broadcast(crowded) if not crowded.limit(10_001).count() > 10_000 else crowded, bucket, "left_anti")
-        pairs = own.join(cold, bucket).where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
         mine = sets.select(F.col("key").alias("key_b"), F.col("ids").alias("ids_b"))
-        if crowded.limit(1).count():
+        crowded = self.scratch.keep(other.groupBy(*bucket).count().where(F.col("count") > self.hot).select(*bucket), f"crowded-{name}")
+        met = own
+        if n_crowded := crowded.count():
+            met = own.join(crowded, bucket, "left_anti")
+        pairs = met.join(other, bucket).where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
+        if n_crowded:
             pairs = pairs.unionByName(self._by_rarest(other.join(crowded, bucket, "left_semi").select("key_a").distinct(), data, own.join(crowded, bucket, "left_semi").select("key_b").distinct(), mine, order))
         return pairs.distinct().join(data, "key_a").join(mine, "key_b").where(alike(F.col("ids_a"), F.col("ids_b"))).select("key_a", "key_b")
 
@@ -159,13 +165,14 @@ def split_batches(events: DataFrame, target: float = 0.999) -> tuple[DataFrame,
         first = batch.where("size(ids) > 0").groupBy("ids").agg(F.min("row_id").alias("set"))
         mine = scratch.keep(batch.join(first, "ids", "left").select("row_id", "event", F.coalesce("set", -F.col("row_id") - 1).alias("set"), "ids"), f"batch-{b}")
         sets = mine.where("set = row_id").select(F.col("set").alias("key"), "ids")
-        edge = scratch.keep(forest.links(sets, sets).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), f"edge-{b}")
+        entries = forest.entries(sets, f"entries-{b}")
+        edge = scratch.keep(forest.links(f"own-{b}", sets, entries, False).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), f"edge-{b}")
         both = edge.unionByName(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         plain = mine.select("row_id", "event", "set")
         open_ = plain
         parts = []
         if forest.runs:
-            by_set = forest.links(sets).select(F.col("key_a").alias("row_a"), F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
+            by_set = forest.links(f"old-{b}", sets, entries, True).select(F.col("key_a").alias("row_a"), F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
             by_event = forest._read("rows").select(F.col("row_id").alias("row_a"), "event").join(plain, "event").select("row_a", F.col("row_id").alias("row_b"))
             old = scratch.keep(by_set.unionByName(by_event).distinct(), f"old-{b}")
             found.append(f"old-{b}")
@@ -193,7 +200,9 @@ def split_batches(events: DataFrame, target: float = 0.999) -> tuple[DataFrame,
         near_set = a.select("row_a", F.col("set").alias("a")).join(both, "a").select("row_a", F.col("b").alias("set")).join(later.select("row_b", "set"), "set").select("row_a", "row_b")
         scratch.keep(same_event.unionByName(same_set).unionByName(near_set).where("row_a < row_b").distinct(), f"new-{b}")
         found.append(f"new-{b}")
-        forest.add(mine.join(accepted.select("row_id"), "row_id", "left_semi").select("row_id", "event", "ids"), f"b{b}")
+        forest.add(mine.join(accepted.select("row_id"), "row_id", "left_semi"), entries, f"b{b}")
+        for name in (f"batch-{b}", f"entries-{b}", f"edge-{b}", *parts):
+            scratch.drop(name)
     if not batches:
         empty = rows.select("row_id")
         return empty, empty.select(F.col("row_id").alias("row_a"), F.col("row_id").alias("row_b"))
