@@ -1,6 +1,7 @@
 """One form for text that looks the same: full-width, decomposed, compatibility, ligature, look-alike and invisible characters.
 
-Texts are exploded to positioned code points; a broadcast join with the fixed
+Texts are exploded to positioned code points (runs that stand for themselves
+stay together); a broadcast join with the fixed
 table of mappings gives what each stands for (nothing, for invisible ones; a
 plain blank for every kind of blank); the text is rebuilt in order of position.
 Texts that then hold combining marks or Hangul letters go on: every code point
@@ -34,8 +35,8 @@ from evidentia.llm.characters import single
 
 
 @lru_cache(1)
-def plain_class() -> str:
-    """A regular expression for a character outside the ranges whose characters stand for themselves and combine with nothing."""
+def plain_ranges() -> str:
+    """The inside of a character class: ranges whose characters stand for themselves and combine with nothing."""
     table = single()
     blocks = [(0x20, 0x7E), (0xA1, 0x24F), (0x2013, 0x201D), (0x2022, 0x2022), (0x3001, 0x3015), (0x3041, 0x3096), (0x30A1, 0x30FE), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3)]
     ranges = []
@@ -48,11 +49,17 @@ def plain_class() -> str:
             if not good and start is not None:
                 ranges.append((start, c - 1))
                 start = None
-    return "[^" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "]"
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges)
 
 
-#: Combining marks, Hangul letters, and what else takes part in composition.
-_COMBINES = "[\\p{M}\\u1100-\\u11ff\\ua960-\\ua97f\\ud7b0-\\ud7ff]"
+@lru_cache(1)
+def combining_class() -> str:
+    """A regular expression for what takes part in composition: combining marks, Hangul letters, and characters that stand for such."""
+    def takes_part(text: str) -> bool:
+        return any(unicodedata.category(x)[0] == "M" or 0x1100 <= ord(x) <= 0x11FF or 0xA960 <= ord(x) <= 0xA97F or 0xD7B0 <= ord(x) <= 0xD7FF for x in text)
+
+    more = sorted(c for c, v in single().items() if takes_part(v))
+    return "[\\p{M}\\u1100-\\u11ff\\ua960-\\ua97f\\ud7b0-\\ud7ff" + "".join(f"\\x{{{c:x}}}" for c in more) + "]"
 
 
 def _frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -90,31 +97,36 @@ def one_form(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys..., text_hash, form) for every row of df with a text; keys name a row, repeated rows come out once or more."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.select(*keys, F.col(text).alias("_t"), F.xxhash64(text).alias("text_hash")).where("_t is not null")
-    odd = F.col("_t").rlike(plain_class())
+    names, keys = keys, [f"_key{i}" for i in range(len(keys))]
+    rows = df.select(*(F.col(c).alias(k) for c, k in zip(names, keys)), F.col(text).alias("_t"), F.xxhash64(text).alias("text_hash")).where("_t is not null")
+    # as many bytes as characters: ASCII, of which only control characters stand for something else
+    ascii_only = F.octet_length("_t") == F.char_length("_t")
+    odd = F.when(ascii_only, F.col("_t").rlike("[\\x00-\\x1f\\x7f]")).otherwise(F.col("_t").rlike(f"[^{plain_ranges()}]"))
     own = rows.where(~odd).select(*keys, "text_hash", F.col("_t").alias("form"))
     by = [*keys, "text_hash"]
 
     mapping = _frame(spark, [(chr(c), v) for c, v in single().items()], "ch string, becomes string")
-    points = rows.where(odd).repartition(n, *keys).select(*by, F.posexplode(_letters("_t")).alias("pos", "ch"))
-    mapped = points.join(mapping, "ch", "left").select(*by, "pos", F.coalesce("becomes", "ch").alias("ch"))
-    # a set, so that a repeated row does not double its text
-    built = mapped.groupBy(*by).agg(F.sort_array(F.collect_set(F.struct("pos", "ch"))).alias("x")).select(*by, F.concat_ws("", "x.ch").alias("form"))
-    combines = F.col("form").rlike(_COMBINES)
+    # runs of characters that stand for themselves stay together as one piece
+    pieces = F.regexp_extract_all("_t", F.lit(f"(?s)[{plain_ranges()}]+|."), F.lit(0))
+    once = rows.where(odd).repartition(n, *keys).groupBy(*by).agg(F.first("_t").alias("_t"))
+    combines = F.col("_t").rlike(combining_class())
+
+    def mapped(some: DataFrame) -> DataFrame:
+        points = some.select(*by, F.posexplode(pieces).alias("pos", "ch")).join(mapping, "ch", "left").select(*by, "pos", F.coalesce("becomes", "ch").alias("ch"))
+        return points.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("pos", "ch"))).alias("x")).select(*by, F.concat_ws("", "x.ch").alias("form"))
 
     down, up, rank = _canonical()
     down_t, up_t, rank_t = _frame(spark, down, "ch string, parts string"), _frame(spark, up, "cluster string, one string"), _frame(spark, rank, "part string, rank int")
-    parts = built.where(combines).select(*by, F.posexplode(_letters("form")).alias("pos", "ch")).join(down_t, "ch", "left")
+    parts = mapped(once.where(combines)).select(*by, F.posexplode(_letters("form")).alias("pos", "ch")).join(down_t, "ch", "left")
     parts = parts.select(*by, "pos", F.posexplode(_letters(F.coalesce("parts", "ch"))).alias("sub", "part")).join(rank_t, "part", "left").select(*by, "pos", "sub", "part", F.coalesce("rank", F.lit(0)).alias("rank"))
     window = Window.partitionBy(*by).orderBy("pos", "sub")
     parts = parts.withColumn("no", F.sum((F.col("rank") == 0).cast("int")).over(window))
     order = F.struct(F.greatest("rank", F.lit(0)).alias("rank"), "pos", "sub", "part")
     clusters = parts.groupBy(*by, "no").agg(F.sort_array(F.collect_list(order)).alias("x")).select(*by, "no", F.col("x.part").alias("x"))
-    simple = F.size("x") == 1
-    prefix = clusters.where(~simple).select(*by, "no", "x", F.explode(F.sequence(F.lit(2), F.size("x"))).alias("k"))
+    prefix = clusters.select(*by, "no", "x", F.explode(F.sequence(F.lit(1), F.size("x"))).alias("k"))
     prefix = prefix.withColumn("cluster", F.concat_ws("", F.slice("x", F.lit(1), F.col("k")))).join(up_t, "cluster", "left")
-    best = prefix.groupBy(*by, "no").agg(F.max(F.struct(F.col("one").isNotNull().alias("has"), F.when(F.col("one").isNotNull(), F.col("k")).otherwise(0).alias("k"), "one", "x")).alias("b"))
-    rest = F.when(F.col("b.has"), F.concat("b.one", F.concat_ws("", F.slice("b.x", F.col("b.k") + 1, F.size("b.x"))))).otherwise(F.concat_ws("", "b.x"))
-    whole = clusters.where(simple).select(*by, "no", F.element_at("x", 1).alias("piece")).unionByName(best.select(*by, "no", rest.alias("piece")))
-    recomposed = whole.groupBy(*by).agg(F.sort_array(F.collect_set(F.struct("no", "piece"))).alias("x")).select(*by, F.concat_ws("", "x.piece").alias("form"))
-    return own.unionByName(built.where(~combines)).unionByName(recomposed)
+    best = prefix.groupBy(*by, "no").agg(F.max(F.struct(F.col("one").isNotNull().alias("has"), "k", "one", "x")).alias("b"))
+    piece = F.when(F.col("b.has"), F.concat("b.one", F.concat_ws("", F.slice("b.x", F.col("b.k") + 1, F.size("b.x"))))).otherwise(F.concat_ws("", "b.x"))
+    recomposed = best.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("no", piece.alias("piece")))).alias("x")).select(*by, F.concat_ws("", "x.piece").alias("form"))
+    built = mapped(once.where(~combines))
+    return own.unionByName(built).unionByName(recomposed).select(*(F.col(k).alias(c) for c, k in zip(names, keys)), "text_hash", "form")
