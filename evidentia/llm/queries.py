@@ -10,7 +10,7 @@ from evidentia.llm.language import fit, identify
 from evidentia.llm.mixture import mix
 from evidentia.llm.near_titles import near_pairs
 from evidentia.llm.one_form import one_form
-from evidentia.llm.residue import mark_residue
+from evidentia.llm.residue import flag, mark_residue, notice_messages
 from evidentia.llm.sentences import sentences
 from evidentia.llm.tokens import encode
 from evidentia.scratch import Scratch
@@ -24,21 +24,32 @@ def listed_pairs(events):
     return rows.select(F.element_at("ids", 1).alias("a"), F.explode(F.slice("ids", F.lit(2), F.size("ids") - 1)).alias("b"))
 
 
-def _content(spark, sf_dir, *columns):
-    """Articles with a usable title (those of problem 6 kept out), redeliveries included."""
+#: A set of ids up to this size is broadcast to the scan that looks them up (16 MB of keys); a larger one is joined by shuffle.
+_BROADCAST_IDS = 1_000_000
+
+
+def _articles(spark, sf_dir, *columns):
     names = dict.fromkeys([*columns, "title", "source_name", "source_domain", "published"])
-    rows = table(spark, sf_dir, "article").select(norm_id("id").alias("id"), *names).where("id is not null")
-    return mark_residue(rows).where("residue is null").drop("residue")
+    return table(spark, sf_dir, "article").select(norm_id("id").alias("id"), *names).where("id is not null")
+
+
+def _residue_among(spark, sf_dir, ids):
+    """The ids, of those given (a written table), whose title is residue; messages are mined from all titles."""
+    articles = _articles(spark, sf_dir)
+    verdict = notice_messages(articles)
+    wanted = ids.select("id").distinct()
+    wanted = F.broadcast(wanted) if ids.count() <= _BROADCAST_IDS else wanted
+    return flag(articles.join(wanted, "id", "left_semi"), verdict).where("residue is not null").select("id").distinct()
 
 
 def p1_segments(spark, sf_dir):
-    articles = _content(spark, sf_dir, "lang")
-    return identify(articles, fit(table(spark, sf_dir, "article")))
+    return identify(_articles(spark, sf_dir, "lang"), fit(table(spark, sf_dir, "article")))
 
 
 def p1_found(spark, sf_dir):
-    found = p1_segments(spark, sf_dir)
-    return found.where("label is null or label <> lang").select("id", "lang").distinct()
+    found = p1_segments(spark, sf_dir).where("label is null or label <> lang").select("id", "lang").distinct()
+    found = Scratch(spark, "p1").keep(found, "found")
+    return found.join(_residue_among(spark, sf_dir, found), "id", "left_anti")
 
 
 def p2_found(spark, sf_dir):
@@ -54,38 +65,37 @@ def p3_accepted(spark, sf_dir):
     return split_batches(table(spark, sf_dir, "news_event"))[0]
 
 
-def _forms(spark, sf_dir):
-    """(field, id, text_hash, form) of titles (those of problem 6 kept out) and summaries."""
-    articles = table(spark, sf_dir, "article")
-    titles = _content(spark, sf_dir).select(F.lit("title").alias("field"), "id", F.col("title").alias("text"))
-    summaries = articles.select(F.lit("summary").alias("field"), norm_id("id").alias("id"), F.col("summary").alias("text")).where("id is not null and summary <> ''")
-    return one_form(titles.unionByName(summaries), ["field", "id"])
-
-
 def p5_forms(spark, sf_dir):
-    return _forms(spark, sf_dir).select("field", "id", "form").distinct()
+    """(field, id, text_hash, form) of titles and summaries."""
+    articles = table(spark, sf_dir, "article").select(norm_id("id").alias("id"), F.explode(F.array(F.struct(F.lit("title").alias("field"), F.col("title").alias("text")), F.struct(F.lit("summary").alias("field"), F.col("summary").alias("text")))).alias("x"))
+    return one_form(articles.select("id", "x.field", "x.text").where("id is not null and text <> ''"), ["field", "id"])
 
 
 def p5_found(spark, sf_dir):
     scratch = Scratch(spark, "forms")
     # the form as two hashes: what is compared below is 128 bits wide, and no text is moved
-    rows = scratch.keep(_forms(spark, sf_dir).select("field", "id", "text_hash", F.xxhash64("form").alias("h1"), F.xxhash64("form", F.lit(7)).alias("h2")), "rows")
+    rows = scratch.keep(p5_forms(spark, sf_dir).select("field", "id", "text_hash", F.xxhash64("form").alias("h1"), F.xxhash64("form", F.lit(7)).alias("h2")), "rows")
     form = ["field", "h1", "h2"]
     several = rows.groupBy(*form).agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi")).where("lo <> hi").select(*form)
     hits = scratch.keep(rows.join(several, form).distinct(), "hits")
+    residue = _residue_among(spark, sf_dir, hits).withColumn("field", F.lit("title"))
+    hits = scratch.keep(hits.join(residue, ["field", "id"], "left_anti"), "content")
     a, b = hits.select(*form, F.col("id").alias("id_a"), F.col("text_hash").alias("ta")), hits.select(*form, F.col("id").alias("id_b"), F.col("text_hash").alias("tb"))
     return a.join(b, form).where("id_a < id_b and ta <> tb").select("field", "id_a", "id_b").distinct()
 
 
 def p6_found(spark, sf_dir):
-    rows = table(spark, sf_dir, "article").select(norm_id("id").alias("id"), "title", "source_name", "source_domain", "published")
-    return mark_residue(rows).where("residue is not null and id is not null").select("id").distinct()
+    return mark_residue(_articles(spark, sf_dir)).where("residue is not null").select("id").distinct()
 
 
 def p7_groups(spark, sf_dir):
     """(id, group_id) of articles whose outlet published their headline again within hours."""
-    pairs = Scratch(spark, "p7").keep(near_pairs(_content(spark, sf_dir)), "pairs")
-    return group_ids(spark, pairs)
+    scratch = Scratch(spark, "p7")
+    pairs = scratch.keep(near_pairs(_articles(spark, sf_dir)), "pairs")
+    ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    residue = scratch.keep(_residue_among(spark, sf_dir, ids), "residue")
+    content = pairs.join(residue.withColumnRenamed("id", "a"), "a", "left_anti").join(residue.withColumnRenamed("id", "b"), "b", "left_anti")
+    return group_ids(spark, content.select("a", "b"))
 
 
 def p7_found(spark, sf_dir):

@@ -20,7 +20,8 @@ and, beside that, per record
 * ``slot``: an unfilled placeholder anywhere in the text.
 
 Defined cases: a null text has a null verdict, an empty or blank one the
-verdict ``empty``; other columns pass through; an empty table gives an empty
+verdict ``empty``; other columns pass through
+(one called residue is replaced); an empty table gives an empty
 result; repeated records get the same verdict.
 """
 
@@ -119,7 +120,7 @@ def message(text: Column, outlet_name: Column, outlet_host: Column) -> Column:
     for x in (F.lower(outlet_name), hostname):
         t = F.replace(t, F.coalesce(F.when(F.length(x) > 2, x), F.lit("\x00")), F.lit("<src>"))
     t = F.regexp_replace(t, "[0-9]+", "0")
-    t = F.regexp_replace(t, " *\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})$", "")
+    t = F.regexp_replace(t, "\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})$", "")
     return F.trim(t)
 
 
@@ -136,21 +137,27 @@ def has_slot(text: Column) -> Column:
     return F.when(text.rlike("[{}@%_$#<\\[｛｝＠％＿＄＃＜［]"), F.translate(text, a, b).rlike(SLOT)).otherwise(False)
 
 
-def mark_residue(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.5) -> DataFrame:
-    """df with the column ``residue``: null for content, else ``notice``, ``slot`` or ``empty``."""
-    rows = df.withColumn("_m", message(F.col(text), F.col(name), F.col(host)))
-    day = F.coalesce(F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")), F.lit(0))
-    outlet_bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({host}), 63) as int))")
-    messages = rows.where("_m is not null").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), F.bit_or(outlet_bit).alias("outlets"), F.min(F.when(day > 0, day)).alias("first"), F.max(day).alias("last"))
+def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.5) -> DataFrame:
+    """(_m, _notice): the messages of df that are notices, each once, as a written table."""
+    rows = df.select(message(F.col(text), F.col(name), F.col(host)).alias("_m"), F.coalesce(F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")), F.lit(0)).alias("_day"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({host}), 63) as int))").alias("_outlet"))
+    messages = rows.where("_m is not null").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), F.bit_or("_outlet").alias("outlets"), F.min(F.when(F.col("_day") > 0, F.col("_day"))).alias("first"), F.max("_day").alias("last"))
     worded = F.col("_m").rlike(_NOTICE)
     repeated = (F.col("n") >= min_repeats) & (F.bit_count("outlets") >= min_outlets) & (F.col("last") - F.col("first") >= min_days) & F.col("_m").rlike(_CUE) & (F.length("_m") <= 80)
     # one pass over the messages: a leaf's size, and those of its messages that may be notices
     kinds = messages.select("_m", "n", leaf(F.col("_m")).alias("leaf"), F.when(worded, "worded").when(repeated, "repeated").alias("why"))
     leaves = kinds.groupBy("leaf").agg(F.sum("n").alias("in_leaf"), F.collect_list(F.when(F.col("why").isNotNull(), F.struct("_m", "n", "why"))).alias("some"))
     mined = leaves.select("in_leaf", F.explode("some").alias("x")).where((F.col("x.why") == "worded") | (F.col("x.n") >= share * F.col("in_leaf"))).select("x._m")
-    scratch = Scratch(df.sparkSession, "residue")
-    # written, so that its size is known and the join below is a broadcast only while it is small
-    verdict = scratch.keep(mined.withColumn("_notice", F.lit(True)), "verdict")
-    out = rows.join(verdict, "_m", "left")
+    # written, so that its size is known and a join with it is a broadcast only while it is small
+    return Scratch(df.sparkSession, "residue").keep(mined.withColumn("_notice", F.lit(True)), "verdict")
+
+
+def flag(df: DataFrame, verdict: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain") -> DataFrame:
+    """df with the column ``residue``: null for content, else ``notice``, ``slot`` or ``empty``."""
+    rows = df.withColumn("_m", message(F.col(text), F.col(name), F.col(host)))
     kind = F.when(F.col(text).isNull(), None).when(F.col("_m") == "", "empty").when(F.col("_notice"), "notice").when(has_slot(F.col(text)), "slot")
-    return out.withColumn("residue", kind).select(*df.columns, "residue")
+    return rows.join(verdict, "_m", "left").withColumn("residue", kind).select(*(c for c in df.columns if c != "residue"), "residue")
+
+
+def mark_residue(df: DataFrame, **columns) -> DataFrame:
+    """Messages mined from df and its own rows flagged."""
+    return flag(df, notice_messages(df, **columns), **{k: v for k, v in columns.items() if k in ("text", "name", "host")})
