@@ -141,7 +141,15 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: float | None = N
     start = F.pmod(F.xxhash64("source", "salt", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
     upto = F.sum(F.col("uses") - F.floor("uses")).over(stratum) + start
     extra = F.floor(upto + 1e-9) - F.floor(upto - (F.col("uses") - F.floor("uses")) + 1e-9)
-    mixture = scratch.keep(rows.select("doc_id", "source", "n_tokens", (F.floor("uses") + extra).cast("int").alias("copies")).where("copies > 0"), "mixture")
+    drawn = scratch.keep(rows.select("doc_id", "source", "n_tokens", "salt", "draw", (F.floor("uses") + extra).cast("int").alias("copies")), "drawn")
+    # what rounding leaves of a source's tokens, given or taken back in small documents; strata share it evenly
+    plan_s = spark.createDataFrame([(n, float(by_source[k]), int(cap[k])) for k, n in enumerate(sources)], "source string, plan double, cap int")
+    gap = drawn.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("got")).join(F.broadcast(plan_s), "source").select("source", "cap", ((F.col("plan") - F.col("got")) / salts).alias("gap"))
+    free = ((F.col("gap") > 0) & (F.col("copies") < F.col("cap"))) | ((F.col("gap") < 0) & (F.col("copies") > 0))
+    near = drawn.join(F.broadcast(gap), "source").withColumn("free", free)
+    run = Window.partitionBy("source", "salt", "free").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.when(F.col("free") & (F.sum("n_tokens").over(run) <= F.abs("gap")), F.signum("gap")).otherwise(0)
+    mixture = scratch.keep(near.select("doc_id", "source", "n_tokens", (F.col("copies") + step).cast("int").alias("copies")).where("copies > 0"), "mixture")
     used = mixture.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"), F.count(F.lit(1)).alias("n_used"))
     wsum = weight.sum() or 1.0
     frame = spark.createDataFrame([(n, float(weight[k] / wsum), int(cap[k]), int(have[k]), float(by_source[k] / planned) if planned else 0.0) for k, n in enumerate(sources)], "source string, target_share double, max_repeat int, tokens bigint, planned_share double")

@@ -65,7 +65,7 @@ def _paragraph(t: Column) -> Column:
     # stops that end nothing
     t = F.regexp_replace(t, "(?U)(?<=\\d)[.．](?=\\d)", DOT)
     t = F.regexp_replace(t, "(?<=[A-Za-z0-9])\\.(?=[a-z0-9])", DOT)
-    t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}])(\\p{{Lu}})\\.(?=[{WS}]*\\p{{L}})", f"$1{DOT}")
+    t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}])([A-Za-zÀ-ÖØ-öø-ÿ])\\.(?=[{WS}]*\\p{{L}})", f"$1{DOT}")
     t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}{DOT}])({GO_ON})\\.(?=[{WS}]*[^{WS}])", f"$1{DOT}")
     t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}])({BEFORE_NUMBER})\\.(?=[{WS}]*\\p{{N}})", f"$1{DOT}")
     t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}])(Co|Cía)\\.(?=[{WS}]*(?:{FIRM}))", f"$1{DOT}")
@@ -99,7 +99,8 @@ def units(text: Column) -> Column:
 
 def sentences(df: DataFrame, text: str = "text", id: str = "doc_id", chunk: int = 64) -> DataFrame:
     """(id, sent_start, sent_end): offsets in code points of every sentence, end exclusive, no blanks at either end."""
-    rows = df.where(F.col(text).isNotNull()).select(F.col(id), units(F.col(text)).alias("u"))
+    name, id = id, "_row"
+    rows = df.where(F.col(text).isNotNull()).select(F.col(name).alias(id), units(F.col(text)).alias("u"))
     # lengths by chunks, so that the running sums cost little for long texts too
     at = F.sequence(F.lit(0), F.floor((F.size("u") - 1) / chunk).cast("int"))
     rows = rows.select(id, F.transform(at, lambda i: F.slice("u", i * chunk + 1, chunk)).alias("c"))
@@ -111,4 +112,4 @@ def sentences(df: DataFrame, text: str = "text", id: str = "doc_id", chunk: int
     pieces = chunks.select(id, F.explode(placed).alias("p")).select(id, F.col("p.a").alias("a"), F.col("p.x").alias("x"))
     left = F.length("x") - F.length(F.regexp_replace("x", f"^[{WS}]+", ""))
     body = F.length(F.regexp_replace("x", f"^[{WS}]+|[{WS}]+$", ""))
-    return pieces.select(id, (F.col("a") + left).alias("sent_start"), (F.col("a") + left + body).alias("sent_end")).where("sent_end > sent_start")
+    return pieces.select(F.col(id).alias(name), (F.col("a") + left).alias("sent_start"), (F.col("a") + left + body).alias("sent_end")).where("sent_end > sent_start")
