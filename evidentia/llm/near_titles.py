@@ -12,8 +12,8 @@ words left out, sorted rarest first, and the sets are stored in a trie, one per
 stretch as long as the window.  A set is looked up from the nodes of its rare
 tokens downwards, titles with a common beginning being counted together, and a
 subtree is left as soon as the tokens that remain cannot make up the overlap.
-What is found is compared in full: figures that disagree, another name, place
-or day, or another word in the same place tell two headlines apart; dropped,
+What is found is compared in full: figures that disagree, or another word (a
+name, a place, a day) in the same place tell two headlines apart; dropped,
 added, moved and respelled words and filler words do not.  Joined pairs become
 groups by the hooking of ``components``.
 
@@ -28,6 +28,8 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,13 +52,35 @@ NUMBERS = {
 NUMERALS = {"一": 1, "二": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9, "两": 2, "兩": 2}
 # Filler words that an edit puts in or in another word's place, and labels before or after a headline.
 FILLERS = {"still", "again", "also", "now", "late", "reportedly", "already", "yet", "aussi", "encore", "déjà", "toujours", "también", "ya", "otra", "vez", "aún", "bereits", "auch", "erneut", "nun", "wieder", "noch"}
-CJK_FILLERS = re.compile("再次|再び|さらに|また|再|仍|又|계속|다시|또")
-LABELS = re.compile(
-    r"^\s*(?:[\[【](?:[^\]】]{1,20})[\]】]|(?:update|exclusive|breaking|live|video|watch|exclusif|direct|urgent|mise à jour|vidéo|eil|eilmeldung|exklusiv|última hora|actualizado|urgente|vídeo|exclusiva|更新|独家|獨家|快讯|快訊|视频|速報|独自|動画|단독|속보|업데이트|영상)\s*[:：|\-–—])\s*"
-    r"|\s*[|｜]\s*[^|｜]{1,16}$|\s*[(（][^()（）]{1,12}[)）]\s*$"
-    r"|\s*[,，、:：;；\-–—·…]*\s*(?:sources say|what we know|update|updated|die lage|selon des sources|según fuentes|laut quellen|消息人士称|関係者が明かす|소식통)\s*$",
+CJK_FILLERS = set("再次仍又びさらにまた계속다시또")
+LABEL_HEAD = re.compile(
+    r"\s*(?:[\[【][^\]】]{1,20}[\]】]|(?:update|exclusive|breaking|live|video|watch|exclusif|direct|urgent|mise à jour|vidéo|eil|eilmeldung|exklusiv|última hora|actualizado|urgente|vídeo|exclusiva|更新|独家|獨家|快讯|快訊|视频|速報|独自|動画|단독|속보|업데이트|영상)\s*[:：|\-–—])\s*",
     re.IGNORECASE,
 )
+LABEL_ENDS = ("sources say", "what we know", "update", "updated", "die lage", "selon des sources", "según fuentes", "laut quellen", "消息人士称", "関係者が明かす", "소식통")
+_BRACKET_END = re.compile(r"\s*[(（][^()（）]{1,12}[)）]\s*$")
+
+
+def without_labels(text: str) -> str:
+    """A headline without the labels put before or after it."""
+    while m := LABEL_HEAD.match(text):
+        if m.end() >= len(text):
+            break
+        text = text[m.end():]
+    for _ in range(3):
+        text = text.rstrip()
+        if text[-1:] in (")", "）"):
+            cut = _BRACKET_END.sub("", text)
+        elif "|" in text[-20:] or "｜" in text[-20:]:
+            cut = text[: max(text.rfind("|"), text.rfind("｜"))]
+        elif (low := text.lower()).endswith(LABEL_ENDS):
+            cut = text[: len(text) - max(len(e) for e in LABEL_ENDS if low.endswith(e))].rstrip(" ,，、:：;；-–—·…")
+        else:
+            return text
+        if not cut.strip() or cut == text:
+            return text
+        text = cut
+    return text
 
 
 def _number(token: str) -> str:
@@ -73,22 +97,32 @@ def _number(token: str) -> str:
     return str(int(token))
 
 
+@lru_cache(1)
+def _odd() -> frozenset[str]:
+    """Characters that stand for another one, or combine."""
+    combining = (chr(c) for r in (range(0x300, 0x370), range(0x1100, 0x1200), (0x3099, 0x309A)) for c in r)
+    return frozenset(chain(map(chr, single()), combining))
+
+
+def bare(text: str) -> str:
+    """A headline in one form of characters, without labels."""
+    if not text.isascii() and not _odd().isdisjoint(text):
+        text = unicodedata.normalize("NFC", text.translate(single()))
+    return without_labels(text)
+
+
+def tokens(text: str) -> set[str]:
+    """The distinct tokens of a bare headline, fillers left out."""
+    return set(_TOKEN.findall(text.lower())) - FILLERS
+
+
 class Title:
-    """A headline taken apart: its tokens in order, which of them are figures, fillers or written like names."""
+    """A bare headline taken apart: its tokens in order, figures marked."""
 
-    __slots__ = ("words", "named", "keys", "size", "count")
+    __slots__ = ("words", "count")
 
     def __init__(self, text: str):
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text.translate(single()))
-        for _ in range(3):
-            cut = LABELS.sub("", text)
-            if cut == text or not cut.strip():
-                break
-            text = cut
-        text = CJK_FILLERS.sub("", text) if not text.isascii() else text
-        shout = text.isupper()
-        words, named = [], []
+        words = []
         for w in _TOKEN.findall(text):
             low = w.lower()
             if low in FILLERS:
@@ -96,22 +130,11 @@ class Title:
             c = w[0]
             if c.isdigit() or (len(w) < 6 and c in "一二三四五六七八九十百两兩"):
                 low = "#" + _number(w)
-                named.append(False)
             elif low in NUMBERS:
                 low = "#" + str(NUMBERS[low])
-                named.append(False)
-            else:
-                named.append(not shout and c.isupper())
             words.append(low)
-        self.words, self.named = words, named
+        self.words = words
         self.count = Counter(words)
-        # repeated tokens count as often as they occur
-        keys = []
-        for w, n in self.count.items():
-            keys.append(w)
-            keys.extend(f"{w}\x00{k}" for k in range(1, n))
-        self.keys = keys
-        self.size = len(keys)
 
 
 def respelled(a: str, b: str) -> bool:
@@ -143,14 +166,12 @@ def _left_over(t: Title, extra: Counter, other: Title) -> list[int]:
 
 def same_headline(a: Title, b: Title, share: float = 0.4) -> bool:
     """One headline with small edits."""
-    if not a.size or not b.size:
-        return False
     more_a, more_b = a.count - b.count, b.count - a.count
     if not more_a and not more_b:
         return True
     if any(w[0] == "#" for w in more_a) and any(w[0] == "#" for w in more_b):
         return False
-    ia, ib = _left_over(a, more_a, b), _left_over(b, more_b, a)
+    ia, ib = ([k for k in _left_over(t, more, o) if t.words[k] not in CJK_FILLERS] for t, more, o in ((a, more_a, b), (b, more_b, a)))
     cost = sum(len(a.words[k]) for k in ia) + sum(len(b.words[k]) for k in ib)
     if cost > share * max(sum(map(len, a.words)), sum(map(len, b.words))) + 6:
         return False
@@ -177,71 +198,95 @@ def same_headline(a: Title, b: Title, share: float = 0.4) -> bool:
             q += 1
         return (t.words[p] if p >= 0 else None), (t.words[q] if q < len(t.words) else None)
 
-    places_b = [(around(b, gone_b, m), b.named[m], b.words[m]) for m in free_b]
+    places_b = [(around(b, gone_b, m), b.words[m]) for m in free_b]
     for k in rest_a:
         before, after = around(a, gone_a, k)
-        for (pb, qb), named, word in places_b:
-            if a.named[k] and named:
-                return False
-            if before == pb or after == qb:
+        for (pb, qb), word in places_b:
+            short = min(len(a.words[k]), len(word)) < 3 and a.words[k].isascii()
+            if (before == pb or after == qb) and not short:
                 return False  # another word in its place
     return True
 
 
 class _Node:
-    __slots__ = ("gram", "children", "items", "longest", "path")
+    __slots__ = ("gram", "above", "children", "items", "only", "longest")
 
-    def __init__(self, gram, path):
-        self.gram, self.path, self.children, self.items, self.longest = gram, path, {}, [], 0
+    def __init__(self, gram, above: frozenset):
+        self.gram, self.above, self.children, self.items, self.only, self.longest = gram, above, {}, [], None, 0
 
 
 class Trie:
-    """Token sets, rarest token first."""
+    """Token sets, rarest token first: a node per token as far as the prefix that a partner must share in.
+
+    A node with one set below it holds that set itself, so a branch without forks is not walked.
+    """
 
     def __init__(self, share: float):
-        self.share, self.root, self.at = share, _Node(None, ()), defaultdict(list)
+        self.share, self.root, self.at = share, _Node(None, frozenset()), defaultdict(list)
+        self.needs: dict[int, int] = {}
+
+    def need(self, n: int) -> int:
+        """The overlap that a set of n tokens asks for."""
+        k = self.needs.get(n)
+        if k is None:
+            k = self.needs[n] = -(-int(self.share * n * 1000) // 1000)
+        return k
 
     def prefix(self, n: int) -> int:
         """So many of the rarest tokens hold one that a partner shares."""
-        return n - -(-int(self.share * n * 1000) // 1000) + 1
+        return n - self.need(n) + 1
 
     def add(self, grams: list, item) -> None:
-        node, p = self.root, self.prefix(len(grams))
-        for d, g in enumerate(grams):
-            left = len(grams) - d
-            if node.longest < left:
-                node.longest = left
-            nxt = node.children.get(g)
-            if nxt is None:
-                nxt = node.children[g] = _Node(g, (*node.path, g) if d < p else ())
-                if d < p:
-                    self.at[g].append(nxt)
-            elif d < p and not nxt.path:  # made below another set's prefix
-                nxt.path = (*node.path, g)
-                self.at[g].append(nxt)
-            node = nxt
-        node.items.append((len(grams), item))
+        node, n, above = self.root, len(grams), frozenset()
+        leaf = (self.need(n), frozenset(grams), item)
+        for d in range(self.prefix(n)):
+            g = grams[d]
+            child = node.children.get(g)
+            if child is None:
+                child = node.children[g] = _Node(g, above)
+                child.only = leaf
+                self.at[g].append(child)
+            else:
+                child.only = None
+            node = child
+            above |= {g}
+            if node.longest < n - d - 1:
+                node.longest = n - d - 1
+        node.items.append(leaf)
 
     def find(self, grams: list) -> Iterator:
         """Items whose sets overlap with grams in the required share of the larger set."""
-        n = len(grams)
-        have, need = set(grams), -(-int(self.share * n * 1000) // 1000)
-        head = set()
-        for g in grams[: self.prefix(n)]:
+        n, have, head = len(grams), set(grams), set()
+        need = self.need(n)
+        for k in range(self.prefix(n)):
+            g, after = grams[k], n - k
             for start in self.at.get(g, ()):
-                if any(x in head for x in start.path[:-1]):
-                    continue  # met from an earlier token of the path
-                overlap = sum(x in have for x in start.path)
-                stack = [(start, overlap)]
+                # what stands above in the path and in grams as well would have been met from there
+                if start.longest + 1 < need or after < need or not head.isdisjoint(start.above):
+                    continue
+                if start.only is not None:
+                    least, full, item = start.only
+                    o = len(have & full)
+                    if o >= need and o >= least:
+                        yield item
+                    continue
+                stack = [(start, 1)]
                 while stack:
                     node, o = stack.pop()
-                    for size, item in node.items:
-                        if o >= need and o >= self.share * size:
+                    for least, full, item in node.items:
+                        both = len(have & full)
+                        if both >= need and both >= least:
                             yield item
                     for child in node.children.values():
                         oc = o + (child.gram in have)
                         if oc + child.longest >= need:
-                            stack.append((child, oc))
+                            if child.only is None:
+                                stack.append((child, oc))
+                            else:
+                                least, full, item = child.only
+                                both = len(have & full)
+                                if both >= need and both >= least:
+                                    yield item
             head.add(g)
 
 
@@ -251,29 +296,36 @@ def join_block(rows: list[tuple[str, int, str, bool]], window_us: int, share: fl
     for id, at, title, carried in rows:
         if id not in once:
             once[id] = (at, title, carried)
-    made: dict[str, Title] = {}
+    sets: dict[str, set[str]] = {}
+    made: dict[str, Title] = {}  # only what is compared is taken apart
     items = []
     for id, (at, title, carried) in once.items():
-        t = made.get(title)
-        if t is None:
-            t = made[title] = Title(title)
-        if t.size:
+        t = bare(title)
+        if t not in sets:
+            sets[t] = tokens(t)
+        if sets[t]:
             items.append((at, id, t, carried))
     items.sort(key=lambda x: (x[0], x[1]))
-    often = Counter(g for _, _, t, _ in items for g in t.keys)
+    often = Counter(chain.from_iterable(sets[t] for _, _, t, _ in items))
+
+    def same(a: str, b: str) -> bool:
+        for x in (a, b):
+            if x not in made:
+                made[x] = Title(x)
+        return same_headline(made[a], made[b])
+
     order = {g: k for k, g in enumerate(sorted(often, key=lambda g: (often[g], g)))}
     out = []
     tries: dict[int, Trie] = {}
-    same: dict[tuple, tuple] = {}
     for at, id, t, carried in items:
         slot = at // window_us
         for s in [s for s in tries if s < slot - 1]:
             del tries[s]
-        grams = sorted(t.keys, key=order.__getitem__)
+        grams = sorted(sets[t], key=order.__getitem__)
         for s in (slot - 1, slot):
             if s in tries:
                 for at2, id2, t2, carried2 in tries[s].find(grams):
-                    if at - at2 <= window_us and not (carried and carried2) and (t2 is t or same_headline(t2, t)):
+                    if at - at2 <= window_us and not (carried and carried2) and (t2 == t or same(t2, t)):
                         out.append((id2, id))
         if slot not in tries:
             tries[slot] = Trie(share)
@@ -281,7 +333,7 @@ def join_block(rows: list[tuple[str, int, str, bool]], window_us: int, share: fl
     return out
 
 
-def near_pairs(df: DataFrame, text: str = "title", id: str = "id", outlet: str = "source_domain", at: str = "published", hours: int = 36, block_windows: int = 4, share: float = 0.7, block_rows: int = 20_000) -> DataFrame:
+def near_pairs(df: DataFrame, text: str = "title", id: str = "id", outlet: str = "source_domain", at: str = "published", hours: int = 36, block_windows: int = 8, share: float = 0.75, block_rows: int = 20_000) -> DataFrame:
     """(a, b): ids of joined rows; a pair may come out more than once."""
     spark = df.sparkSession
     window = hours * 3600 * 1_000_000
@@ -307,7 +359,7 @@ def near_pairs(df: DataFrame, text: str = "title", id: str = "id", outlet: str =
             for rb in batches:
                 out: list[list] = [[] for _ in names]
                 for row in zip(*(rb.column(k).to_pylist() for k in range(7))):
-                    ranked = sorted(xxhash.xxh64_intdigest(g) for g in Title(row[3]).keys)
+                    ranked = sorted(xxhash.xxh64_intdigest(g) for g in tokens(bare(row[3])))
                     for p in {h % row[6] for h in ranked[: trie.prefix(len(ranked))]}:
                         for c, v in zip(out, (*row[:6], 1 + p)):
                             c.append(v)

@@ -24,8 +24,8 @@ def listed_pairs(events):
     return rows.select(F.element_at("ids", 1).alias("a"), F.explode(F.slice("ids", F.lit(2), F.size("ids") - 1)).alias("b"))
 
 
-#: A set of ids up to this size is broadcast to the scan that looks them up (16 MB of keys); a larger one is joined by shuffle.
-_BROADCAST_IDS = 1_000_000
+#: A set of ids up to this size is broadcast to the scan that looks them up (a few MB of keys); a larger one is joined by shuffle.
+_BROADCAST_IDS = 200_000
 
 
 def _articles(spark, sf_dir, *columns):
@@ -121,4 +121,14 @@ def p10_found(spark, sf_dir):
 
 
 QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p3_found": p3_found, "p3_accepted": p3_accepted, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares}
-ORACLE = {}
+_P2 = r"""
+with recursive m as (select nullif(lower(trim(id_a, ' ' || chr(9))), '') as a, nullif(lower(trim(id_b, ' ' || chr(9))), '') as b from match_pair),
+ l as (select row_id, unnest(list_distinct(list_filter(list_transform(articles, lambda x: nullif(lower(trim(x.id, ' ' || chr(9))), '')), lambda i: i is not null))) as id from news_event where articles is not null),
+ f as (select row_id, min(id) as a from l group by 1),
+ s as (select a, b from m where a is not null and b is not null and a <> b union select f.a, l.id from l join f using (row_id) where l.id <> f.a),
+ e as (select a, b from s union select b, a from s),
+ r as (select a as id, a as x from e union select r.id, e.b from r join e on r.x = e.a)
+select id, min(x) as group_id from r group by id
+"""
+
+ORACLE = {"p2_found": _P2}
