@@ -123,6 +123,11 @@ def detect_lang_titles(spark, d):
     return table(spark, d, "article").select("entry_ord", T.detect_lang("title").alias("script_lang"))
 
 
+@query("strip_html_docs", r"""select doc_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '[\x09-\x0d\x20]+', ' ', 'g')) as cleaned from documents where regexp_full_match(text, '[\x09\x0a\x0d\x20-\x7e]+')""")
+def strip_html_docs(spark, d):
+    return table(spark, d, "documents").where("text rlike '^[\\\\x09\\\\x0a\\\\x0d\\\\x20-\\\\x7e]+$'").select("doc_id", T.strip_html("text").alias("cleaned"))
+
+
 @query("title_token_counts", r"with t as (select entry_ord, trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9_ ]', ' ', 'g'), ' +', ' ', 'g')) x from article where regexp_full_match(title, '[A-Za-z0-9 :;,.]+') ) select entry_ord, len(list_distinct(list_filter(string_split(x, ' '), lambda w: length(w) > 1 and not list_contains(['a','an','the','of','in','on','at','to','for','with','as','by','from','and','or','but','is','are','was','were','be','been','its','it','this','that','these','those','over','after','amid','into','near','new','says','said','say'], w)))) as n_tokens from t")
 def title_token_counts(spark, d):
     return table(spark, d, "article").where("title rlike '^[A-Za-z0-9 :;,.]+$'").select("entry_ord", F.size(T.title_tokens(T.title_text(F.col("title"), True), F.lit("en"))).alias("n_tokens"))
@@ -254,6 +259,17 @@ def anchor_filter(spark, d):
     return _entities(spark, d).select("id", E.anchors(F.col("entities"), ANCHORS).alias("opens"))
 
 
+@query("weighted_overlap_pairs", f"with {_ENT}, n as (select count(*) n from e), f as (select element, count(*) df from (select unnest(entities) element from e) group by 1), w as (select element, ln(1 + n / df) w from f, n), k as (select distinct tier as key, element from (select tier, unnest(entities) element from e join (select distinct id, tier from article) using (id))), t as (select key, sum(w) total from k join w using (element) group by 1), s as (select x.key a, y.key b, sum(w) shared from k x join k y on x.element = y.element and x.key < y.key join w on w.element = x.element group by 1, 2) select a, b, round(shared / least(p.total, q.total), 9) as overlap, round(shared, 9) as shared from s join t p on p.key = a join t q on q.key = b")
+def weighted_overlap_pairs(spark, d):
+    e = _entities(spark, d)
+    tiers = table(spark, d, "article").select("id", F.col("tier").alias("key")).distinct()
+    elements = e.join(tiers, "id").select("key", F.explode("entities").alias("element")).distinct()
+    keys = elements.select("key").distinct()
+    pairs = keys.withColumnRenamed("key", "a").join(keys.withColumnRenamed("key", "b"), F.col("a") < F.col("b"))  # a few tiers
+    out = E.weighted_overlap(pairs, E.signature_stats(e, "entities"), "a", "b", elements, "key")
+    return out.select("a", "b", F.round("overlap", 9).alias("overlap"), F.round("shared", 9).alias("shared"))
+
+
 # ---------------------------------------------------------------- events: members
 
 _MEM = rf"""ev as (select arg_min(struct_pack(row_id, articles), row_id) v from news_event where articles is not null group by coalesce(lower(trim(id)), '#' || row_id)),
@@ -380,6 +396,18 @@ def cosine_pairs(spark, d):
     return L.cosine_pairs(L.tfidf(docs), docs, least=0.5).select("a", "b", F.round("cos", 6).alias("cos"))
 
 
+@query("containment_pairs", f"with {_TF}, tk as (select id, min(coalesce(source_domain, '')) dom from article group by 1), q as (select dd.id, dom, list_distinct(list_filter(string_split(x, ' '), lambda w: length(w) > 1)) t from dd join tk using (id)) select a.id as a, b.id as b from q a join q b on a.dom = b.dom and a.id < b.id where len(list_intersect(a.t, b.t)) >= 0.75 * least(len(a.t), len(b.t)) and len(a.t) > 0 and len(b.t) > 0")
+def containment_pairs(spark, d):
+    dom = table(spark, d, "article").groupBy("id").agg(F.min(F.coalesce("source_domain", F.lit(""))).alias("dom"))
+    q = _ascii_docs(spark, d).join(dom, "id").select("id", "dom", F.array_distinct("terms").alias("t"))
+    # sets that share three quarters of the smaller one share one of its rarest tokens; any common token will do here
+    k = q.select("id", "dom", F.explode("t").alias("k"))
+    pairs = k.select("dom", "k", F.col("id").alias("a")).join(k.select("dom", "k", F.col("id").alias("b")), ["dom", "k"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    size = q.select("id", F.size("t").alias("size"))
+    j = pairs.join(size.select(F.col("id").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("id").alias("b"), F.col("size").alias("sb")), "b")
+    return j.where(F.col("n") >= 0.75 * F.least("sa", "sb")).select("a", "b")
+
+
 @query("lang_clusters")
 def lang_clusters(spark, d):
     return L.cluster_by_language(spark, _docs(spark, d).withColumn("nums", T.extract_numbers("title")))
@@ -567,6 +595,23 @@ def stream_daily_tumble(spark, d):
     return spark.table(name).select(F.to_date("w.start").alias("day"), "event_type", "n")
 
 
+@query("stream_dedupe", "select event_type, count(distinct event_id) as n from events group by 1")
+def stream_dedupe(spark, d):
+    import uuid
+
+    from evidentia.scratch import Scratch
+    from evidentia.streaming.events import deduplicated
+
+    scratch = Scratch(spark, "stream")
+    src = table(spark, d, "events")
+    stream = spark.readStream.schema(src.schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("at", F.col("ts").cast("timestamp"))
+    name = f"once_{uuid.uuid4().hex[:8]}"
+    out = scratch.path(name)
+    q = deduplicated(stream, "event_id", "at", "60 days").select("event_id", "event_type").writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch.path("ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema("event_id bigint, event_type string").parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("session_48h", "with g as (select user_id, ts, case when epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts)) >= 6 * 3600000000 then 1 else 0 end as cut from events), s as (select user_id, ts, sum(cut) over (partition by user_id order by ts rows unbounded preceding) no from g) select user_id, min(ts) as start_at, count(*) as n from s group by user_id, no")
 def session_48h(spark, d):
     e = table(spark, d, "events")
