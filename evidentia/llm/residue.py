@@ -13,7 +13,8 @@ Every message is classified once, and the verdict goes back to all its records:
   has words around it and does not match;
 * ``notice`` as well: a message sent again and again by several outlets over
   weeks that dominates its leaf (headline patterns fill a leaf with many
-  different messages) and holds a cue of such notices;
+  different messages) and holds a cue of such notices, or, sent still more
+  often, is all but alone in its leaf;
 
 and, beside that, per record
 
@@ -88,7 +89,7 @@ NOTICES = [
     r"connection timed out(?: to <src>)?",
     r"just a moment(?: while we check your connection|\.*)?",
     r"(?:request )?could not be served",
-    r"seite nicht gefunden", r"zugriff verweigert", r"(?:interner )?serverfehler",
+    r"seite nicht gefunden", r"zugriff verweigert(?:, vorgang 0)?", r"(?:interner )?serverfehler",
     r"page introuvable", r"erreur 0 ?:? ?.{0,30}", r"acces refuse",
     r"pagina no encontrada", r"acceso denegado", r"error 0 ?:? ?.{0,30}",
     r"アクセスが拒否されました", r"(?:お探し|ご指定)の(?:ページ|記事)[はが]見つかりません(?:でした)?", r"(?:ただいま|現在)メンテナンス中です",
@@ -98,7 +99,7 @@ NOTICES = [
     r"headline goes here", r"(?:insert|your|enter) (?:headline|title)(?: here)?", r"(?:sample|test|dummy) (?:headline|title|article|post)(?: 0)?(?: ?[–—-] ?do not publish)?",
     r"new post(?: 0)?(?: draft)?(?: placeholder)?", r"untitled(?: document)?(?: 0)?", r"(?:tk ?)+headline(?: tk)*", r"tk(?: tk)*", r"(?:(?:lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|do|eiusmod|tempor|incididunt|ut|labore|et|dolore|magna|aliqua)[,. ]*){3,}", r"(?:test ?){1,6}(?: 0)?",
     r"(?:asdf|qwer|qwerty|zxcv)(?: (?:asdf|qwer|qwerty|zxcv))*(?: 0)?", r"x{3,}(?: x+)*(?: 0)?", r"\[?object object\]?(?: 0)?", r"(?:null|none|nan|undefined|n/a|tbd|todo)(?: ?[|,/-] ?(?:null|none|nan|undefined))*(?: 0)?",
-    r"titulo de prueba(?: 0)?,? ?(?:no publicar)?", r"titre (?:de test|ici).{0,25}", r"(?:testartikel|platzhalter|titel hier).{0,25}",
+    r"titulo de prueba(?: 0)?,? ?(?:no publicar)?", r"titre (?:de test|ici).{0,25}", r"(?:testartikel|platzhalter|titel hier).{0,25}", r"titre a completer ici", r"hier (?:uberschrift|titel) eingeben",
     r"此[处處]填[写寫][标標][题題]", r"[测測][试試](?:文章|标题)0?,?.{0,6}", r"無標題文件(?: 0)?", r"无标题文[档件](?: 0)?",
     r"(?:[标標][题題]待定 ?)+", r"(?:제목 ?미정 ?)+", r"(?:(?:タイトル|見出し)未定 ?)+",
     r"テスト投稿0?です.{0,14}", r"ここに見出しを入力してください",
@@ -121,7 +122,7 @@ def message(text: Column, outlet_name: Column, outlet_host: Column) -> Column:
         t = F.replace(t, F.coalesce(F.when(F.length(x) > 2, x), F.lit("\x00")), F.lit("<src>"))
     t = F.regexp_replace(t, "[0-9]+", "0")
     t = F.regexp_replace(t, "\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})$", "")
-    return F.trim(t)
+    return F.rtrim(F.ltrim(t), F.lit(" .。!"))
 
 
 def leaf(m: Column) -> Column:
@@ -137,16 +138,18 @@ def has_slot(text: Column) -> Column:
     return F.when(text.rlike("[{}@%_$#<\\[｛｝＠％＿＄＃＜［]"), F.translate(text, a, b).rlike(SLOT)).otherwise(False)
 
 
-def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.5) -> DataFrame:
+def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.5, sole: float = 0.9) -> DataFrame:
     """(_m, _notice): the messages of df that are notices, each once, as a written table."""
     rows = df.select(message(F.col(text), F.col(name), F.col(host)).alias("_m"), F.coalesce(F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")), F.lit(0)).alias("_day"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({host}), 63) as int))").alias("_outlet"))
     messages = rows.where("_m is not null").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), F.bit_or("_outlet").alias("outlets"), F.min(F.when(F.col("_day") > 0, F.col("_day"))).alias("first"), F.max("_day").alias("last"))
     worded = F.col("_m").rlike(_NOTICE)
-    repeated = (F.col("n") >= min_repeats) & (F.bit_count("outlets") >= min_outlets) & (F.col("last") - F.col("first") >= min_days) & F.col("_m").rlike(_CUE) & (F.length("_m") <= 80)
+    spread = (F.bit_count("outlets") >= min_outlets) & (F.col("last") - F.col("first") >= min_days) & (F.length("_m") <= 80)
+    repeated = (F.col("n") >= min_repeats) & spread & F.col("_m").rlike(_CUE)
+    constant = (F.col("n") >= 2 * min_repeats) & spread
     # one pass over the messages: a leaf's size, and those of its messages that may be notices
-    kinds = messages.select("_m", "n", leaf(F.col("_m")).alias("leaf"), F.when(worded, "worded").when(repeated, "repeated").alias("why"))
+    kinds = messages.select("_m", "n", leaf(F.col("_m")).alias("leaf"), F.when(worded, "worded").when(repeated, "repeated").when(constant, "constant").alias("why"))
     leaves = kinds.groupBy("leaf").agg(F.sum("n").alias("in_leaf"), F.collect_list(F.when(F.col("why").isNotNull(), F.struct("_m", "n", "why"))).alias("some"))
-    mined = leaves.select("in_leaf", F.explode("some").alias("x")).where((F.col("x.why") == "worded") | (F.col("x.n") >= share * F.col("in_leaf"))).select("x._m")
+    mined = leaves.select("in_leaf", F.explode("some").alias("x")).where((F.col("x.why") == "worded") | (F.col("x.n") >= F.when(F.col("x.why") == "constant", sole).otherwise(share) * F.col("in_leaf"))).select("x._m")
     # written, so that its size is known and a join with it is a broadcast only while it is small
     return Scratch(df.sparkSession, "residue").keep(mined.withColumn("_notice", F.lit(True)), "verdict")
 
