@@ -109,7 +109,7 @@ NOTICES = [
 _TAIL = r"(?:[ .。!]*\(0\))?[ .。!]*"
 _NOTICE = rf"^(?:<src> ?[:|–—-] ?)?\(?(?:{'|'.join(NOTICES)})\)?{_TAIL}(?: ?[|–—-] ?<src>)?{_TAIL}$"
 #: Cues that a message often repeated is a notice; ordinary repeated headlines hold none.
-_CUE = r"javascript|cookies|script|browser|robot|error|denied|not found|unavailable|maintenance|gateway|timed out|expired|placeholder|untitled|lorem|do not publish|undefined|null|스크립트|페이지|접근|점검|제목을|浏览器|瀏覽器|页面|頁面|维护|維護|标题|標題|ページ|アクセス|メンテナンス|見出し|gefunden|introuvable|encontrada|refuse|denegado|verweigert"
+_CUE = r"javascript|cookies|script|browser|robot|error|denied|not found|unavailable|maintenance|gateway|timed out|expired|placeholder|untitled|lorem|do not publish|undefined|null|스크립트|페이지를|접근이|점검 중|제목을|浏览器|瀏覽器|页面|頁面|维护|維護|标题|標題|ページ|アクセス|メンテナンス|見出し|gefunden|introuvable|encontrada|refuse|denegado|verweigert"
 
 
 def message(text: Column, outlet_name: Column, outlet_host: Column) -> Column:
@@ -138,7 +138,7 @@ def has_slot(text: Column) -> Column:
     return F.when(text.rlike("[{}@%_$#<\\[｛｝＠％＿＄＃＜［]"), F.translate(text, a, b).rlike(SLOT)).otherwise(False)
 
 
-def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.5, sole: float = 0.9) -> DataFrame:
+def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.8, sole: float = 0.9) -> DataFrame:
     """(_m, _notice): the messages of df that are notices, each once, as a written table."""
     rows = df.select(message(F.col(text), F.col(name), F.col(host)).alias("_m"), F.coalesce(F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")), F.lit(0)).alias("_day"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({host}), 63) as int))").alias("_outlet"))
     messages = rows.where("_m is not null").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), F.bit_or("_outlet").alias("outlets"), F.min(F.when(F.col("_day") > 0, F.col("_day"))).alias("first"), F.max("_day").alias("last"))
