@@ -20,6 +20,9 @@ EVIDENCE = (1.0, 0.6, 0.35, 0.2)
 TALLY = "(?i)sortie|aircraft|warplane|ships?|vessels?|架次|機艦|机舰|軍機|军机|共機|共机|艦艇|舰艇|共艦|共舰|군용기|함정|항공기|척"
 
 
+MEMBER = ("event_id", "id", "ord", "title", "lang", "published", "source_domain", "source_name", "tier", "bloc", "primary_cited")
+
+
 def copy_edges(members: DataFrame, ascii_only: bool = False) -> DataFrame:
     """(event_id, a, b, kind): members (a.ord < b.ord) that carry one text (wire) or one release (release)."""
     m = members.withColumn("_text", title_text(F.col("title"), ascii_only)).select("event_id", "id", "ord", "lang", "title", title_numbers("title").alias("nums"), title_tokens(F.col("_text"), F.col("lang")).alias("toks"), F.col("title").rlike(TALLY).alias("tally"))
@@ -61,7 +64,7 @@ def copy_groups(members: DataFrame, ascii_only: bool = False) -> DataFrame:
 
 def representatives(members: DataFrame, groups: DataFrame) -> DataFrame:
     """One member per copy group: the heaviest tier, the earliest, the first."""
-    m = members.join(groups, ["event_id", "id"])
+    m = members.select(*MEMBER).join(groups, ["event_id", "id"])
     w = Window.partitionBy("event_id", "copy_group").orderBy(tier_weight(F.col("tier"), 0.0).desc(), "published", "ord")
     return m.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
@@ -90,7 +93,8 @@ def grade(n: Column, state_only: Column, best_tier: Column) -> tuple[Column, Col
 
 
 def evaluate(members: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """One verdict per event: counts, grade, score, reasons."""
+    """One verdict per event: counts, grade, score, reasons. Further columns of members are ignored."""
+    members = members.select(*MEMBER)
     groups = copy_groups(members, ascii_only)
     reps = representatives(members, groups)
     base = members.groupBy("event_id").agg(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MOST_LABELS = 10_000
+
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(1.0)
@@ -15,7 +17,9 @@ def _contingency(rows: DataFrame, cluster: str, label: str) -> DataFrame:
 
 
 def prefix_labels(titles: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, label): by the longest prefix that a title starts with or holds; titles without one get a label of their own. labels (prefix, label) is a small table."""
+    """(id, label): by the longest prefix that a title starts with or holds; titles without one get a label of their own. labels (prefix, label) is a small table, and checked to be one."""
+    if labels.limit(MOST_LABELS + 1).count() > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} label prefixes: too many to hold against every title")
     hit = titles.join(F.broadcast(labels), F.col("title").contains(F.col("prefix")), "left")
     return hit.groupBy("id").agg(F.max_by("label", F.struct(F.length("prefix"), "prefix")).alias("label")).select("id", F.coalesce("label", F.concat(F.lit("solo:"), F.col("id").cast("string"))).alias("label"))
 
