@@ -154,6 +154,6 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: float | None = N
     wsum = weight.sum() or 1.0
     frame = spark.createDataFrame([(n, float(weight[k] / wsum), int(cap[k]), int(have[k]), float(by_source[k] / planned) if planned else 0.0) for k, n in enumerate(sources)], "source string, target_share double, max_repeat int, tokens bigint, planned_share double")
     report = frame.join(used, "source", "left").select("source", "target_share", "max_repeat", "tokens", "planned_share", F.coalesce("n_used", F.lit(0)).alias("n_used"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"))
-    whole = report.agg(F.sum("used_tokens").alias("whole"))
-    report = report.crossJoin(F.broadcast(whole)).withColumn("actual_share", F.when(F.col("whole") > 0, F.col("used_tokens") / F.col("whole")).otherwise(0.0)).drop("whole")
+    whole = F.sum("used_tokens").over(Window.partitionBy())  # a row per target source
+    report = report.withColumn("actual_share", F.when(whole > 0, F.col("used_tokens") / whole).otherwise(0.0))
     return mixture, report

@@ -134,9 +134,8 @@ class Vocabulary:
             a, b = int(pairs[k]) >> 32, int(pairs[k]) & 0xFFFFFFFF
             ok[k] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         if len(fresh) and len(self.judged_key) < 4_000_000:  # the table of judged pairs is a cache of bounded size
-            keys, oks = np.concatenate([self.judged_key, pairs[fresh]]), np.concatenate([self.judged_ok, ok[fresh]])
-            order = np.argsort(keys)
-            self.judged_key, self.judged_ok = keys[order], oks[order]
+            self.judged_key = np.insert(self.judged_key, at[fresh], pairs[fresh])  # both are sorted
+            self.judged_ok = np.insert(self.judged_ok, at[fresh], ok[fresh])
         return ok
 
     def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
