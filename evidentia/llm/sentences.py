@@ -18,6 +18,9 @@ results; other columns are not touched.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,7 @@ OTHER = "\ue0ff"  # stands for a placeholder that the text itself holds
 
 STOPS = ".!?。！？｡．…"
 WS = "\\s\\u00a0\\u1680\\u2000-\\u200b\\u2028\\u2029\\u202f\\u205f\\u2060\\u3000\\ufeff"
+_BLANKS = "".join(chr(c) for c in range(0x10000) if re.match(f"[{WS}]", chr(c), re.ASCII))
 PAUSE = ",;:，；：、､"
 
 # Abbreviations after which a sentence goes on; those a number follows; firms' forms; months after a German ordinal.
@@ -48,39 +52,53 @@ _ITEM = "(?:[-*•·‣▪◦–] |\\d{1,3}[.)、．] |[(（]\\d{1,3}[)）])"
 _BLANK_LINE = f"(\\n[{WS}&&[^\\n]]*\\n[{WS}]*)"
 
 
-def _inside(t: Column, opener: str, closer: str, strong: str) -> Column:
+def _if(t: Column, holds: Callable[[Column], Column], *steps: tuple[str, str]) -> Column:
+    """The replacements where a quick look says they can matter. The one-element array binds the text so far, which would else be written out twice."""
+    def run(x: Column) -> Column:
+        y = x
+        for pattern, new in steps:
+            y = F.regexp_replace(y, pattern, new)
+        return F.when(holds(x), y).otherwise(x)
+
+    return F.element_at(F.transform(F.array(t), run), 1)
+
+
+def _inside(opener: str, closer: str, strong: str) -> tuple[tuple[str, str], ...]:
     """Stops and Thai blanks between opener and closer masked; a closer that follows a stop made strong."""
     ahead = f"(?=[^{opener}{closer}]*{closer})"
-    t = F.regexp_replace(t, f"[{STOPS}]{ahead}", STOP)
-    t = F.regexp_replace(t, f"(?<=[\\u0E00-\\u0E7F])[ \\u00a0]{ahead}", BLANK)
-    return F.regexp_replace(t, f"({STOP}[{WS}]?){closer}", f"$1{strong}")
+    return (f"[{STOPS}]{ahead}", STOP), (f"(?<=[\\u0E00-\\u0E7F])[ \\u00a0]{ahead}", BLANK), (f"({STOP}[{WS}]?){closer}", f"$1{strong}")
+
+
+_WORD = "(?<![\\p{L}\\p{N}])"
+#: Stops that end nothing, in one pass: before a small letter; in decimals, addresses and times; after initials and abbreviations.
+_NO_END = (
+    f"[.…](?=[{WS}]*[\\p{{Ll}}\\p{{M}}])"
+    f"|(?<=\\p{{Nd}})．(?=\\p{{Nd}})"
+    f"|\\.(?:(?<=\\p{{Nd}}\\.)(?=\\p{{Nd}})"
+    f"|(?<=[A-Za-z0-9]\\.)(?=[a-z0-9])"
+    f"|(?<={_WORD}[A-Za-zÀ-ÖØ-öø-ÿ]\\.)(?=[{WS}]*\\p{{L}})"
+    f"|(?<={_WORD}(?:{GO_ON})\\.)(?=[{WS}]*[^{WS}])"
+    f"|(?<={_WORD}(?:{BEFORE_NUMBER})\\.)(?=[{WS}]*\\p{{N}})"
+    f"|(?<={_WORD}(?:Co|Cía)\\.)(?=[{WS}]*(?:{FIRM}))"
+    f"|(?<=\\p{{Nd}}\\.)(?=[{WS}]*(?:{MONTHS})(?!\\p{{L}})))"
+)
 
 
 def _paragraph(t: Column) -> Column:
     """A paragraph of running text with marks after its sentences."""
     for a, b in (("„", "“”"), ("“", "”"), ("«", "»"), ("「", "」"), ("『", "』"), ('"', '"'), ("‹", "›")):
-        t = F.regexp_replace(t, f"{a}([^{a}{b}]*+)[{b}]", f"{OPEN}$1{CLOSE}")
+        t = _if(t, lambda x, a=a: x.contains(a), (f"{a}([^{a}{b}]*+)[{b}]", f"{OPEN}$1{CLOSE}"))
     for a, b in (("(", ")"), ("（", "）"), ("【", "】")):
-        t = F.regexp_replace(t, f"[{a}]([^{a}{b}]*+)[{b}]", f"{BOPEN}$1{BCLOSE}")
-    # stops that end nothing
-    t = F.regexp_replace(t, "(?U)(?<=\\d)[.．](?=\\d)", DOT)
-    t = F.regexp_replace(t, "(?<=[A-Za-z0-9])\\.(?=[a-z0-9])", DOT)
-    t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}])([A-Za-zÀ-ÖØ-öø-ÿ])\\.(?=[{WS}]*\\p{{L}})", f"$1{DOT}")
-    t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}{DOT}])({GO_ON})\\.(?=[{WS}]*[^{WS}])", f"$1{DOT}")
-    t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}])({BEFORE_NUMBER})\\.(?=[{WS}]*\\p{{N}})", f"$1{DOT}")
-    t = F.regexp_replace(t, f"(?<![\\p{{L}}\\p{{N}}])(Co|Cía)\\.(?=[{WS}]*(?:{FIRM}))", f"$1{DOT}")
-    t = F.regexp_replace(t, f"(?<=\\d)\\.(?=[{WS}]*(?:{MONTHS})(?!\\p{{L}}))", DOT)
-    t = F.regexp_replace(t, f"[.…](?=[{WS}]*[\\p{{Ll}}\\p{{M}}])", DOT)
-    t = _inside(t, OPEN, CLOSE, STRONG)
-    t = _inside(t, BOPEN, BCLOSE, BSTRONG)
-    t = F.regexp_replace(t, f"([：:][{WS}]?{OPEN}[^{OPEN}{CLOSE}{STRONG}]*){STRONG}", f"$1{LED}")
+        t = _if(t, lambda x, a=a: x.contains(a), (f"[{a}]([^{a}{b}]*+)[{b}]", f"{BOPEN}$1{BCLOSE}"))
+    t = F.regexp_replace(t, _NO_END, DOT)
+    t = _if(t, lambda x: x.contains(OPEN), *_inside(OPEN, CLOSE, STRONG), (f"([：:][{WS}]?{OPEN}[^{OPEN}{CLOSE}{STRONG}]*){STRONG}", f"$1{LED}"))
+    t = _if(t, lambda x: x.contains(BOPEN), *_inside(BOPEN, BCLOSE, BSTRONG))
     # ends of sentences
     stay = f"(?![{STOPS}{PAUSE}])(?![{WS}]*\\p{{Ll}})"
     t = F.regexp_replace(t, f"([{STOPS}]+[{CLOSE}{STRONG}{LED}{BCLOSE}{BSTRONG}”’»」』）)\\]]*){stay}", f"$1{MARK}")
     alone = f"{stay}(?![{MARK}{CLOSE}{STRONG}{BCLOSE}{BSTRONG}])(?!{JA_REPORT}|{KO_REPORT}|{ZH_REPORT})"
-    t = F.regexp_replace(t, f"{STRONG}{alone}", f"{STRONG}{MARK}")
-    t = F.regexp_replace(t, f"{LED}{alone}(?!{ZH_FOLLOW})", f"{LED}{MARK}")
-    t = F.regexp_replace(t, f"{BSTRONG}{stay}(?!{MARK})", f"{BSTRONG}{MARK}")
+    t = _if(t, lambda x: x.contains(OPEN), (f"{STRONG}{alone}", f"{STRONG}{MARK}"), (f"{LED}{alone}(?!{ZH_FOLLOW})", f"{LED}{MARK}"))
+    t = _if(t, lambda x: x.contains(BSTRONG), (f"{BSTRONG}{stay}(?!{MARK})", f"{BSTRONG}{MARK}"))
     # Thai: a blank ends a sentence (not the one after the repetition sign)
     return F.regexp_replace(t, f"(?<=[\\u0E00-\\u0E45\\u0E47-\\u0E7F])([ \\u00a0\\u3000]+)(?=[\\u0E00-\\u0E7F{OPEN}{BOPEN}])", f"$1{MARK}")
 
@@ -110,6 +128,6 @@ def sentences(df: DataFrame, text: str = "text", id: str = "doc_id", chunk: int
     empty = F.array().cast("array<struct<a:bigint,x:string>>")
     placed = F.aggregate("c", F.struct(F.col("s").alias("at"), empty.alias("all")), lambda s, x: F.struct((s["at"] + F.length(x)).alias("at"), F.concat(s["all"], F.array(F.struct(s["at"].alias("a"), x.alias("x")))).alias("all")), lambda s: s["all"])
     pieces = chunks.select(id, F.explode(placed).alias("p")).select(id, F.col("p.a").alias("a"), F.col("p.x").alias("x"))
-    left = F.length("x") - F.length(F.regexp_replace("x", f"^[{WS}]+", ""))
-    body = F.length(F.regexp_replace("x", f"^[{WS}]+|[{WS}]+$", ""))
+    left = F.length("x") - F.length(F.ltrim("x", F.lit(_BLANKS)))
+    body = F.length(F.btrim("x", F.lit(_BLANKS)))
     return pieces.select(F.col(id).alias(name), (F.col("a") + left).alias("sent_start"), (F.col("a") + left + body).alias("sent_end")).where("sent_end > sent_start")
