@@ -2,17 +2,20 @@
 
 Input is one row per (event_id, article): id, title, lang, published, source_domain, source_name, tier, bloc,
 primary_cited, ord.  All steps are grouped aggregations; the links between copies are an equi-join on
-event and shared token, their union runs per event in bounded Arrow tasks.
+event and shared token, their union runs over the links event by event in Arrow tasks.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions.text import containment, numbers_conflict, sha1_nul, title_numbers, title_text, title_tokens
 from evidentia.operators.policy import independence_key, tier_weight
+from evidentia.scratch import Scratch
 
 # Copies and releases; weights of the strongest voices; parts of the score; words that announce a tally.
 COPY_CONTAINMENT, COPY_MIN_TOKENS, TALLY_MIN_NUMBER, TALLY_MIN_SHARED = 0.75, 3, 4, 2
@@ -40,9 +43,13 @@ def copy_edges(members: DataFrame, ascii_only: bool = False) -> DataFrame:
 def copy_groups(members: DataFrame, ascii_only: bool = False) -> DataFrame:
     """(event_id, id, copy_group, kind): the group's smallest id; kind wire if any link of the group is, else release, null alone."""
     edges = copy_edges(members, ascii_only)
+    kind = members.schema["event_id"].dataType.simpleString()
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = edges.select("event_id", "a", "b", "kind").repartition(n, "event_id").sortWithinPartitions("event_id")
 
-    def union(pdf: pd.DataFrame) -> pd.DataFrame:
-        parent: dict = {}
+    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The links of one event after the other; what is held is the event's linked members, not its links."""
+        event, parent, wire = None, {}, set()
 
         def find(x):
             while parent.setdefault(x, x) != x:
@@ -50,15 +57,27 @@ def copy_groups(members: DataFrame, ascii_only: bool = False) -> DataFrame:
                 x = parent[x]
             return x
 
-        for a, b in zip(pdf["a"], pdf["b"]):
-            x, y = find(a), find(b)
-            parent[max(x, y)] = min(x, y)
-        wire = {find(a) for a, k in zip(pdf["a"], pdf["kind"]) if k == "wire"}
-        ids = list(parent)
-        return pd.DataFrame({"event_id": pdf["event_id"].iloc[0], "id": ids, "copy_group": [find(x) for x in ids], "kind": ["wire" if find(x) in wire else "release" for x in ids]})
-
-    kind = members.schema["event_id"].dataType.simpleString()
-    linked = edges.groupBy("event_id").applyInPandas(union, f"event_id {kind}, id string, copy_group string, kind string")
+        def done(like: pa.RecordBatch) -> pa.RecordBatch:
+            top = {find(x) for x in wire}
+            ids = list(parent)
+            cols = [pa.array([event] * len(ids), like.schema.field(0).type), pa.array(ids, pa.string()), pa.array([find(x) for x in ids], pa.string()), pa.array(["wire" if find(x) in top else "release" for x in ids], pa.string())]
+            return pa.RecordBatch.from_arrays(cols, names=["event_id", "id", "copy_group", "kind"])
+
+        rb = None
+        for rb in batches:
+            for e, a, b, k in zip(*(rb.column(c).to_pylist() for c in range(4))):
+                if e != event:
+                    if parent:
+                        yield done(rb)
+                    event, parent, wire = e, {}, set()
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+                if k == "wire":
+                    wire.add(a)
+        if parent:
+            yield done(rb)
+
+    linked = ordered.mapInArrow(union, f"event_id {kind}, id string, copy_group string, kind string")
     return members.select("event_id", "id").join(linked, ["event_id", "id"], "left").select("event_id", "id", F.coalesce("copy_group", "id").alias("copy_group"), "kind")
 
 
@@ -94,9 +113,10 @@ def grade(n: Column, state_only: Column, best_tier: Column) -> tuple[Column, Col
 
 def evaluate(members: DataFrame, ascii_only: bool = False) -> DataFrame:
     """One verdict per event: counts, grade, score, reasons. Further columns of members are ignored."""
-    members = members.select(*MEMBER)
-    groups = copy_groups(members, ascii_only)
-    reps = representatives(members, groups)
+    scratch = Scratch(members.sparkSession, "verdicts")
+    members = scratch.keep(members.select(*MEMBER), "members")
+    groups = scratch.keep(copy_groups(members, ascii_only), "groups")
+    reps = scratch.keep(representatives(members, groups), "representatives")
     base = members.groupBy("event_id").agg(
         F.max_by("tier", tier_weight(F.col("tier"), 0.0)).alias("top_tier"), F.bool_or("primary_cited").alias("primary_cited"),
         F.count_distinct("lang").alias("n_langs"), F.array_sort(F.collect_set("bloc")).alias("blocs"), F.count(F.lit(1)).alias("n_articles"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,41 +26,51 @@ def dedupe_revisions(articles: DataFrame, order: str = "entry_ord") -> DataFrame
     gap = F.col("at") - F.lag("at").over(w) > WINDOW_HOURS * 3_600_000_000
     rows = rows.withColumn("island", F.sum(F.coalesce(gap.cast("int"), F.lit(0))).over(w))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["at", "ord"])
-        kept: list[dict] = []
-        into: dict[str, str] = {}
-        first: dict[str, int | None] = {}
-        live = 0
-        for r in pdf.itertuples():
-            toks, nums = set(r.toks), set(r.nums)
-            while live < len(kept) and r.at - kept[live]["at"] > WINDOW_HOURS * 3_600_000_000:
-                live += 1
-            hit = None
-            for k in kept[live:]:
-                if abs(r.at - k["at"]) > WINDOW_HOURS * 3_600_000_000 or (nums and k["nums"] and not nums & k["nums"]):
-                    continue
-                least = min(len(toks), len(k["toks"]))
-                if least >= MIN_TOKENS and len(toks & k["toks"]) / least >= CONTAINMENT:
-                    hit = k
-                    break
-            into[r.id] = r.id
-            first[r.id] = None
-            if hit is None:
-                kept.append({"id": r.id, "at": r.at, "nums": nums, "toks": toks, "len": r.len})
-            elif r.len > hit["len"]:
-                into[hit["id"]] = r.id
-                first[r.id] = hit["at"]
-                hit.update(id=r.id, at=r.at, nums=nums, toks=toks, len=r.len)
-            else:
-                into[r.id] = hit["id"]
+    key = ["outlet", "lang", "island"]
+    n = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.select(*key, "id", "at", "len", "nums", "toks", "ord").repartition(n, *key).sortWithinPartitions(*key, "at", "ord")
+    span = WINDOW_HOURS * 3_600_000_000
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One stretch after the other; only kept articles within the window are compared."""
+        at_key, kept, live, into, first = None, [], 0, {}, {}
 
         def end(x: str) -> str:
             while into[x] != x:
                 x = into[x]
             return x
 
-        return pd.DataFrame({"id": list(into), "kept_id": [end(x) for x in into], "first_us": [first[x] for x in into]}).astype({"first_us": "Int64"})
+        def done() -> pa.RecordBatch:
+            ids = list(into)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array([end(x) for x in ids], pa.string()), pa.array([first[x] for x in ids], pa.int64())], names=["id", "kept_id", "first_us"])
+
+        for rb in batches:
+            for o, lang, island, id, at, size, nums, toks, _ in zip(*(rb.column(c).to_pylist() for c in range(9))):
+                if (o, lang, island) != at_key:
+                    if into:
+                        yield done()
+                    at_key, kept, live, into, first = (o, lang, island), [], 0, {}, {}
+                toks, nums = set(toks), set(nums)
+                while live < len(kept) and at - kept[live]["at"] > span:
+                    live += 1
+                hit = None
+                for k in kept[live:]:
+                    if abs(at - k["at"]) > span or (nums and k["nums"] and not nums & k["nums"]):
+                        continue
+                    least = min(len(toks), len(k["toks"]))
+                    if least >= MIN_TOKENS and len(toks & k["toks"]) / least >= CONTAINMENT:
+                        hit = k
+                        break
+                into[id], first[id] = id, None
+                if hit is None:
+                    kept.append({"id": id, "at": at, "nums": nums, "toks": toks, "len": size})
+                elif size > hit["len"]:
+                    into[hit["id"]], first[id] = id, hit["at"]
+                    hit.update(id=id, at=at, nums=nums, toks=toks, len=size)
+                else:
+                    into[id] = hit["id"]
+        if into:
+            yield done()
 
-    out = rows.groupBy("outlet", "lang", "island").applyInPandas(run, "id string, kept_id string, first_us long")
+    out = ordered.mapInArrow(run, "id string, kept_id string, first_us bigint")
     return out.select("id", "kept_id", F.timestamp_micros("first_us").alias("first_published"))

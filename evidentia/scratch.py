@@ -11,7 +11,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _OPEN: list["Scratch"] = []
 
@@ -50,6 +51,17 @@ class Scratch:
         writer.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep_counted(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """keep, and the number of rows, counted while writing."""
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name)), seen.get["n"]
+
+    def size(self, name: str) -> int:
+        """Bytes of table `name`."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
     def drop(self, name: str = "") -> None:
         """Delete table `name`, or the whole folder."""
         try:
