@@ -29,6 +29,7 @@ MEMBER = ("event_id", "id", "ord", "title", "lang", "published", "source_domain"
 def copy_edges(members: DataFrame, ascii_only: bool = False) -> DataFrame:
     """(event_id, a, b, kind): members (a.ord < b.ord) that carry one text (wire) or one release (release)."""
     m = members.withColumn("_text", title_text(F.col("title"), ascii_only)).select("event_id", "id", "ord", "lang", "title", title_numbers("title").alias("nums"), title_tokens(F.col("_text"), F.col("lang")).alias("toks"), F.col("title").rlike(TALLY).alias("tally"))
+    m = Scratch(members.sparkSession, "copies").keep(m, "tokens")  # taken apart once, joined four times
     keys = F.array_union(F.transform("toks", lambda t: F.concat(F.lit("t"), F.col("lang"), F.lit(":"), t)), F.when(F.col("tally"), F.transform(F.filter("nums", lambda n: n >= TALLY_MIN_NUMBER), lambda n: F.concat(F.lit("n:"), n.cast("string")))).otherwise(F.array().cast("array<string>")))
     k = m.select("event_id", "id", "ord", F.explode(keys).alias("key"))
     pairs = k.select("event_id", "key", F.col("id").alias("a"), F.col("ord").alias("oa")).join(k.select("event_id", "key", F.col("id").alias("b"), F.col("ord").alias("ob")), ["event_id", "key"]).where("oa < ob").select("event_id", "a", "b").distinct()

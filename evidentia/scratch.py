@@ -8,6 +8,7 @@ one executor only.  Superseded rounds are deleted as soon as they are unused.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -72,6 +73,12 @@ class Scratch:
             pass
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished rounds left: shuffle files and broadcasts are cleaned up once the driver no longer refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @atexit.register
 def _clean() -> None:
     for s in _OPEN:
