@@ -65,14 +65,14 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, most_rou
         for step in range(1, 64):
             up = tree.select(F.col("u").alias("p"), F.col("p").alias("pp"))
             jumped = scratch.keep(tree.join(up, "p").select("u", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), f"tree-{k}-{step}")
-            moved = jumped.where("moved").limit(1).count()
+            moved = not jumped.where("moved").isEmpty()
             scratch.drop(f"tree-{k}-{step - 1}")
             tree = jumped.select("u", "p")
             if not moved:
                 break
         root_a, root_b = tree.select(F.col("u").alias("a"), F.col("p").alias("ra")), tree.select(F.col("u").alias("b"), F.col("p").alias("rb"))
         left = edge.join(root_a, "a").select("b", "ra").join(root_b, "b").where("ra <> rb")
-        edge = scratch.keep(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), f"edge-{k + 1}")
+        edge, n_left = scratch.keep_counted(left.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), f"edge-{k + 1}")
         if label is None:
             label = tree.select(F.col("u").alias("node"), F.col("p").alias("root"))
         else:
@@ -81,7 +81,7 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch, most_rou
             label = scratch.keep(label.join(step_up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), f"label-{k}")
         scratch.drop(f"edge-{k}")
         scratch.drop(f"hook-{k}")
-        if not edge.limit(1).count():
+        if not n_left:
             return label
     raise RuntimeError(f"edges are left after {most_rounds} rounds")
 

@@ -9,7 +9,7 @@ widened (made shorter) until the chance that a row at the threshold is met in
 at least one tree reaches the recall target; candidates are verified exactly on
 their id sets; accepted rows of the batch become a new run, and when there are
 many runs they are merged into one.  History is never scanned row by row: a
-batch reads the runs and the accepted rows that it meets.
+batch reads of the runs what its prefixes reach.
 
 A prefix that very many different id sets share (one article listed in a third
 of all events) is not joined; the sets under it go through an exact join on
@@ -33,10 +33,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.scratch import Scratch
+from evidentia.scratch import Scratch, release
 from evidentia.sources.tables import norm_id
 
 TREES, DEPTH = 16, 3
+_HASHES = [f"h{k}" for k in range(DEPTH)]
 
 
 def recall(depth: int, trees: int = TREES, similarity: float = 0.5) -> float:
@@ -52,13 +53,17 @@ def prefix_depth(target: float, trees: int = TREES, similarity: float = 0.5) ->
     return depth
 
 
+#: Bytes of a batch's entries, as written, up to which its prefixes are sent to the runs; more are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
+
+
 def labels(ids: Column) -> Column:
-    """An array of (tree, label): label is DEPTH hashes of 8 bytes as hexadecimal digits."""
+    """An array of (tree, h): h are the DEPTH hashes of the tree's label."""
     def least(seed: Column) -> Column:
-        return F.lpad(F.hex(F.array_min(F.transform(ids, lambda x: F.xxhash64(x, seed)))), 16, "0")
+        return F.array_min(F.transform(ids, lambda x: F.xxhash64(x, seed)))
 
     levels = F.sequence(F.lit(0), F.lit(DEPTH - 1))
-    return F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.array_join(F.transform(levels, lambda k: least(t * DEPTH + k)), "").alias("label")))
+    return F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.transform(levels, lambda k: least(t * DEPTH + k)).alias("h")))
 
 
 def alike(a: Column, b: Column) -> Column:
@@ -90,18 +95,20 @@ class Forest:
             return None
         return self.spark.read.parquet(*(self.scratch.path(f"{kind}-{r}") for r in self.runs))
 
-    def _prefix(self, col: str = "label") -> Column:
-        return F.substring(col, 1, 16 * self.depth)
+    def _bucket(self) -> list[str]:
+        """The columns of a prefix."""
+        return ["tree", *(f"h{k}" for k in range(self.depth))]
 
     def entries(self, sets: DataFrame, name: str) -> DataFrame:
-        """(key, n, tree, label) of sets (key, ids), as a table."""
-        return self.scratch.keep(sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("ids"))).alias("l")).select("key", "n", "l.tree", "l.label"), name)
+        """(key, n, tree, h0, h1, ...) of sets (key, ids), as a table."""
+        each = sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("ids"))).alias("l"))
+        return self.scratch.keep(each.select("key", "n", "l.tree", *(F.col("l.h")[k].alias(f"h{k}") for k in range(DEPTH))), name)
 
     def add(self, accepted: DataFrame, entries: DataFrame, run: str) -> None:
         """accepted: row_id, event, set, ids; entries: those of its sets."""
         rows = self.scratch.keep(accepted, f"rows-{run}")
-        own = entries.withColumnRenamed("key", "set").join(rows.select("set", F.col("row_id").alias("key")), "set").select("key", "n", "tree", "label")
-        self.scratch.keep(own.sortWithinPartitions("tree", "label"), f"labels-{run}")
+        own = entries.withColumnRenamed("key", "set").join(rows.select("set", F.col("row_id").alias("key")), "set").select("key", "n", "tree", *_HASHES)
+        self.scratch.keep(own.sortWithinPartitions("tree", *_HASHES), f"labels-{run}")
         self.runs.append(run)
         if len(self.runs) > self.most_runs:
             self._merge()
@@ -110,28 +117,32 @@ class Forest:
         name = f"merged{self.n_merges}"
         self.n_merges += 1
         self.scratch.keep(self._read("rows"), f"rows-{name}")
-        self.scratch.keep(self._read("labels").repartitionByRange("tree", "label").sortWithinPartitions("tree", "label"), f"labels-{name}")
+        self.scratch.keep(self._read("labels").repartitionByRange("tree", "h0").sortWithinPartitions("tree", *_HASHES), f"labels-{name}")
         for r in self.runs:
             self.scratch.drop(f"rows-{r}")
             self.scratch.drop(f"labels-{r}")
         self.runs = [name]
 
-    def links(self, name: str, sets: DataFrame, entries: DataFrame, history: bool) -> DataFrame:
+    def links(self, name: str, sets: DataFrame, entries: DataFrame, size: int, history: bool) -> DataFrame:
         """(key_a, key_b) of alike sets; key_a is a row of the index, or, without history, an earlier one of the sets themselves."""
-        own = entries.select(F.col("key").alias("key_b"), F.col("n").alias("n_b"), "tree", self._prefix().alias("prefix"))
+        bucket = self._bucket()
+        own = entries.select(F.col("key").alias("key_b"), F.col("n").alias("n_b"), *bucket)
         if history:
-            other = self._read("labels").select(F.col("key").alias("key_a"), F.col("n").alias("n_a"), "tree", self._prefix().alias("prefix"))
+            asked = own.select(*bucket).distinct()
+            asked = F.broadcast(asked) if size <= BROADCAST_BYTES else asked
+            # the part of the runs that the batch's prefixes reach; the rest is not looked at again
+            reached = self._read("labels").join(asked, bucket, "left_semi")
+            other = self.scratch.keep(reached.select(F.col("key").alias("key_a"), F.col("n").alias("n_a"), *bucket), f"reached-{name}")
             data = self._read("rows").select(F.col("row_id").alias("key_a"), F.col("ids").alias("ids_a"))
             order = F.lit(True)
         else:
-            other = own.select(F.col("key_b").alias("key_a"), F.col("n_b").alias("n_a"), "tree", "prefix")
+            other = own.select(F.col("key_b").alias("key_a"), F.col("n_b").alias("n_a"), *bucket)
             data = sets.select(F.col("key").alias("key_a"), F.col("ids").alias("ids_a"))
             order = F.col("key_a") < F.col("key_b")
-        bucket = ["tree", "prefix"]
         mine = sets.select(F.col("key").alias("key_b"), F.col("ids").alias("ids_b"))
-        crowded = self.scratch.keep(other.groupBy(*bucket).count().where(F.col("count") > self.hot).select(*bucket), f"crowded-{name}")
+        crowded, n_crowded = self.scratch.keep_counted(other.groupBy(*bucket).count().where(F.col("count") > self.hot).select(*bucket), f"crowded-{name}")
         met = own
-        if n_crowded := crowded.count():
+        if n_crowded:
             met = own.join(crowded, bucket, "left_anti")
         pairs = met.join(other, bucket).where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
         if n_crowded:
@@ -166,13 +177,13 @@ def split_batches(events: DataFrame, target: float = 0.999) -> tuple[DataFrame,
         mine = scratch.keep(batch.join(first, "ids", "left").select("row_id", "event", F.coalesce("set", -F.col("row_id") - 1).alias("set"), "ids"), f"batch-{b}")
         sets = mine.where("set = row_id").select(F.col("set").alias("key"), "ids")
         entries = forest.entries(sets, f"entries-{b}")
-        edge = scratch.keep(forest.links(f"own-{b}", sets, entries, False).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), f"edge-{b}")
+        edge = scratch.keep(forest.links(f"own-{b}", sets, entries, 0, False).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), f"edge-{b}")
         both = edge.unionByName(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         plain = mine.select("row_id", "event", "set")
         open_ = plain
         parts = []
         if forest.runs:
-            by_set = forest.links(f"old-{b}", sets, entries, True).select(F.col("key_a").alias("row_a"), F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
+            by_set = forest.links(f"old-{b}", sets, entries, scratch.size(f"entries-{b}"), True).select(F.col("key_a").alias("row_a"), F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
             by_event = forest._read("rows").select(F.col("row_id").alias("row_a"), "event").join(plain, "event").select("row_a", F.col("row_id").alias("row_b"))
             old = scratch.keep(by_set.unionByName(by_event).distinct(), f"old-{b}")
             found.append(f"old-{b}")
@@ -187,10 +198,10 @@ def split_batches(events: DataFrame, target: float = 0.999) -> tuple[DataFrame,
             parts.append(f"taken-{b}-{k}")
             gone = taken.select("set").unionByName(both.join(taken.select(F.col("set").alias("a")), "a").select(F.col("b").alias("set"))).distinct()
             rest = open_.join(taken.select("event"), "event", "left_anti").join(gone, "set", "left_anti")
-            rest = scratch.keep(rest, f"open-{b}-{k}")
+            rest, n_rest = scratch.keep_counted(rest, f"open-{b}-{k}")
             scratch.drop(f"open-{b}-{k - 1}")
             open_ = rest
-            if not rest.limit(1).count():
+            if not n_rest:
                 break
         accepted = spark.read.parquet(*(scratch.path(p) for p in parts))
         a = accepted.select(F.col("row_id").alias("row_a"), "event", "set")
@@ -203,6 +214,7 @@ def split_batches(events: DataFrame, target: float = 0.999) -> tuple[DataFrame,
         forest.add(mine.join(accepted.select("row_id"), "row_id", "left_semi"), entries, f"b{b}")
         for name in (f"batch-{b}", f"entries-{b}", f"edge-{b}", *parts):
             scratch.drop(name)
+        release(spark)
     if not batches:
         empty = rows.select("row_id")
         return empty, empty.select(F.col("row_id").alias("row_a"), F.col("row_id").alias("row_b"))
