@@ -120,7 +120,11 @@ def one_form(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     parts = mapped(once.where(combines)).select(*by, F.posexplode(_letters("form")).alias("pos", "ch")).join(down_t, "ch", "left")
     parts = parts.select(*by, "pos", F.posexplode(_letters(F.coalesce("parts", "ch"))).alias("sub", "part")).join(rank_t, "part", "left").select(*by, "pos", "sub", "part", F.coalesce("rank", F.lit(0)).alias("rank"))
     window = Window.partitionBy(*by).orderBy("pos", "sub")
-    parts = parts.withColumn("no", F.sum((F.col("rank") == 0).cast("int")).over(window))
+    # a Hangul vowel continues a cluster only right after an initial, a final only right after a vowel; else they begin one
+    parts = parts.withColumn("before", F.lag("part").over(window))
+    follows = (F.col("part").between("\u1161", "\u1175") & F.col("before").between("\u1100", "\u1112")) | (F.col("part").between("\u11a8", "\u11c2") & F.col("before").between("\u1161", "\u1175"))
+    begins = (F.col("rank") == 0) | ((F.col("rank") == -1) & ~F.coalesce(follows, F.lit(False)))
+    parts = parts.withColumn("no", F.sum(begins.cast("int")).over(window))
     order = F.struct(F.greatest("rank", F.lit(0)).alias("rank"), "pos", "sub", "part")
     clusters = parts.groupBy(*by, "no").agg(F.sort_array(F.collect_list(order)).alias("x")).select(*by, "no", F.col("x.part").alias("x"))
     prefix = clusters.select(*by, "no", "x", F.explode(F.sequence(F.lit(1), F.size("x"))).alias("k"))
