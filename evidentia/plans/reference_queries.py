@@ -380,13 +380,13 @@ def revision_dedupe(spark, d):
 def _docs(spark, d):
     from evidentia.scratch import Scratch
 
-    a = table(spark, d, "article").where("published is not null and title is not null").groupBy("id").agg(F.min("title").alias("title"), F.min("published").alias("published"))
-    return Scratch(spark, "docs").keep(a.select("id", "title", "published", T.detect_lang("title").alias("lang"), F.lit("").alias("summary")), "docs")
+    a = I.best_of_id(table(spark, d, "article").where("published is not null and title is not null"))
+    return Scratch(spark, "docs").keep(a.select("id", "title", "published", T.detect_lang("title").alias("lang"), F.coalesce("summary", F.lit("")).alias("summary")), "docs")
 
 
 @query("tfidf_top_terms")
 def tfidf_top_terms(spark, d):
-    w = L.tfidf(_docs(spark, d).withColumn("x", T.normalize_text("title")).select("id", "lang", L.terms(F.col("x"), F.col("lang")).alias("terms")))
+    w = L.tfidf(_docs(spark, d).withColumn("x", T.normalize_text(F.concat_ws(" ", "title", "summary"))).select("id", "lang", L.terms(F.col("x"), F.col("lang")).alias("terms")))
     return w.groupBy("lang", "term").agg(F.round(F.sum("w"), 6).alias("w")).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.col("w").desc(), "term"))).where("rank <= 25")
 
 
