@@ -20,8 +20,11 @@ def dedupe_revisions(articles: DataFrame, order: str = "entry_ord") -> DataFrame
     Going up in time, an article that matches a kept one of its outlet and language (within the window, no conflicting
     figures, enough tokens contained) takes its place if its title is longer, else is dropped.  The candidates of a group
     are cut at gaps longer than the window, over which nothing can match, so a task holds one uninterrupted stretch.
+    An article without a time stays, and nothing is held against it.
     """
-    rows = articles.withColumn("_text", title_text(F.col("title"))).select("id", F.coalesce("source_domain", F.lit("")).alias("outlet"), "lang", F.unix_micros(F.col("published").cast("timestamp")).alias("at"), F.col(order).alias("ord"), F.length("title").alias("len"), title_numbers("title").alias("nums"), title_tokens(F.col("_text"), F.col("lang")).alias("toks")).where("at is not null")
+    rows = articles.withColumn("_text", title_text(F.col("title"))).select("id", F.coalesce("source_domain", F.lit("")).alias("outlet"), "lang", F.unix_micros(F.col("published").cast("timestamp")).alias("at"), F.col(order).alias("ord"), F.length("title").alias("len"), title_numbers("title").alias("nums"), title_tokens(F.col("_text"), F.col("lang")).alias("toks"))
+    alone = rows.where("at is null").select("id", F.col("id").alias("kept_id"), F.lit(None).cast("timestamp").alias("first_published"))
+    rows = rows.where("at is not null")
     w = Window.partitionBy("outlet", "lang").orderBy("at", "ord")
     gap = F.col("at") - F.lag("at").over(w) > WINDOW_HOURS * 3_600_000_000
     rows = rows.withColumn("island", F.sum(F.coalesce(gap.cast("int"), F.lit(0))).over(w))
@@ -73,4 +76,4 @@ def dedupe_revisions(articles: DataFrame, order: str = "entry_ord") -> DataFrame
             yield done()
 
     out = ordered.mapInArrow(run, "id string, kept_id string, first_us bigint")
-    return out.select("id", "kept_id", F.timestamp_micros("first_us").alias("first_published"))
+    return out.select("id", "kept_id", F.timestamp_micros("first_us").alias("first_published")).unionByName(alone)

@@ -374,13 +374,19 @@ def event_verdicts(spark, d):
 
 @query("revision_dedupe")
 def revision_dedupe(spark, d):
-    return R.dedupe_revisions(I.best_of_id(table(spark, d, "article")).where("title is not null"))
+    return R.dedupe_revisions(_timed(table(spark, d, "article")))
+
+
+def _timed(articles):
+    """One row per id that has a title; one without a time in any row is published now, as in normalize_entries."""
+    known = F.coalesce("published", F.min("published").over(Window.partitionBy("id")), now())
+    return I.best_of_id(articles.where("title is not null").withColumn("published", known))
 
 
 def _docs(spark, d):
     from evidentia.scratch import Scratch
 
-    a = I.best_of_id(table(spark, d, "article").where("published is not null and title is not null"))
+    a = _timed(table(spark, d, "article"))
     return Scratch(spark, "docs").keep(a.select("id", "title", "published", T.detect_lang("title").alias("lang"), F.coalesce("summary", F.lit("")).alias("summary")), "docs")
 
 

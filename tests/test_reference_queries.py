@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from evidentia.operators import revisions as R
 from evidentia.plans import reference_queries as Q
 
 T0 = dt.datetime(2026, 1, 1)
@@ -34,3 +35,18 @@ def test_a_merge_opens_by_a_figure_of_the_summary(spark, tmp_path):
     d = articles(spark, tmp_path, [("a", "Morning notes", "About 340 of them", 0), ("b", "아침 소식", "모두 340 발", 1), *FILL])
     events = {r.id: r.event_id for r in Q.cross_merge(spark, d).collect()}
     assert events["a"] == events["b"] == "a"
+
+
+def test_articles_without_a_time_are_published_now(spark, tmp_path):
+    long = "Northern council votes on ferry quota after a storm closes the old harbour bridge"
+    d = articles(spark, tmp_path, [("a", long, None, None), ("b", long + " today", None, None), ("c", long, None, 0), *FILL])
+    kept = {r.id: r.kept_id for r in Q.revision_dedupe(spark, d).collect()}
+    assert len(kept) == 9 and kept["a"] == kept["b"] == "b" and kept["c"] == "c"
+    clusters = {r.id: r.cluster_id for r in Q.lang_clusters(spark, d).collect()}
+    assert len(clusters) == 9 and clusters["a"] == clusters["b"] == "a" and clusters["c"] == "c"
+
+
+def test_revisions_keep_an_article_without_a_time(spark):
+    row = ("a", "Northern council votes on ferry quota after a storm", None, None, "alpha.test", "T1", "en", 0)
+    got = R.dedupe_revisions(spark.createDataFrame([row], ARTICLE)).collect()
+    assert [(r.id, r.kept_id) for r in got] == [("a", "a")]
