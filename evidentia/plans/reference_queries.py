@@ -276,15 +276,57 @@ def anchor_filter(spark, d):
 
 @query("weighted_overlap_pairs", f"with {_ENT}, n as (select count(*) n from e), f as (select element, count(*) df from (select unnest(entities) element from e) group by 1), w as (select element, ln(1 + n / df) w from f, n), k as (select distinct tier as key, element from (select tier, unnest(entities) element from e join (select distinct id, tier from article) using (id))), t as (select key, sum(w) total from k join w using (element) group by 1), s as (select x.key a, y.key b, sum(w) shared from k x join k y on x.element = y.element and x.key < y.key join w on w.element = x.element group by 1, 2) select a, b, round(shared / least(p.total, q.total), 9) as overlap, round(shared, 9) as shared from s join t p on p.key = a join t q on q.key = b")
 def weighted_overlap_pairs(spark, d):
-    e = _entities(spark, d)
+    return _tier_overlaps(spark, d, _entities(spark, d), "entities")
+
+
+def _tier_overlaps(spark, d, e, sig):
     tiers = table(spark, d, "article").select("id", F.col("tier").alias("key")).distinct()
-    elements = e.join(tiers, "id").select("key", F.explode("entities").alias("element")).distinct()
+    elements = e.join(tiers, "id").select("key", F.explode(sig).alias("element")).distinct()
     keys = elements.select("key").distinct()
     pairs = keys.withColumnRenamed("key", "a").join(keys.withColumnRenamed("key", "b"), F.col("a") < F.col("b"))  # a few tiers
-    out = E.weighted_overlap(pairs, E.signature_stats(e, "entities"), "a", "b", elements, "key")
+    out = E.weighted_overlap(pairs, E.signature_stats(e, sig), "a", "b", elements, "key")
     return out.select("a", "b", F.round("overlap", 9).alias("overlap"), F.round("shared", 9).alias("shared"))
 
 
+# the signature_ queries: the same over signatures of title and summary, figures among them; SQL of the kind above has no look-behind for the figures
+
+def _timed(articles):
+    """One row per id that has a title; one without a time in any row is published now, as in normalize_entries."""
+    known = F.coalesce("published", F.min("published").over(Window.partitionBy("id")), now())
+    return I.best_of_id(articles.where("title is not null").withColumn("published", known))
+
+
+def _signatures(spark, d):
+    a = _timed(table(spark, d, "article"))
+    return a.select("id", E.signature(F.concat_ws(" ", "title", "summary"), ENTITIES).alias("signature"))
+
+
+@query("signature_extract")
+def signature_extract(spark, d):
+    return _signatures(spark, d)
+
+
+@query("signature_stats")
+def signature_stats(spark, d):
+    return E.signature_stats(_signatures(spark, d)).withColumn("weight", F.round("weight", 9))
+
+
+@query("signature_consensus")
+def signature_consensus(spark, d):
+    s = _signatures(spark, d)
+    return E.consensus_signature(s.withColumn("cluster_id", F.substring("id", 1, 2)), E.signature_stats(s))
+
+
+@query("signature_anchors")
+def signature_anchors(spark, d):
+    return _signatures(spark, d).select("id", E.anchors(F.col("signature"), ANCHORS).alias("opens"))
+
+
+@query("signature_overlap_pairs")
+def signature_overlap_pairs(spark, d):
+    return _tier_overlaps(spark, d, _signatures(spark, d), "signature")
+
+
 # ---------------------------------------------------------------- events: members
 
 _MEM = rf"""ev as (select arg_min(struct_pack(row_id, articles), row_id) v from news_event where articles is not null group by coalesce(lower(trim(id)), '#' || row_id)),
@@ -377,12 +419,6 @@ def revision_dedupe(spark, d):
     return R.dedupe_revisions(_timed(table(spark, d, "article")))
 
 
-def _timed(articles):
-    """One row per id that has a title; one without a time in any row is published now, as in normalize_entries."""
-    known = F.coalesce("published", F.min("published").over(Window.partitionBy("id")), now())
-    return I.best_of_id(articles.where("title is not null").withColumn("published", known))
-
-
 def _docs(spark, d):
     from evidentia.scratch import Scratch
 

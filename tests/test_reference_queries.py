@@ -1,6 +1,7 @@
 """Queries of the engine's own operators over small article tables."""
 
 import datetime as dt
+import math
 
 from evidentia.operators import revisions as R
 from evidentia.plans import reference_queries as Q
@@ -50,3 +51,18 @@ def test_revisions_keep_an_article_without_a_time(spark):
     row = ("a", "Northern council votes on ferry quota after a storm", None, None, "alpha.test", "T1", "en", 0)
     got = R.dedupe_revisions(spark.createDataFrame([row], ARTICLE)).collect()
     assert [(r.id, r.kept_id) for r in got] == [("a", "a")]
+
+
+def test_signatures_hold_summary_and_figures(spark, tmp_path):
+    d = articles(spark, tmp_path, [("aa1", "Morning notes", "A frigate fired 340 flares", 0), ("ab1", "Navy drill", None, None), ("ac1", "7 boats", "", 0)])
+    assert {r.id: set(r.signature) for r in Q.signature_extract(spark, d).collect()} == {"aa1": {"warship", "n:340"}, "ab1": {"navy", "drill"}, "ac1": {"n:7"}}
+    assert {r.element: (r.df, r.n) for r in Q.signature_stats(spark, d).collect()} == {x: (1, 3) for x in ("warship", "n:340", "navy", "drill", "n:7")}
+    assert {(r.cluster_id, r.element) for r in Q.signature_consensus(spark, d).collect()} == {("aa", "warship"), ("aa", "n:340"), ("ab", "navy"), ("ab", "drill"), ("ac", "n:7")}
+    assert {r.id: set(r.opens) for r in Q.signature_anchors(spark, d).collect()} == {"aa1": {"n:340"}, "ab1": {"drill"}, "ac1": set()}
+
+
+def test_overlap_of_tiers_by_figures(spark, tmp_path):
+    rows = [("a", "Notes", "340 flares", T0, "x.test", "T1", "en", 0), ("b", "340 flares, a drill", None, T0, "y.test", "T2", "en", 1)]
+    spark.createDataFrame(rows, ARTICLE).write.parquet(f"{tmp_path}/article.parquet")
+    got = Q.signature_overlap_pairs(spark, str(tmp_path)).collect()
+    assert [(r.a, r.b, r.overlap, r.shared) for r in got] == [("T1", "T2", 1.0, round(math.log(2), 9))]
