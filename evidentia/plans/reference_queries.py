@@ -428,7 +428,7 @@ def _docs(spark, d):
 
 @query("tfidf_top_terms")
 def tfidf_top_terms(spark, d):
-    w = L.tfidf(_docs(spark, d).withColumn("x", T.normalize_text(F.concat_ws(" ", "title", "summary"))).select("id", "lang", L.terms(F.col("x"), F.col("lang")).alias("terms")))
+    w = L.tfidf(_termed(spark, d))
     return w.groupBy("lang", "term").agg(F.round(F.sum("w"), 6).alias("w")).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.col("w").desc(), "term"))).where("rank <= 25")
 
 
@@ -453,6 +453,25 @@ def cosine_pairs(spark, d):
     return L.cosine_pairs(L.tfidf(docs), docs, least=0.5).select("a", "b", F.round("cos", 6).alias("cos"))
 
 
+def _termed(spark, d):
+    """Articles with the terms that the linkage takes: title and summary, by the language of the title's script."""
+    return _docs(spark, d).withColumn("x", T.normalize_text(F.concat_ws(" ", "title", "summary"))).select("id", "lang", "published", L.terms(F.col("x"), F.col("lang")).alias("terms"))
+
+
+@query("terms_tfidf_weights")
+def terms_tfidf_weights(spark, d):
+    return L.tfidf(_termed(spark, d)).select("id", "term", F.round("w", 6).alias("w"))
+
+
+@query("terms_cosine_pairs")
+def terms_cosine_pairs(spark, d):
+    from evidentia.scratch import Scratch
+
+    scratch = Scratch(spark, "pairs")
+    docs = scratch.keep(_termed(spark, d), "docs")
+    return L.cosine_pairs(scratch.keep(L.tfidf(docs), "weights"), docs, least=0.5).select("a", "b", F.round("cos", 6).alias("cos"))
+
+
 @query("lang_clusters")
 def lang_clusters(spark, d):
     return L.cluster_by_language(spark, _docs(spark, d).withColumn("nums", T.extract_numbers("title")))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 from evidentia.operators import revisions as R
 from evidentia.plans import reference_queries as Q
@@ -66,3 +67,41 @@ def test_overlap_of_tiers_by_figures(spark, tmp_path):
     spark.createDataFrame(rows, ARTICLE).write.parquet(f"{tmp_path}/article.parquet")
     got = Q.signature_overlap_pairs(spark, str(tmp_path)).collect()
     assert [(r.a, r.b, r.overlap, r.shared) for r in got] == [("T1", "T2", 1.0, round(math.log(2), 9))]
+
+
+def plain_weights(docs):
+    """{id: {term: weight}} of (id, lang, terms)."""
+    out = {}
+    for i, lang, terms in docs:
+        own = [t for _, x, t in docs if x == lang]
+        v = {t: (1 + math.log(terms.count(t))) * (math.log((1 + len(own)) / (1 + sum(t in o for o in own))) + 1) for t in set(terms)}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        out[i] = {t: x / norm for t, x in v.items()}
+    return out
+
+
+def words(text):
+    w = [x for x in re.sub(r"[^a-z0-9 ]", " ", text.lower()).split() if len(x) > 1]
+    return w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+
+def grams(text):
+    w = f" {text} "
+    return [w[k: k + n] for n in (2, 3) for k in range(len(w) - n + 1)]
+
+
+def test_terms_pairs_equal_the_plain_procedure(spark, tmp_path):
+    rows = [("a", "Harbour bridge closed,", "after a storm", 0), ("b", "Harbour bridge closed after a", "storm!", 3), ("c", "Ferry quota voted", None, None), ("d", "Ferry quota voted again", None, None), ("e", "北方议会讨论渡轮配额", None, 0), ("f", "北方议会再讨论渡轮配额", "", 2), ("g", "Harbour bridge closed", "after a storm", 90)]
+    labels = ["en", "EN", "eng", None, "zh", "zh-CN", "en-US"]
+    data = [(i, t, s, None if h is None else T0 + dt.timedelta(hours=h), "alpha.test", "T1", x, k) for k, ((i, t, s, h), x) in enumerate(zip(rows, labels))]
+    spark.createDataFrame(data, ARTICLE).write.parquet(f"{tmp_path}/article.parquet")
+    d = str(tmp_path)
+    docs = [(i, "zh" if i in "ef" else "en", grams(t) if i in "ef" else words(f"{t} {s or ''}")) for i, t, s, _ in rows]
+    want = plain_weights(docs)
+    got = {(r.id, r.term): r.w for r in Q.terms_tfidf_weights(spark, d).collect()}
+    assert got.keys() == {(i, t) for i, v in want.items() for t in v} and all(abs(w - want[i][t]) < 2e-6 for (i, t), w in got.items())
+    at = {i: 1e4 if h is None else h for i, _, _, h in rows}
+    lang = {i: x for i, x, _ in docs}
+    cos = {(i, j): sum(w * want[j].get(t, 0) for t, w in want[i].items()) for i in want for j in want if i < j and lang[i] == lang[j] and abs(at[i] - at[j]) <= 48}
+    assert {(r.a, r.b): r.cos for r in Q.terms_cosine_pairs(spark, d).collect()} == {p: round(c, 6) for p, c in cos.items() if c > 0.5}
+    assert {p for p, c in cos.items() if c > 0.5} == {("a", "b"), ("c", "d"), ("e", "f")}
