@@ -30,6 +30,8 @@ table gives empty results.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,7 +191,7 @@ def split_batches(events: DataFrame, target: float = 0.999) -> tuple[DataFrame,
             found.append(f"old-{b}")
             open_ = plain.join(old.select(F.col("row_b").alias("row_id")).distinct(), "row_id", "left_anti")
         open_ = scratch.keep(open_, f"open-{b}-0")
-        for k in range(1, 10_000):
+        for k in count(1):  # each round settles the smallest open row at least
             least_event = open_.groupBy("event").agg(F.min("row_id").alias("me"))
             least_set = open_.groupBy("set").agg(F.min("row_id").alias("ms"))
             near = both.join(least_set.select(F.col("set").alias("b"), "ms"), "b").groupBy("a").agg(F.min("ms").alias("mn")).withColumnRenamed("a", "set")

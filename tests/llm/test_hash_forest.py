@@ -69,3 +69,11 @@ def test_cases(spark):
 
 def test_depth_widens_to_the_target():
     assert H.prefix_depth(0.5) == 3 and H.prefix_depth(0.98) == 2 and H.prefix_depth(0.999) == 1 and H.recall(1) > 0.9999
+
+
+def test_rounds_go_on_until_no_row_is_open(spark, monkeypatch):
+    """A chain of dependent rows, with a bound on rounds of one."""
+    monkeypatch.setattr(H, "range", lambda *a: range(1, 2) if a == (1, 10_000) else range(*a), raising=False)
+    rows = [(k, 0, f"e{k}", [f"x{j}" for j in range(k, k + 4)]) for k in range(1, 7)]
+    acc, rep = run(spark, rows)
+    assert (acc, rep) == brute(rows) and len(acc) > 1
