@@ -39,7 +39,7 @@ from evidentia.llm.characters import single
 from evidentia.scratch import Scratch
 from evidentia.sources.tables import norm_domain
 
-_TOKEN = re.compile(r"[0-9]+|[A-Za-zÀ-ɏ]+(?:['’][A-Za-zÀ-ɏ]+)?|[一二三四五六七八九十百两兩]+|[぀-ヿ㐀-鿿가-힣]")
+_TOKEN = re.compile(r"\d+|[A-Za-zÀ-ɏ]+(?:['’][A-Za-zÀ-ɏ]+)?|[一二三四五六七八九十百两兩]+|[぀-ヿ㐀-鿿가-힣]|[^\W\d_A-Za-zÀ-ɏ぀-ヿ㐀-鿿가-힣]+")
 _CJK_NUMBER = re.compile(r"[一二三四五六七八九十百两兩]+$")
 
 # Number words (articles left out), and Chinese numerals.
@@ -58,6 +58,8 @@ LABEL_HEAD = re.compile(
     re.IGNORECASE,
 )
 LABEL_ENDS = ("sources say", "what we know", "update", "updated", "die lage", "selon des sources", "según fuentes", "laut quellen", "消息人士称", "関係者が明かす", "소식통")
+#: Letters of a word from which on one of them may be replaced.
+MIN_REPLACED = 6
 _BRACKET_END = re.compile(r"\s*[(（][^()（）]{1,12}[)）]\s*$")
 
 
@@ -117,14 +119,17 @@ def tokens(text: str) -> set[str]:
 
 
 class Title:
-    """A bare headline taken apart: its tokens in order, figures marked."""
+    """A bare headline taken apart: its tokens in order, figures marked; small are the words written small, hence no names."""
 
-    __slots__ = ("words", "count")
+    __slots__ = ("words", "count", "small")
 
     def __init__(self, text: str):
         words = []
+        small = set()
         for w in _TOKEN.findall(text):
             low = w.lower()
+            if w == low:
+                small.add(w)
             if low in FILLERS:
                 continue
             c = w[0]
@@ -134,11 +139,12 @@ class Title:
                 low = "#" + str(NUMBERS[low])
             words.append(low)
         self.words = words
+        self.small = small
         self.count = Counter(words)
 
 
 def respelled(a: str, b: str) -> bool:
-    """One letter put in, left out or doubled, or two neighbours exchanged; a letter replaced only in words written small is for the caller."""
+    """One letter put in, left out or doubled, or two neighbours exchanged; a letter replaced is for replaced()."""
     if abs(len(a) - len(b)) > 1 or min(len(a), len(b)) < 2:
         return False
     if len(a) == len(b):
@@ -152,6 +158,11 @@ def respelled(a: str, b: str) -> bool:
     return a[k:] == b[k + 1:]
 
 
+def replaced(a: str, b: str) -> bool:
+    """One letter replaced in a word of some length."""
+    return len(a) == len(b) >= MIN_REPLACED and sum(x != y for x, y in zip(a, b)) == 1
+
+
 def _left_over(t: Title, extra: Counter, other: Title) -> list[int]:
     """The places of the tokens that t has more often; of several occurrences those whose neighbours other lacks."""
     out = []
@@ -181,7 +192,8 @@ def same_headline(a: Title, b: Title, share: float = 0.4) -> bool:
     free_b = list(ib)
     rest_a = []
     for k in ia:
-        hit = next((m for m in free_b if respelled(a.words[k], b.words[m])), None)
+        w = a.words[k]
+        hit = next((m for m in free_b if respelled(w, b.words[m]) or (w in a.small and b.words[m] in b.small and replaced(w, b.words[m]))), None)
         if hit is None:
             rest_a.append(k)
         else:

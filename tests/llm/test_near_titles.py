@@ -74,3 +74,12 @@ def test_cases(spark):
     df = spark.createDataFrame(rows, "id string, title string, source_domain string, published timestamp, block int")
     assert {tuple(sorted((r.a, r.b))) for r in N.near_pairs(df).collect()} == {("1", "2")}
     assert N.near_pairs(df.where("false")).count() == 0
+
+
+def test_a_replaced_letter_and_other_scripts():
+    same = lambda a, b: N.same_headline(N.Title(N.bare(a)), N.Title(N.bare(b)))
+    assert same("Ministers discuss defence plans in Galt", "Ministers discuss defense plans in Galt")
+    assert not same("Ships leave Harlow for repairs", "Ships leave Harlew for repairs")
+    assert not same("Crews find a boat near the reef", "Crews find a coat near the reef")
+    for t in ("Корабли вышли из порта", "เรือออกจากท่า"):
+        assert N.tokens(t)
