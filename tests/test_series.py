@@ -87,3 +87,18 @@ def test_continuity(spark):
     df = spark.createDataFrame([("a", d) for d in days] + [("b", d) for d in days[::2]], "s string, date date")
     got = {r.s: r for r in S.continuity(df, by=["s"]).collect()}
     assert got["a"].continuous and not got["b"].continuous and got["b"].two_day_share == 1.0
+
+
+def test_bulletin_sentence_forms(spark):
+    pages = spark.createDataFrame(
+        [
+            ("Activities 2024.2.1 27 PLA aircraft and 7 PLAN vessels operating around Taiwan were detected up until 6 a.m. 19 of the aircraft crossed the median line",),
+            ("Activities 2026.2.2 3 sorties of PLA aircraft, 7 PLAN ships and 4 official ships were detected as of 6 a.m. 1 out of 3 sorties crossed the median line",),
+            ("Activities 2026.2.3 5 PLAAF warplanes detected by noon, 12 PLAN ships; no sorties crossed the median line",),
+            ("Activities 2026.2.4 5 PLA planes and 12 PLAN ships detected by noon; none of them crossed the median line",),
+            ("Activities 2026.2.5 3 PLA planes detected by noon; 9 sorties had crossed the median line",),
+        ],
+        "html string",
+    )
+    got = [(r.aircraft, r.navy_ships, r.official_ships, r.crossed_median, r.parse_ok) for r in S.parse_bulletin(pages, "html").orderBy("date").collect()]
+    assert got == [(27, 7, 0, 19, True), (3, 7, 4, 1, True), (5, 12, 0, 0, True), (5, 12, 0, 0, True), (3, 0, 0, 3, True)]
