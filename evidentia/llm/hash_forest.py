@@ -1,35 +1,51 @@
-"""New batches deduplicated against all history: a prefix-tree hash forest.
-
-Every accepted row is indexed under several labels, one per tree: the smallest
-hashes of its article ids under ``DEPTH`` hash functions of that tree, written
-one after the other.  A tree is kept as sorted runs of (tree, label, row); a
-batch's rows are looked up by the range of labels that share a prefix with
-theirs, which over sorted runs is an equality join on the prefix.  Prefixes are
-widened (made shorter) until the chance that a row at the threshold is met in
-at least one tree reaches the recall target; candidates are verified exactly on
-their id sets; accepted rows of the batch become a new run, and when there are
-many runs they are merged into one.  History is never scanned row by row: a
-batch reads of the runs what its prefixes reach.
-
-A prefix that very many different id sets share (one article listed in a third
-of all events) is not joined; the sets under it go through an exact join on
-their rarest ids instead, so no link is lost and no bucket is paired with
-itself.  Rows with equal id sets are one set, rows with equal event ids one
-event, and links are made between sets; copies are never paired with one another.
+"""New batches deduplicated against all history: a prefix-tree hash forest, kept on disk.
+
+Every accepted row's id set is put into several orders, one per tree: the ids
+sorted by a hash of the id and the tree.  The first ``DEPTH`` hashes of such an
+order, cut to 24, 20 and 20 bits and written one after the other, are the set's
+label in that tree, so sets whose orders begin alike are neighbours in the
+sorted labels, and all labels under a prefix are one range of them.  A run of
+the forest is a table of (tree, label, row) sorted by them and bucketed by
+(tree, prefix); beside it stand the rows' id sets, bucketed by row, and their
+event ids, bucketed by event.
+
+A batch is labelled and bucketed once; each of its labels meets the range of
+labels with its prefix in every run.  The runs are streamed past the batch, which
+is the built side of the join; they are never shuffled, sorted or labelled again.
+The prefix is the longest one whose chance to be shared in some tree reaches the
+recall target for every two sets that are alike (``prefix_depth`` widens it from
+``DEPTH`` on).  Two sets that share one id only never meet at a depth of two.
+Candidates are verified exactly on their id sets.  Accepted rows become a new
+run; runs are merged with the ones of their size, so there are few of them and a
+row is rewritten a logarithmic number of times.  A forest lives in a folder and
+is opened again from there: ``Forest.create``, ``Forest.open``, ``append``.
+
+A prefix under which very many different sets of a batch or a run stand is not
+joined; the sets under it go through an exact join on their rarest ids instead,
+so no link is lost and no bucket is paired with itself.  Rows with equal id sets
+are one set, rows with equal event ids one event, and links are made between
+sets; copies are never paired with one another.
 
 Within a batch rows depend on one another (a row turned away turns nobody away).
-In every round, an undecided row that is the earliest of its event, of its set
-and of all sets linked to its own is accepted, and what repeats it is turned
-away; the rounds end when no row is undecided.
+In every round, an open row that is the earliest of its event, of its set and of
+all sets linked to its own is accepted, and what repeats it is turned away; after
+a few rounds chains of rows with one open predecessor each are settled whole, by
+pointer doubling.  The rounds end when no row is open.
 
 Defined cases: ids compare in lower case without outer blanks; null ids and
 null elements are no ids; a row without ids can only repeat by its event id, a
 row without event id only by its ids; repeated elements count once; an empty
-table gives empty results.
+table gives empty results; a row_id that the forest holds already is an error of
+the caller (rows come in ascending order of row_id); a row_id repeated in the
+batches counts once.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,34 +54,40 @@ from pyspark.sql import functions as F
 from evidentia.scratch import Scratch, release
 from evidentia.sources.tables import norm_id
 
-TREES, DEPTH = 16, 3
-_HASHES = [f"h{k}" for k in range(DEPTH)]
+TREES, DEPTH = 32, 3
+#: Bits of a label per level; the first level holds the sign and comes first in order.
+BITS = (24, 20, 20)
 
 
-def recall(depth: int, trees: int = TREES, similarity: float = 0.5) -> float:
-    """The chance that two sets of that similarity share a prefix of that depth in some tree."""
-    return 1 - (1 - similarity**depth) ** trees
+def share_prefix(depth: int, union: int) -> float:
+    """The smallest chance that two alike sets of so many different ids have the same first ids in a random order."""
+    both, p = union // 2 + 1, 1.0
+    for k in range(depth):
+        p *= max(0, both - k) / (union - k) if union > k else 1.0
+    return p
 
 
-def prefix_depth(target: float, trees: int = TREES, similarity: float = 0.5) -> int:
+def recall(depth: int, trees: int = TREES) -> float:
+    """The smallest chance that two different alike sets share a prefix of that depth in some tree."""
+    return 1 - (1 - min(0.5**depth, *(share_prefix(depth, u) for u in range(3, 200)))) ** trees
+
+
+def prefix_depth(target: float, trees: int = TREES) -> int:
     """The longest prefix that still reaches the target."""
     depth = DEPTH
-    while depth > 1 and recall(depth, trees, similarity) < target:
+    while depth > 1 and recall(depth, trees) < target:
         depth -= 1
     return depth
 
 
-#: Bytes of a batch's entries, as written, up to which its prefixes are sent to the runs; more are joined by shuffle.
-BROADCAST_BYTES = 16 << 20
-
+def labels(ids: Column, trees: int = TREES) -> Column:
+    """An array of (tree, label); a set of one id has one tree, for its like are equal sets."""
+    def label(t: Column) -> Column:
+        first = F.slice(F.sort_array(F.transform(F.transform(ids, lambda x: F.xxhash64(x)), lambda x: F.xxhash64(x, t))), 1, DEPTH)
+        level = lambda k: F.coalesce(F.get(first, F.lit(k)), F.lit(0).cast("bigint"))
+        return F.shiftleft(F.shiftright(level(0), 40), 40).bitwiseOR(F.shiftleft(F.shiftrightunsigned(level(1), 44), 20)).bitwiseOR(F.shiftrightunsigned(level(2), 44))
 
-def labels(ids: Column) -> Column:
-    """An array of (tree, h): h are the DEPTH hashes of the tree's label."""
-    def least(seed: Column) -> Column:
-        return F.array_min(F.transform(ids, lambda x: F.xxhash64(x, seed)))
-
-    levels = F.sequence(F.lit(0), F.lit(DEPTH - 1))
-    return F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.transform(levels, lambda k: least(t * DEPTH + k)).alias("h")))
+    return F.transform(F.sequence(F.lit(0), F.when(F.size(ids) > 1, trees - 1).otherwise(0)), lambda t: F.struct(t.alias("tree"), label(t).alias("label")))
 
 
 def alike(a: Column, b: Column) -> Column:
@@ -77,79 +99,137 @@ def _size_fits(a: str, b: str) -> Column:
     return (F.col(a) < 2 * F.col(b)) & (F.col(b) < 2 * F.col(a))
 
 
+def _all(dfs: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, dfs)
+
+
 def event_rows(events: DataFrame) -> DataFrame:
     """row_id, batch_no, event (never null), ids (sorted, distinct, may be empty)."""
     ids = F.coalesce(F.array_sort(F.array_distinct(F.filter(F.transform("articles.id", norm_id), lambda x: x.isNotNull()))), F.array().cast("array<string>"))
     return events.select("row_id", "batch_no", F.coalesce(norm_id("id"), F.concat(F.lit("#"), F.col("row_id").cast("string"))).alias("event"), ids.alias("ids"))
 
 
+#: The tables of a run: their columns, what they are bucketed by, what they are sorted by.
+TABLES = {
+    "labels": ("tree int, prefix bigint, label bigint, key bigint, n int", ["tree", "prefix"], ["tree", "prefix", "label"]),
+    "rows": ("row_id bigint, ids array<string>", ["row_id"], ["row_id"]),
+    "events": ("event string, row_id bigint", ["event"], ["event"]),
+}
+
+
 class Forest:
-    """The persisted index of accepted rows."""
-
-    def __init__(self, spark: SparkSession, target: float = 0.999, hot: int = 2000, most_runs: int = 4):
-        self.spark, self.scratch = spark, Scratch(spark, "forest")
-        self.depth, self.hot, self.most_runs = prefix_depth(target), hot, most_runs
-        self.runs: list[str] = []
-        self.n_merges = 0
-
-    def _read(self, kind: str) -> DataFrame | None:
-        if not self.runs:
-            return None
-        return self.spark.read.parquet(*(self.scratch.path(f"{kind}-{r}") for r in self.runs))
-
-    def _bucket(self) -> list[str]:
-        """The columns of a prefix."""
-        return ["tree", *(f"h{k}" for k in range(self.depth))]
-
-    def entries(self, sets: DataFrame, name: str) -> DataFrame:
-        """(key, n, tree, h0, h1, ...) of sets (key, ids), as a table."""
-        each = sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("ids"))).alias("l"))
-        return self.scratch.keep(each.select("key", "n", "l.tree", *(F.col("l.h")[k].alias(f"h{k}") for k in range(DEPTH))), name)
-
-    def add(self, accepted: DataFrame, entries: DataFrame, run: str) -> None:
-        """accepted: row_id, event, set, ids; entries: those of its sets."""
-        rows = self.scratch.keep(accepted, f"rows-{run}")
-        own = entries.withColumnRenamed("key", "set").join(rows.select("set", F.col("row_id").alias("key")), "set").select("key", "n", "tree", *_HASHES)
-        self.scratch.keep(own.sortWithinPartitions("tree", *_HASHES), f"labels-{run}")
-        self.runs.append(run)
-        if len(self.runs) > self.most_runs:
-            self._merge()
-
-    def _merge(self) -> None:
-        name = f"merged{self.n_merges}"
-        self.n_merges += 1
-        self.scratch.keep(self._read("rows"), f"rows-{name}")
-        self.scratch.keep(self._read("labels").repartitionByRange("tree", "h0").sortWithinPartitions("tree", *_HASHES), f"labels-{name}")
-        for r in self.runs:
-            self.scratch.drop(f"rows-{r}")
-            self.scratch.drop(f"labels-{r}")
-        self.runs = [name]
-
-    def links(self, name: str, sets: DataFrame, entries: DataFrame, size: int, history: bool) -> DataFrame:
-        """(key_a, key_b) of alike sets; key_a is a row of the index, or, without history, an earlier one of the sets themselves."""
-        bucket = self._bucket()
+    """The index of accepted rows in a folder that all executors share; one writer at a time."""
+
+    def __init__(self, spark: SparkSession, path: str, state: dict):
+        self.spark, self.path, self.state = spark, path.rstrip("/"), state
+        self.scratch = Scratch(spark, "forest")
+        self._names: dict[tuple[str, str], str] = {}
+        self.depth = prefix_depth(state["target"], state["trees"])
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, target: float = 0.9999, trees: int = TREES, hot: int = 2000, most_runs: int = 4, buckets: int | None = None) -> "Forest":
+        """An empty forest. buckets unless given follow the first batch."""
+        forest = cls(spark, path, {"version": 0, "target": target, "trees": trees, "hot": hot, "most_runs": most_runs, "buckets": buckets, "runs": [], "made": 0})
+        forest._commit()
+        return forest
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> "Forest":
+        """The forest in that folder as its last finished batch left it."""
+        fs, at = _fs(spark, path)
+        found = [f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("manifest-")]
+        if not found:
+            raise FileNotFoundError(f"no forest in {path}")
+        last = max(found, key=lambda p: p.getName())
+        return cls(spark, path, json.loads(spark.sparkContext.wholeTextFiles(last.toString()).first()[1]))
+
+    def _commit(self) -> None:
+        """The state as the next manifest; an earlier one stays valid until this one is whole."""
+        fs, at = _fs(self.spark, self.path)
+        self.state["version"] += 1
+        jvm = self.spark._jvm
+        half, whole = (jvm.org.apache.hadoop.fs.Path(at, f"{kind}-{self.state['version']:09d}.json") for kind in ("part", "manifest"))
+        out = fs.create(half, True)
+        out.write(bytearray(json.dumps(self.state).encode()))
+        out.close()
+        fs.rename(half, whole)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(at, f"manifest-{self.state['version'] - 2:09d}.json"), False)
+
+    @property
+    def runs(self) -> list[list]:
+        """[name, rows] of every run, largest first."""
+        return self.state["runs"]
+
+    def _write(self, kind: str, run: str, df: DataFrame) -> None:
+        ddl, keys, order = TABLES[kind]
+        n, name = self.state["buckets"], f"forest_{uuid.uuid4().hex}"
+        fs, at = _fs(self.spark, f"{self.path}/{kind}-{run}")
+        fs.delete(at, True)  # what an unfinished batch left
+        df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*order).format("parquet").option("path", f"{self.path}/{kind}-{run}").saveAsTable(name)
+        self._names[kind, run] = name
+
+    def _read(self, kind: str, run: str) -> DataFrame:
+        if (kind, run) not in self._names:
+            ddl, keys, order = TABLES[kind]
+            name = self._names[kind, run] = f"forest_{uuid.uuid4().hex}"
+            self.spark.sql(f"create table {name} ({ddl}) using parquet clustered by ({', '.join(keys)}) sorted by ({', '.join(order)}) into {self.state['buckets']} buckets location '{self.path}/{kind}-{run}'")
+        return self.spark.table(self._names[kind, run])
+
+    def _drop(self, run: str) -> None:
+        for kind in TABLES:
+            if (kind, run) in self._names:
+                self.spark.sql(f"drop table if exists {self._names.pop((kind, run))}")
+            fs, at = _fs(self.spark, f"{self.path}/{kind}-{run}")
+            fs.delete(at, True)
+
+    def close(self) -> None:
+        """Forget the tables of this session; the folder stays."""
+        for name in self._names.values():
+            self.spark.sql(f"drop table if exists {name}")
+        self._names.clear()
+        self.scratch.drop()
+
+    def _add(self, run: str, rows: int, tables: dict[str, DataFrame]) -> None:
+        with ThreadPoolExecutor(len(tables)) as pool:
+            list(pool.map(lambda kind: self._write(kind, run, tables[kind]), tables))
+        self.runs.append([run, rows])
+        gone = []
+        if len(self.runs) > self.state["most_runs"]:
+            # the last runs together, as far back as none is more than twice what stands behind it
+            at = len(self.runs) - 2
+            while at > 0 and self.runs[at - 1][1] <= 2 * sum(n for _, n in self.runs[at:]):
+                at -= 1
+            some = self.runs[at:]
+            name, gone = f"m{self.state['made']}", [r for r, _ in some]
+            self.state["made"] += 1
+            with ThreadPoolExecutor(len(TABLES)) as pool:
+                list(pool.map(lambda kind: self._write(kind, name, _all([self._read(kind, r) for r in gone])), TABLES))
+            self.state["runs"] = [*self.runs[:at], [name, sum(n for _, n in some)]]
+        self._commit()
+        for r in gone:
+            self._drop(r)
+
+    def _links(self, name: str, sets: DataFrame, entries: DataFrame) -> DataFrame:
+        """(old, key_a, key_b) of alike sets; key_a is a row of the index (old), or an earlier set of the batch."""
+        bucket, hot = ["tree", "prefix"], self.state["hot"]
         own = entries.select(F.col("key").alias("key_b"), F.col("n").alias("n_b"), *bucket)
-        if history:
-            asked = own.select(*bucket).distinct()
-            asked = F.broadcast(asked) if size <= BROADCAST_BYTES else asked
-            # the part of the runs that the batch's prefixes reach; the rest is not looked at again
-            reached = self._read("labels").join(asked, bucket, "left_semi")
-            other = self.scratch.keep(reached.select(F.col("key").alias("key_a"), F.col("n").alias("n_a"), *bucket), f"reached-{name}")
-            data = self._read("rows").select(F.col("row_id").alias("key_a"), F.col("ids").alias("ids_a"))
-            order = F.lit(True)
-        else:
-            other = own.select(F.col("key_b").alias("key_a"), F.col("n_b").alias("n_a"), *bucket)
-            data = sets.select(F.col("key").alias("key_a"), F.col("ids").alias("ids_a"))
-            order = F.col("key_a") < F.col("key_b")
         mine = sets.select(F.col("key").alias("key_b"), F.col("ids").alias("ids_b"))
-        crowded, n_crowded = self.scratch.keep_counted(other.groupBy(*bucket).count().where(F.col("count") > self.hot).select(*bucket), f"crowded-{name}")
-        met = own
-        if n_crowded:
-            met = own.join(crowded, bucket, "left_anti")
-        pairs = met.join(other, bucket).where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
-        if n_crowded:
-            pairs = pairs.unionByName(self._by_rarest(other.join(crowded, bucket, "left_semi").select("key_a").distinct(), data, own.join(crowded, bucket, "left_semi").select("key_b").distinct(), mine, order))
-        return pairs.distinct().join(data, "key_a").join(mine, "key_b").where(alike(F.col("ids_a"), F.col("ids_b"))).select("key_a", "key_b")
+        sides = [(False, entries, sets.select(F.col("key").alias("key_a"), F.col("ids").alias("ids_a")), F.col("key_a") < F.col("key_b"))]
+        sides += [(True, self._read("labels", r), self._read("rows", r).select(F.col("row_id").alias("key_a"), F.col("ids").alias("ids_a")), F.lit(True)) for r, _ in self.runs]
+        out = []
+        crowds = [e.groupBy(*bucket).count().where(F.col("count") > hot).select(*bucket) for _, e, _, _ in sides]
+        # no shuffle: every side is bucketed by the prefix
+        crowded, n_crowded = self.scratch.keep_counted(_all(crowds).distinct(), f"crowded-{name}")
+        for old, labels_a, data, order in sides:
+            other = labels_a.select(F.col("key").alias("key_a"), F.col("n").alias("n_a"), *bucket)
+            met = own.hint("shuffle_hash") if not n_crowded else own.join(F.broadcast(crowded) if n_crowded < 100_000 else crowded, bucket, "left_anti")
+            pairs = other.join(met, bucket).where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
+            if n_crowded:
+                pairs = pairs.unionByName(self._by_rarest(other.join(crowded, bucket, "left_semi").select("key_a").distinct(), data, own.join(crowded, bucket, "left_semi").select("key_b").distinct(), mine, order))
+            # the batch's pairs are few: they are what is built, the run's rows stream past them
+            seen = data.join(pairs.distinct().hint("shuffle_hash"), "key_a")
+            out.append(seen.join(mine, "key_b").where(alike(F.col("ids_a"), F.col("ids_b"))).select(F.lit(old).alias("old"), "key_a", "key_b"))
+        return self.scratch.keep(_all(out), f"links-{name}")
 
     def _by_rarest(self, keys_a: DataFrame, data: DataFrame, keys_b: DataFrame, mine: DataFrame, order: Column) -> DataFrame:
         """Candidates under crowded prefixes, exactly: sets that are alike share one of the n - floor(n / 2) rarest ids of each."""
@@ -164,60 +244,120 @@ class Forest:
 
         return rarest(a, "key_a", "ids_a").join(rarest(b, "key_b", "ids_b"), "x").where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
 
-
-def split_batches(events: DataFrame, target: float = 0.999) -> tuple[DataFrame, DataFrame]:
-    """(accepted, repeats): row_id of every accepted row, and (row_a, row_b) of every accepted row_a that row_b, turned away, repeats."""
-    spark = events.sparkSession
-    forest = Forest(spark, target)
-    scratch = forest.scratch
-    rows = scratch.keep(event_rows(events).where("row_id is not null"), "all")
-    batches = [r[0] for r in rows.select(F.coalesce("batch_no", F.lit(-1)).alias("b")).distinct().orderBy("b").collect()]  # one number per batch
-    found: list[str] = []
-    for b in batches:
-        batch = rows.where(F.coalesce("batch_no", F.lit(-1)) == b)
-        first = batch.where("size(ids) > 0").groupBy("ids").agg(F.min("row_id").alias("set"))
-        mine = scratch.keep(batch.join(first, "ids", "left").select("row_id", "event", F.coalesce("set", -F.col("row_id") - 1).alias("set"), "ids"), f"batch-{b}")
+    def append(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(accepted, repeats) of one batch of event_rows: row_id; and (row_a, row_b) of every accepted row_a that row_b, turned away, repeats. The accepted rows are then part of the forest."""
+        scratch, b = self.scratch, f"b{self.state['made']}"
+        self.state["made"] += 1
+        marked = rows.select("row_id", "event", "ids", F.when(F.size("ids") > 0, F.md5(F.concat_ws("\x1f", "ids"))).alias("s"))
+        first = marked.where("s is not null").groupBy("s").agg(F.min("row_id").alias("set"))
+        mine, n_mine = scratch.keep_counted(marked.join(first, "s", "left").select("row_id", "event", F.coalesce("set", -F.col("row_id") - 1).alias("set"), "ids"), f"batch-{b}")
+        if not self.state["buckets"]:
+            self.state["buckets"] = max(self.spark.sparkContext.defaultParallelism, n_mine * self.state["trees"] // 1_000_000)
         sets = mine.where("set = row_id").select(F.col("set").alias("key"), "ids")
-        entries = forest.entries(sets, f"entries-{b}")
-        edge = scratch.keep(forest.links(f"own-{b}", sets, entries, 0, False).select(F.col("key_a").alias("a"), F.col("key_b").alias("b")), f"edge-{b}")
+        shift = sum(BITS[self.depth:])
+        each = sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("ids"), self.state["trees"])).alias("l"))
+        run = f"new{b}"
+        self._write("labels", run, each.select("l.tree", F.shiftright("l.label", shift).alias("prefix"), "l.label", "key", "n"))
+        entries = self._read("labels", run)
+        links = self._links(b, sets, entries)
+        edge = links.where("not old").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
         both = edge.unionByName(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         plain = mine.select("row_id", "event", "set")
+        found = []
         open_ = plain
-        parts = []
-        if forest.runs:
-            by_set = forest.links(f"old-{b}", sets, entries, scratch.size(f"entries-{b}"), True).select(F.col("key_a").alias("row_a"), F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
-            by_event = forest._read("rows").select(F.col("row_id").alias("row_a"), "event").join(plain, "event").select("row_a", F.col("row_id").alias("row_b"))
-            old = scratch.keep(by_set.unionByName(by_event).distinct(), f"old-{b}")
-            found.append(f"old-{b}")
+        if self.runs:
+            by_set = links.where("old").select(F.col("key_a").alias("row_a"), F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
+            by_event = [self._read("events", r).select(F.col("row_id").alias("row_a"), "event").join(plain.hint("shuffle_hash"), "event").select("row_a", F.col("row_id").alias("row_b")) for r, _ in self.runs]
+            old = scratch.keep(_all([by_set, *by_event]).distinct(), f"old-{b}")
+            found.append(old)
             open_ = plain.join(old.select(F.col("row_b").alias("row_id")).distinct(), "row_id", "left_anti")
-        open_ = scratch.keep(open_, f"open-{b}-0")
-        for k in count(1):  # each round settles the smallest open row at least
+        accepted = self._settle(b, open_, both)
+        a, later = accepted.withColumnRenamed("row_id", "row_a"), plain.withColumnRenamed("row_id", "row_b")
+        same_event = a.select("row_a", "event").join(later.select("row_b", "event"), "event").select("row_a", "row_b")
+        same_set = a.select("row_a", "set").join(later.select("row_b", "set"), "set").select("row_a", "row_b")
+        near_set = a.select("row_a", F.col("set").alias("a")).join(both, "a").select("row_a", F.col("b").alias("set")).join(later.select("row_b", "set"), "set").select("row_a", "row_b")
+        found.append(_all([same_event, same_set, near_set]).where("row_a < row_b").distinct())
+        repeats = scratch.keep(_all(found), f"repeats-{b}")
+        taken, n = scratch.keep_counted(accepted, f"accepted-{b}")
+        key = taken.select(F.col("set").alias("key"), "row_id")
+        self._add(b, n, {
+            "labels": entries.join(key, "key").select("tree", "prefix", "label", F.col("row_id").alias("key"), "n"),
+            "rows": sets.join(key, "key").select("row_id", "ids"),
+            "events": taken.select("event", "row_id"),
+        })
+        self._drop(run)
+        for name in ("batch", "crowded", "links", "old", *(f"state{k}" for k in range(self._rounds))):
+            scratch.drop(f"{name}-{b}")
+        release(self.spark)
+        return taken.select("row_id"), repeats
+
+    def _settle(self, b: str, open_: DataFrame, both: DataFrame, plain_rounds: int = 4) -> DataFrame:
+        """(row_id, event, set) of the accepted among open rows; both: (a, b) of linked sets, either way."""
+        parts = []
+        for k in count():
             least_event = open_.groupBy("event").agg(F.min("row_id").alias("me"))
             least_set = open_.groupBy("set").agg(F.min("row_id").alias("ms"))
             near = both.join(least_set.select(F.col("set").alias("b"), "ms"), "b").groupBy("a").agg(F.min("ms").alias("mn")).withColumnRenamed("a", "set")
-            state = open_.join(least_event, "event").join(least_set, "set").join(near, "set", "left")
-            taken = scratch.keep(state.where("row_id = me and row_id = ms and (mn is null or row_id < mn)").select("row_id", "event", "set"), f"taken-{b}-{k}")
-            parts.append(f"taken-{b}-{k}")
+            first = (F.col("row_id") == F.col("me")) & (F.col("row_id") == F.col("ms")) & (F.col("mn").isNull() | (F.col("row_id") < F.col("mn")))
+            state = open_.join(least_event, "event").join(least_set, "set").join(near, "set", "left").select("row_id", "event", "set", first.alias("taken"))
+            state, n = self.scratch.keep_counted(state, f"state{k}-{b}")
+            self._rounds = k + 1
+            if n and k >= plain_rounds:
+                even = self._chains(f"{b}-{k}", state, both)
+                state = state.join(even, "row_id", "left").select("row_id", "event", "set", (F.col("taken") | F.col("even").isNotNull()).alias("taken"))
+            taken = state.where("taken").drop("taken")
+            parts.append(taken)
+            if not n:
+                return _all(parts)
             gone = taken.select("set").unionByName(both.join(taken.select(F.col("set").alias("a")), "a").select(F.col("b").alias("set"))).distinct()
-            rest = open_.join(taken.select("event"), "event", "left_anti").join(gone, "set", "left_anti")
-            rest, n_rest = scratch.keep_counted(rest, f"open-{b}-{k}")
-            scratch.drop(f"open-{b}-{k - 1}")
-            open_ = rest
-            if not n_rest:
+            open_ = state.where("not taken").drop("taken").join(taken.select("event").distinct(), "event", "left_anti").join(gone, "set", "left_anti")
+
+    def _chains(self, name: str, state: DataFrame, both: DataFrame) -> DataFrame:
+        """(row_id, even): open rows that stand an even number of steps behind an accepted row, over rows with one open predecessor each."""
+        def two(rows: DataFrame, group: str) -> DataFrame:
+            """(group, p): the two smallest p of a group."""
+            one = rows.groupBy(group).agg(F.min("p").alias("p1"))
+            next_ = rows.join(one, group).where("p > p1").groupBy(group).agg(F.min("p").alias("p"))
+            return one.select(group, F.col("p1").alias("p")).unionByName(next_)
+
+        by_event = two(state.select("event", F.col("row_id").alias("p")), "event")
+        by_set = two(state.select("set", F.col("row_id").alias("p")), "set")
+        near = two(both.join(by_set.withColumnRenamed("set", "b"), "b").select(F.col("a").alias("set"), "p"), "set")
+        earlier = _all([state.join(x, k).where("p < row_id").select("row_id", "p") for x, k in ((by_event, "event"), (by_set, "set"), (near, "set"))]).distinct()
+        lone = earlier.groupBy("row_id").agg(F.count(F.lit(1)).alias("k"), F.min("p").alias("p")).where("k = 1").select("row_id", "p")
+        # p and the parity of the steps to it; a row without a lone predecessor points at itself
+        step = state.select("row_id").join(lone, "row_id", "left").select("row_id", F.coalesce("p", "row_id").alias("p"), F.col("p").isNotNull().cast("int").alias("odd"))
+        step = self.scratch.keep(step, f"chain-{name}-0")
+        for j in count(1):
+            up = step.select(F.col("row_id").alias("p"), F.col("p").alias("pp"), F.col("odd").alias("podd"))
+            step = self.scratch.keep(step.join(up, "p").select("row_id", F.col("pp").alias("p"), ((F.col("odd") + F.col("podd")) % 2).alias("odd"), (F.col("p") != F.col("pp")).alias("moved")), f"chain-{name}-{j}")
+            moved = step.where("moved").limit(1).count()
+            step = step.drop("moved")
+            if j > 1:
+                self.scratch.drop(f"chain-{name}-{j - 1}")
+            if not moved:
                 break
-        accepted = spark.read.parquet(*(scratch.path(p) for p in parts))
-        a = accepted.select(F.col("row_id").alias("row_a"), "event", "set")
-        later = plain.select(F.col("row_id").alias("row_b"), "event", "set")
-        same_event = a.select("row_a", "event").join(later.select("row_b", "event"), "event").select("row_a", "row_b")
-        same_set = a.select("row_a", "set").join(later.select("row_b", "set"), "set").select("row_a", "row_b")
-        near_set = a.select("row_a", F.col("set").alias("a")).join(both, "a").select("row_a", F.col("b").alias("set")).join(later.select("row_b", "set"), "set").select("row_a", "row_b")
-        scratch.keep(same_event.unionByName(same_set).unionByName(near_set).where("row_a < row_b").distinct(), f"new-{b}")
-        found.append(f"new-{b}")
-        forest.add(mine.join(accepted.select("row_id"), "row_id", "left_semi"), entries, f"b{b}")
-        for name in (f"batch-{b}", f"entries-{b}", f"edge-{b}", *parts):
-            scratch.drop(name)
-        release(spark)
-    if not batches:
+        roots = state.where("taken").select(F.col("row_id").alias("p"))
+        return step.join(roots, "p").where("odd = 0").select("row_id", F.lit(True).alias("even"))
+
+
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def split_batches(events: DataFrame, target: float = 0.9999, path: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """(accepted, repeats) of all batches of events, in order, against a forest; an existing one at `path`, or a new one in the scratch folder."""
+    spark = events.sparkSession
+    scratch = Scratch(spark, "batches")
+    rows = event_rows(events).where("row_id is not null").select("row_id", F.coalesce("batch_no", F.lit(-1)).alias("b"), "event", "ids")
+    once = rows.groupBy("row_id").agg(F.min(F.struct("b", "event", "ids")).alias("r")).select("row_id", "r.event", "r.ids", "r.b")
+    rows = scratch.keep(once, "all", ["b"])
+    batches = [r[0] for r in rows.select("b").distinct().orderBy("b").collect()]  # one number per batch
+    forest = Forest.open(spark, path) if path else Forest.create(spark, scratch.path("forest"), target, **options)
+    done = [forest.append(rows.where(F.col("b") == b)) for b in batches]
+    if not done:
         empty = rows.select("row_id")
         return empty, empty.select(F.col("row_id").alias("row_a"), F.col("row_id").alias("row_b"))
-    return forest._read("rows").select("row_id"), spark.read.parquet(*(scratch.path(p) for p in found))
+    return tuple(_all([d[k] for d in done]) for k in (0, 1))

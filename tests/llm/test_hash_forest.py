@@ -57,8 +57,7 @@ def test_crowded_prefixes_lose_nothing(spark, monkeypatch):
     seen = []
     plain = H.Forest._by_rarest
     monkeypatch.setattr(H.Forest, "_by_rarest", lambda self, *a: seen.append(1) or plain(self, *a))
-    monkeypatch.setattr(H.Forest.__init__, "__defaults__", (0.999, 3, 4))
-    assert run(spark, rows) == brute(rows) and seen
+    assert run(spark, rows, hot=3) == brute(rows) and seen
 
 
 def test_cases(spark):
@@ -68,12 +67,61 @@ def test_cases(spark):
 
 
 def test_depth_widens_to_the_target():
-    assert H.prefix_depth(0.5) == 3 and H.prefix_depth(0.98) == 2 and H.prefix_depth(0.999) == 1 and H.recall(1) > 0.9999
+    assert H.prefix_depth(0.5) == 2 and H.prefix_depth(0.9998) == 2 and H.prefix_depth(0.99995) == 1
+    assert H.recall(2) > 0.9998 and H.recall(1) > 0.999999 and H.share_prefix(2, 3) == pytest.approx(1 / 3)
+
+
+def test_labels_are_ranges(spark):
+    """Equal first ids of an order give equal prefixes, and the prefix is the head of the label."""
+    rows = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "b", "d"]), (3, ["q"])], "k int, ids array<string>")
+    got = rows.select("k", H.F.explode(H.labels(H.F.col("ids"))).alias("l")).select("k", "l.*").collect()
+    assert sum(r.k == 3 for r in got) == 1 and sum(r.k == 1 for r in got) == H.TREES
+    of = {(r.k, r.tree): r.label for r in got}
+    both = sum(of[1, t] >> 20 == of[2, t] >> 20 for t in range(H.TREES))
+    assert 0 < both < H.TREES and all(of[1, t] >> 40 == of[2, t] >> 40 for t in range(H.TREES) if of[1, t] >> 20 == of[2, t] >> 20)
+
+
+def test_chains_are_settled_whole(spark, monkeypatch):
+    """A chain of rows each of which repeats the one before: far fewer rounds than rows."""
+    rows = [(k, 0, f"e{k}", [f"x{j}" for j in range(2 * k, 2 * k + 8)]) for k in range(1, 40)]
+    rounds = []
+    settle = H.Forest._settle
+    monkeypatch.setattr(H.Forest, "_settle", lambda self, *a: (settle(self, *a, plain_rounds=1), rounds.append(self._rounds))[0])
+    acc, rep = run(spark, rows)
+    assert (acc, rep) == brute(rows) and len(acc) == 20 and rounds == [3]
 
 
-def test_rounds_go_on_until_no_row_is_open(spark, monkeypatch):
-    """A chain of dependent rows, with a bound on rounds of one."""
-    monkeypatch.setattr(H, "range", lambda *a: range(1, 2) if a == (1, 10_000) else range(*a), raising=False)
-    rows = [(k, 0, f"e{k}", [f"x{j}" for j in range(k, k + 4)]) for k in range(1, 7)]
-    acc, rep = run(spark, rows)
-    assert (acc, rep) == brute(rows) and len(acc) > 1
+def test_a_forest_is_opened_again(spark, tmp_path):
+    rows = make(120, 9)
+    df = spark.createDataFrame([(r, b, e, None if a is None else [(x,) for x in a], 1) for r, b, e, a in rows], SCHEMA)
+    each = H.event_rows(df)
+    want = brute(rows)
+    acc, rep = set(), set()
+    H.Forest.create(spark, str(tmp_path / "f"), most_runs=2).close()
+    for lo, hi in ((0, 40), (40, 70), (70, 80), (80, 120)):
+        forest = H.Forest.open(spark, str(tmp_path / "f"))
+        a, r = forest.append(each.where((H.F.col("row_id") > lo) & (H.F.col("row_id") <= hi)))
+        acc |= {x.row_id for x in a.collect()}
+        rep |= {(x.row_a, x.row_b) for x in r.collect()}
+        assert len(forest.runs) <= 2
+        forest.close()
+    assert (acc, rep) == want
+    with pytest.raises(Exception):
+        H.Forest.open(spark, str(tmp_path))
+
+
+def test_the_run_is_not_shuffled(spark, tmp_path):
+    """The join of a batch with a run shuffles neither side's labels; the run is streamed."""
+    rows = make(120, 9)
+    df = spark.createDataFrame([(r, b, e, None if a is None else [(x,) for x in a], 1) for r, b, e, a in rows], SCHEMA)
+    forest = H.Forest.create(spark, str(tmp_path / "f"))
+    forest.append(H.event_rows(df))
+    run = forest.runs[0][0]
+    a = forest._read("labels", run)
+    plan = a.join(a.select("tree", "prefix", H.F.col("key").alias("k")).hint("shuffle_hash"), ["tree", "prefix"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ShuffledHashJoin" in plan
+
+
+def test_repeated_rows_count_once(spark):
+    rows = make(40, 2)
+    assert run(spark, rows + rows[:20]) == brute(rows)
