@@ -1,29 +1,33 @@
 """Template residue, filler and error-page text in place of content.
 
 Records become messages: characters that look alike are brought to one form,
-accents and case folded, digit runs and the record's own outlet name masked,
-an outlet tail taken off.  Messages are counted once each and sorted into the
-leaves of a prefix tree of fixed depth (number of tokens, then the first
-``DEPTH`` tokens; text without blanks is cut into pieces of three characters).
-
-Every message is classified once, and the verdict goes back to all its records:
-
-* ``notice``: the message is, as a whole, an error, script or access notice, or
-  filler, by the wordings below; a headline that merely mentions such a page
-  has words around it and does not match;
-* ``notice`` as well: a message sent again and again by several outlets over
-  weeks that dominates its leaf (headline patterns fill a leaf with many
-  different messages) and holds a cue of such notices, or, sent still more
-  often, is all but alone in its leaf;
-
-and, beside that, per record
-
-* ``slot``: an unfilled placeholder anywhere in the text.
+case and accents folded, digit runs, the record's own outlet name and runs of the
+printers' filler passage masked, an outlet before or behind taken off.  Messages
+are counted once each and put into a prefix tree of fixed depth over their number
+of tokens and first tokens (words; pieces of three characters of scripts without
+blanks): only branches that
+hold most of what stands under their parent are followed, for a template's
+wording goes on where a headline pattern has many.  Under such a branch every
+place of a message is constant, or a wildcard where tokens differ; the message
+with its wildcards is its template.
+
+Every template is classified once, and the verdict goes back to all its records:
+a ``notice`` is constant in nearly all places, holds most of its branch, and has
+been sent by several outlets on several days over weeks.  A headline that several
+outlets carry stays within days; one that merely mentions an error page is not
+sent again and again.  No wording is listed.
+
+Beside that, per record, a ``slot`` is an unfilled placeholder anywhere in the text.
+
+Spread is counted by outlets and days (as bits of two 63-bit sketches, so
+redelivered rows count once), and shares by rows, so nothing depends on the size of
+the table but that a template must have been seen ``min_outlets`` times.  For a small
+corpus the verdict table of a larger one can be passed to ``flag``.
 
 Defined cases: a null text has a null verdict, an empty or blank one the
-verdict ``empty``; other columns pass through
-(one called residue is replaced); an empty table gives an empty
-result; repeated records get the same verdict.
+verdict ``empty``; other columns pass through (one called residue is replaced); an
+empty table gives an empty result; repeated records get the same verdict; null
+outlets and times count for no spread.
 """
 
 from __future__ import annotations
@@ -33,7 +37,9 @@ from pyspark.sql import functions as F
 
 from evidentia.llm.characters import folding, pairs_1to1
 from evidentia.scratch import Scratch
+from evidentia.sources.tables import norm_domain
 
+#: Levels of the prefix tree.
 DEPTH = 3
 
 _NAME = r"[A-Za-z][A-Za-z0-9]*(?:[_.][A-Za-z0-9]+)*"
@@ -57,59 +63,10 @@ SLOT = "|".join(
     ]
 )
 
-# Wordings of notices and filler, on the folded message (case and accents folded, digits 0, outlet <src>).
-NOTICES = [
-    # scripts, cookies, robots
-    r"please (?:enable|turn on|activate) (?:javascript|scripts?|cookies)(?: (?:to|in) .{1,40})?",
-    r"<src> (?:does not|doesn't|will not|won't) work (?:properly )?without (?:javascript|scripts?|cookies)(?: enabled)?",
-    r"your browser (?:has|does not|doesn't|is) .{0,20}(?:scripts?|javascript|cookies).{0,25}",
-    r"this (?:site|page|content|website) (?:requires|needs) (?:javascript|scripts?|cookies).{0,30}",
-    r"(?:noscript: ?)?this content needs a script-enabled browser",
-    r"you need to (?:turn on|enable|activate) (?:javascript|scripts?|cookies).{0,25}",
-    r"are you (?:a robot|human)\? ?.{0,25}",
-    r"bitte aktivieren sie (?:javascript|cookies|skripte).{0,30}",
-    r"veuillez activer (?:javascript|les cookies|les scripts).{0,30}",
-    r"(?:por favor,? )?(?:active|activa|habilite|habilita) (?:javascript|las cookies).{0,40}",
-    r"javascriptを有効にして.{0,12}",
-    r"[您你]的浏览器(?:未启用|不支持|已禁用)脚本.{0,10}",
-    r"[請请](?:開啟|开启|启用|啟用)(?:瀏覽器|浏览器)的? ?(?:javascript|脚本|腳本).{0,6}",
-    r"(?:자바스크립트|스크립트|쿠키)[를을] ?(?:활성화|사용|허용)해 ?주세요",
-    r"(?:자바스크립트|스크립트)가 꺼져 있어.{0,15}",
-    # errors, access, maintenance
-    r"(?:http )?(?:error )?0?:? ?(?:0 )?(?:not found|bad gateway|forbidden|service unavailable|gateway timeout|internal server error)(?:,? ?reference 0)?",
-    r"(?:http )?error 0(?: ?[-:] ?.{1,40})?",
-    r"internal server error.{0,20}",
-    r"page (?:not found|missing|unavailable|introuvable)",
-    r"(?:this )?page (?:is )?no longer available",
-    r"sorry, we (?:can't|cannot|could not|couldn't) find .{1,40}",
-    r"access denied(?: to <src>)?",
-    r"session expired.{0,30}",
-    r"too many requests",
-    r"<src> is (?:down for maintenance|under maintenance|temporarily unavailable)",
-    r"connection timed out(?: to <src>)?",
-    r"just a moment(?: while we check your connection|\.*)?",
-    r"(?:request )?could not be served",
-    r"seite nicht gefunden", r"zugriff verweigert(?:, vorgang 0)?", r"(?:interner )?serverfehler",
-    r"page introuvable", r"erreur 0 ?:? ?.{0,30}", r"acces refuse",
-    r"pagina no encontrada", r"acceso denegado", r"error 0 ?:? ?.{0,30}",
-    r"アクセスが拒否されました", r"(?:お探し|ご指定)の(?:ページ|記事)[はが]見つかりません(?:でした)?", r"(?:ただいま|現在)メンテナンス中です",
-    r"[頁页]面[發发]生[錯错][誤误].{0,10}", r"[您你][访訪][问問]的[页頁]面不存在", r"系[统統][维維][护護]中.{0,10}",
-    r"접근이 거부되었습니다", r"서비스 점검 중입니다", r"요청하신 페이지를 찾을 수 없습니다",
-    # filler
-    r"headline goes here", r"(?:insert|your|enter) (?:headline|title)(?: here)?", r"(?:sample|test|dummy) (?:headline|title|article|post)(?: 0)?(?: ?[–—-] ?do not publish)?",
-    r"new post(?: 0)?(?: draft)?(?: placeholder)?", r"untitled(?: document)?(?: 0)?", r"(?:tk ?)+headline(?: tk)*", r"tk(?: tk)*", r"(?:(?:lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|elit|sed|do|eiusmod|tempor|incididunt|ut|labore|et|dolore|magna|aliqua)[,. ]*){3,}", r"(?:test ?){1,6}(?: 0)?",
-    r"(?:asdf|qwer|qwerty|zxcv)(?: (?:asdf|qwer|qwerty|zxcv))*(?: 0)?", r"x{3,}(?: x+)*(?: 0)?", r"\[?object object\]?(?: 0)?", r"(?:null|none|nan|undefined|n/a|tbd|todo)(?: ?[|,/-] ?(?:null|none|nan|undefined))*(?: 0)?",
-    r"titulo de prueba(?: 0)?,? ?(?:no publicar)?", r"titre (?:de test|ici).{0,25}", r"(?:testartikel|platzhalter|titel hier).{0,25}", r"titre a completer ici", r"hier (?:uberschrift|titel) eingeben",
-    r"此[处處]填[写寫][标標][题題]", r"[测測][试試](?:文章|标题)0?,?.{0,6}", r"無標題文件(?: 0)?", r"无标题文[档件](?: 0)?",
-    r"(?:[标標][题題]待定 ?)+", r"(?:제목 ?미정 ?)+", r"(?:(?:タイトル|見出し)未定 ?)+",
-    r"テスト投稿0?です.{0,14}", r"ここに見出しを入力してください",
-    r"제목을 입력하세요", r"테스트 기사 ?0?입니다.{0,12}",
-]
-
-_TAIL = r"(?:[ .。!]*\(0\))?[ .。!]*"
-_NOTICE = rf"^(?:<src> ?[:|–—-] ?)?\(?(?:{'|'.join(NOTICES)})\)?{_TAIL}(?: ?[|–—-] ?<src>)?{_TAIL}$"
-#: Cues that a message often repeated is a notice; ordinary repeated headlines hold none.
-_CUE = r"javascript|cookies|script|browser|robot|error|denied|not found|unavailable|maintenance|gateway|timed out|expired|placeholder|untitled|lorem|do not publish|undefined|null|스크립트|페이지를|접근이|점검 중|제목을|浏览器|瀏覽器|页面|頁面|维护|維護|标题|標題|ページ|アクセス|メンテナンス|見出し|gefunden|introuvable|encontrada|refuse|denegado|verweigert"
+# The words of the printers' filler passage.
+PASSAGE = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua"
+_FILLER = rf"(?:\b(?:{PASSAGE.replace(' ', '|')})\b[ ,.]*){{3,}}"
+_DENSE = "[\\u3040-\\u30ff\\u3400-\\u9fff\\uac00-\\ud7af\\u0e00-\\u0e7f]"
 
 
 def message(text: Column, outlet_name: Column, outlet_host: Column) -> Column:
@@ -121,15 +78,16 @@ def message(text: Column, outlet_name: Column, outlet_host: Column) -> Column:
     for x in (F.lower(outlet_name), hostname):
         t = F.replace(t, F.coalesce(F.when(F.length(x) > 2, x), F.lit("\x00")), F.lit("<src>"))
     t = F.regexp_replace(t, "[0-9]+", "0")
-    t = F.regexp_replace(t, "\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})$", "")
-    return F.rtrim(F.ltrim(t), F.lit(" .。!"))
+    t = F.regexp_replace(t, _FILLER, "<filler>")
+    t = F.regexp_replace(t, "(?:[ .。!]*(?:\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})|[–—-] *<src>))+[ .。!]*$|^<src> ?[:|–—-] ?", "")
+    t = F.regexp_replace(t, "(?:[ .。!]*[(]0[)])?[ .。!]*$", "")
+    t = F.regexp_replace(t, "^[(](.*)[)]$", "$1")
+    return F.ltrim(t)
 
 
-def leaf(m: Column) -> Column:
-    """The leaf of a message in the prefix tree: a hash of its number of tokens and its first tokens."""
-    tokens = F.when(m.contains(" "), F.split(m, " +")).otherwise(F.array(F.substring(m, 1, 3), F.substring(m, 4, 3), F.substring(m, 7, 3)))
-    size = F.when(m.contains(" "), F.size(tokens)).otherwise(-F.length(m))
-    return F.xxhash64(size, F.concat_ws("\x1f", F.slice(tokens, 1, DEPTH)))
+def tokens(m: Column) -> Column:
+    """Words, and pieces of three characters of scripts without blanks."""
+    return F.filter(F.split(F.regexp_replace(m, f"({_DENSE}{{1,3}})", " $1 "), " "), lambda x: x != "")
 
 
 def has_slot(text: Column) -> Column:
@@ -138,20 +96,35 @@ def has_slot(text: Column) -> Column:
     return F.when(text.rlike("[{}@%_$#<\\[｛｝＠％＿＄＃＜［]"), F.translate(text, a, b).rlike(SLOT)).otherwise(False)
 
 
-def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_repeats: int = 3, min_outlets: int = 3, min_days: int = 10, share: float = 0.8, sole: float = 0.9) -> DataFrame:
-    """(_m, _notice): the messages of df that are notices, each once, as a written table."""
-    rows = df.select(message(F.col(text), F.col(name), F.col(host)).alias("_m"), F.coalesce(F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date")), F.lit(0)).alias("_day"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({host}), 63) as int))").alias("_outlet"))
-    messages = rows.where("_m is not null").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), F.bit_or("_outlet").alias("outlets"), F.min(F.when(F.col("_day") > 0, F.col("_day"))).alias("first"), F.max("_day").alias("last"))
-    worded = F.col("_m").rlike(_NOTICE)
-    spread = (F.bit_count("outlets") >= min_outlets) & (F.col("last") - F.col("first") >= min_days) & (F.length("_m") <= 80)
-    repeated = (F.col("n") >= min_repeats) & spread & F.col("_m").rlike(_CUE)
-    constant = (F.col("n") >= 2 * min_repeats) & spread
-    # one pass over the messages: a leaf's size, and those of its messages that may be notices
-    kinds = messages.select("_m", "n", leaf(F.col("_m")).alias("leaf"), F.when(worded, "worded").when(repeated, "repeated").when(constant, "constant").alias("why"))
-    leaves = kinds.groupBy("leaf").agg(F.sum("n").alias("in_leaf"), F.collect_list(F.when(F.col("why").isNotNull(), F.struct("_m", "n", "why"))).alias("some"))
-    mined = leaves.select("in_leaf", F.explode("some").alias("x")).where((F.col("x.why") == "worded") | (F.col("x.n") >= F.when(F.col("x.why") == "constant", sole).otherwise(share) * F.col("in_leaf"))).select("x._m")
+def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain", at: str = "published", min_outlets: int = 3, min_days: int = 3, min_span: int = 10, branch: float = 0.5, constant: float = 0.92) -> DataFrame:
+    """(_m, _notice): the messages of df whose template is a notice, each once, as a written table."""
+    scratch = Scratch(df.sparkSession, "residue")
+    day = F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date"))
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(63)).cast("int"))
+    rows = df.select(message(F.col(text), F.col(name), F.col(host)).alias("_m"), day.alias("day"), bit(F.xxhash64(norm_domain(host))).alias("outlet"), norm_domain(host).isNotNull().alias("named"))
+    spread = [F.bit_or(F.when(F.col("named"), F.col("outlet"))).alias("outlets"), F.bit_or(bit(F.col("day"))).alias("days"), F.min("day").alias("first"), F.max("day").alias("last")]
+    again = [F.bit_or("outlets").alias("outlets"), F.bit_or("days").alias("days"), F.min("first").alias("first"), F.max("last").alias("last")]
+    wide = (F.bit_count("outlets") >= min_outlets) & (F.bit_count("days") >= min_days) & (F.col("last") - F.col("first") >= min_span)
+    counted = rows.where("_m <> ''").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), *spread)
+    toks = tokens(F.col("_m"))
+    level = lambda k: F.coalesce(F.get(F.col("t"), F.lit(k)), F.lit(""))
+    size = F.size("t")
+    messages = counted.withColumn("t", toks).select("_m", "n", "outlets", "days", "first", "last", F.xxhash64(size, *(level(k) for k in range(DEPTH - 1))).alias("parent"), F.xxhash64(size, *(level(k) for k in range(DEPTH))).alias("node"))
+    messages = scratch.keep(messages, "messages")
+    # branches of the tree's last level that hold most of their parent and are spread wide enough to hold a notice
+    nodes = messages.groupBy("parent", "node").agg(F.sum("n").alias("in_node"), *again)
+    parents = nodes.groupBy("parent").agg(F.sum("in_node").alias("in_parent"))
+    followed = nodes.where(wide).join(parents, "parent").where(F.col("in_node") >= branch * F.col("in_parent")).select("node", "in_parent")
+    below = scratch.keep(messages.join(followed, "node").drop("parent"), "below")
+    # places: a token that most of the branch's rows have there is constant, others are wildcards
+    each = below.select("_m", "node", "n", "in_parent", F.posexplode(toks).alias("pos", "token"))
+    share = each.groupBy("node", "pos", "token").agg((F.sum("n") / F.first("in_parent") >= branch).alias("fixed"))
+    placed = each.join(share, ["node", "pos", "token"]).groupBy("_m").agg(F.avg(F.col("fixed").cast("double")).alias("share"), F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("fixed"), F.col("token")).alias("token")))).alias("places"))
+    templates = below.join(placed, "_m").withColumn("template", F.xxhash64("node", "places"))
+    verdict = templates.groupBy("template").agg(F.sum("n").alias("n"), F.first("in_parent").alias("in_parent"), F.first("share").alias("share"), *again)
+    notices = verdict.where(wide & (F.col("share") >= constant) & (F.col("n") >= branch * F.col("in_parent"))).select("template")
     # written, so that its size is known and a join with it is a broadcast only while it is small
-    return Scratch(df.sparkSession, "residue").keep(mined.withColumn("_notice", F.lit(True)), "verdict")
+    return scratch.keep(templates.join(notices, "template", "left_semi").select("_m", F.lit(True).alias("_notice")), "verdict")
 
 
 def flag(df: DataFrame, verdict: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain") -> DataFrame:
