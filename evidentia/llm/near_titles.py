@@ -4,7 +4,14 @@ Rows go to blocks of (outlet, stretch of time); rows near the end of a block are
 also carried into the next one, so a pair within the window is in one block.  A
 block with more rows than ``block_rows`` is split further by the tokens a title
 may share with a partner (its rarest ones in a global order by hash), which
-loses no pair.  So no task holds an unbounded group.
+loses no pair.  So no task holds an unbounded group.  Of a title that an outlet
+repeats within such a crowded block only the first and the last occurrence of each
+stretch as long as the window go on; the others are linked to the first.
+
+Copies are never paired: an occurrence of a title is linked to the one before it,
+and only a title without an occurrence in the last window is looked up.  What is
+similar to it and has occurred within the window has then been linked, or will be
+when it occurs again, so the groups are those of all pairs.
 
 In a block every title becomes a set of tokens (words; single characters of
 scripts without blanks; figures, number words among them), labels and filler
@@ -18,7 +25,7 @@ added, moved and respelled words and filler words do not.  Joined pairs become
 groups by the hooking of ``components``.
 
 Defined cases: null titles, outlets and times join nothing; repeated rows of an
-id count once (its first time); equal titles of one outlet within the window are
+id count once (in a block, its first time); equal titles of one outlet within the window are
 joined; empty titles join nothing; titles are compared whole.
 """
 
@@ -303,10 +310,10 @@ class Trie:
 
 
 def join_block(rows: list[tuple[str, int, str, bool]], window_us: int, share: float) -> list[tuple[str, str]]:
-    """rows (id, time, title, carried) of one block by time -> joined pairs; pairs of two carried rows belong to the block before."""
+    """rows (id, time, title, carried) of one block -> links that join what all pairs within the window would join; links of two carried rows belong to the block before."""
     once: dict[str, tuple[int, str, bool]] = {}
     for id, at, title, carried in rows:
-        if id not in once:
+        if id not in once or at < once[id][0]:
             once[id] = (at, title, carried)
     sets: dict[str, set[str]] = {}
     made: dict[str, Title] = {}  # only what is compared is taken apart
@@ -318,7 +325,7 @@ def join_block(rows: list[tuple[str, int, str, bool]], window_us: int, share: fl
         if sets[t]:
             items.append((at, id, t, carried))
     items.sort(key=lambda x: (x[0], x[1]))
-    often = Counter(chain.from_iterable(sets[t] for _, _, t, _ in items))
+    often = Counter(chain.from_iterable(sets.values()))
 
     def same(a: str, b: str) -> bool:
         for x in (a, b):
@@ -328,39 +335,63 @@ def join_block(rows: list[tuple[str, int, str, bool]], window_us: int, share: fl
 
     order = {g: k for k, g in enumerate(sorted(often, key=lambda g: (often[g], g)))}
     out = []
-    tries: dict[int, Trie] = {}
+    tries: dict[int, tuple[Trie, set[str]]] = {}  # of each stretch the titles that occur in it, once
+    latest: dict[str, tuple[int, str, bool]] = {}
     for at, id, t, carried in items:
         slot = at // window_us
         for s in [s for s in tries if s < slot - 1]:
             del tries[s]
-        grams = sorted(sets[t], key=order.__getitem__)
-        for s in (slot - 1, slot):
-            if s in tries:
-                for at2, id2, t2, carried2 in tries[s].find(grams):
-                    if at - at2 <= window_us and not (carried and carried2) and (t2 == t or same(t2, t)):
-                        out.append((id2, id))
+        before = latest.get(t)
+        grams = None
+        if before and at - before[0] <= window_us:
+            if not (carried and before[2]):
+                out.append((before[1], id))
+        else:
+            grams = sorted(sets[t], key=order.__getitem__)
+            met = {t}
+            for s in (slot - 1, slot):
+                for t2 in tries[s][0].find(grams) if s in tries else ():
+                    if t2 not in met:
+                        met.add(t2)
+                        at2, id2, carried2 = latest[t2]
+                        if at - at2 <= window_us and not (carried and carried2) and same(t2, t):
+                            out.append((id2, id))
+        latest[t] = (at, id, carried)
         if slot not in tries:
-            tries[slot] = Trie(share)
-        tries[slot].add(grams, (at, id, t, carried))
+            tries[slot] = (Trie(share), set())
+        trie, held = tries[slot]
+        if t not in held:
+            held.add(t)
+            trie.add(grams or sorted(sets[t], key=order.__getitem__), t)
     return out
 
 
 def near_pairs(df: DataFrame, text: str = "title", id: str = "id", outlet: str = "source_domain", at: str = "published", hours: int = 36, block_windows: int = 8, share: float = 0.75, block_rows: int = 20_000) -> DataFrame:
-    """(a, b): ids of joined rows; a pair may come out more than once."""
+    """(a, b): links whose groups are those of all joined pairs; a link may come out more than once."""
     spark = df.sparkSession
     window = hours * 3600 * 1_000_000
     block = F.floor(F.col("at") / (window * block_windows))
     rows = df.select(F.col(id).alias("id"), norm_domain(outlet).alias("outlet"), F.unix_micros(F.col(at).cast("timestamp")).alias("at"), F.col(text).alias("title")).where("id is not null and outlet is not null and at is not null and title <> ''")
+    scratch = Scratch(spark, "near")
+    counts = df.select(norm_domain(outlet).alias("outlet"), F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (window * block_windows)).alias("block")).where("outlet is not null and block is not null").groupBy("outlet", "block").count().where(F.col("count") > block_rows)
+    crowded, n_crowded = scratch.keep_counted(counts.select("outlet", "block", F.ceil(F.col("count") / block_rows * 4).cast("int").alias("parts")), "crowded")
+    stars = None
+    if n_crowded:
+        own = rows.withColumn("block", block)
+        title = ["outlet", F.floor(F.col("at") / window).alias("slot"), "title"]
+        dense = own.join(crowded.select("outlet", "block"), ["outlet", "block"], "left_semi")
+        ends = dense.groupBy(*title).agg(F.min(F.struct("at", "id")).alias("lo"), F.max(F.struct("at", "id")).alias("hi"))
+        ends = scratch.keep(ends, "ends")
+        stars = dense.select(*title, "id").join(ends.where("lo <> hi").select("outlet", "slot", "title", F.col("lo.id").alias("a")), ["outlet", "slot", "title"]).where("a <> id").select("a", F.col("id").alias("b"))
+        few = ends.select("outlet", "title", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("x")).select("x.id", "outlet", "x.at", "title")
+        rows = own.join(crowded.select("outlet", "block"), ["outlet", "block"], "left_anti").select("id", "outlet", "at", "title").unionByName(few)
     late = F.floor((F.col("at") + window) / (window * block_windows))
     placed = rows.select("id", "outlet", "at", "title", block.alias("own"), F.explode(F.array_distinct(F.array(block, late))).alias("block"))
     placed = placed.withColumn("carried", F.col("own") < F.col("block")).drop("own")
-    scratch = Scratch(spark, "near")
-    counts = df.select(norm_domain(outlet).alias("outlet"), F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (window * block_windows)).alias("block")).where("outlet is not null and block is not null").groupBy("outlet", "block").count().where(F.col("count") > block_rows)
-    crowded = scratch.keep(counts.select("outlet", "block", F.ceil(F.col("count") / block_rows * 4).cast("int").alias("parts")), "crowded")
     schema = "id string, outlet string, at bigint, title string, block bigint, carried boolean, part int"
     names = ["id", "outlet", "at", "title", "block", "carried", "part"]
     single_part = placed.withColumn("part", F.lit(0))
-    if crowded.limit(1).count():
+    if n_crowded:
         hot = placed.join(crowded, ["outlet", "block"]).select(*names[:6], "parts")
         single_part = placed.join(crowded, ["outlet", "block"], "left_anti").select(*names[:6], F.lit(0).alias("part"))
 
@@ -398,4 +429,5 @@ def near_pairs(df: DataFrame, text: str = "title", id: str = "id", outlet: str =
         if len(group) > 1:
             yield done()
 
-    return ordered.mapInArrow(join, "a string, b string")
+    links = ordered.mapInArrow(join, "a string, b string")
+    return links.unionByName(stars) if stars is not None else links
