@@ -116,11 +116,15 @@ def p9_shares(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))[1]
 
 
+def p9_margins(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))[2]
+
+
 def p10_found(spark, sf_dir):
     return sentences(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p3_found": p3_found, "p3_accepted": p3_accepted, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_segments": p1_segments, "p2_found": p2_found, "p3_found": p3_found, "p3_accepted": p3_accepted, "p5_found": p5_found, "p5_forms": p5_forms, "p6_found": p6_found, "p7_found": p7_found, "p7_groups": p7_groups, "p8_ids": p8_ids, "p10_found": p10_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_margins": p9_margins}
 _P2 = r"""
 with recursive m as (select nullif(lower(trim(id_a, ' ' || chr(9))), '') as a, nullif(lower(trim(id_b, ' ' || chr(9))), '') as b from match_pair),
  l as (select row_id, unnest(list_distinct(list_filter(list_transform(articles, lambda x: nullif(lower(trim(x.id, ' ' || chr(9))), '')), lambda i: i is not null))) as id from news_event where articles is not null),
