@@ -8,11 +8,17 @@ smallest loss, the logistic loss of each bit's margin weighted by how reliable
 that bit was on held-out rows; the softmax over the losses is the confidence,
 and a small lead over the second codeword flags the text as ambiguous.
 
-A mixed text is cut where the cut raises the summed codeword score most:
-margins are sums over n-grams, so prefix sums over words give the score of
-every cut of all texts of a batch at once.  A segment is a clause of its own:
-at least ``min_words`` blank-separated words or ``min_chars`` characters of a
-script without blanks; a name in another script is none.
+A mixed text is cut where cuts raise the summed codeword score: margins are
+sums over n-grams, so prefix sums over words give the score of every single cut of
+all texts of a batch at once.  Where more cuts could gain still more, the best
+sequence of languages over the words is found by dynamic programming, each change
+of language costing ``gain``, so a text may have any number of segments.  A
+segment is a clause of its own: at least ``min_words`` blank-separated words or
+``min_chars`` characters of a script without blanks; a name in another script is
+none.
+
+Confidences are calibrated: the losses are divided by the temperature under which
+held-out rows, whole and cut to their first words, are likeliest.
 
 The classifiers are fitted on a bounded sample of labelled rows (``per_language``
 rows of each language at most, chosen by hash of the text over the whole table),
@@ -26,7 +32,7 @@ scored whole, however long; an empty table gives an empty result.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -121,8 +127,8 @@ def _fit(texts: list[str], labels: np.ndarray, code: np.ndarray) -> np.ndarray:
 class Model:
     """Weights of the bit classifiers, reliability of the bits, and the codewords."""
 
-    def __init__(self, weights: np.ndarray, reliability: np.ndarray, code: np.ndarray):
-        self.weights, self.reliability, self.code = weights, reliability, code
+    def __init__(self, weights: np.ndarray, reliability: np.ndarray, code: np.ndarray, temperature: float = 1.0):
+        self.weights, self.reliability, self.code, self.temperature = weights, reliability, code, temperature
 
     def margins(self, b: _Batch) -> np.ndarray:
         """(code points, BITS): each position's share of the margins."""
@@ -137,13 +143,30 @@ class Model:
 
     def decode(self, margin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language index, confidence and lead of summed margins (rows, BITS) over so many positions."""
-        scaled = margin / np.sqrt(np.maximum(length, 1))[:, None]
-        loss = np.stack([(self.reliability * np.logaddexp(0, -self.code[k] * scaled)).sum(1) for k in range(len(self.code))], 1)
-        p = np.exp(-(loss - loss.min(1, keepdims=True)))
-        p /= p.sum(1, keepdims=True)
+        p = self.chances(self.losses(margin, length), self.temperature)
         two = np.sort(p, 1)[:, -2:]
         return p.argmax(1), two[:, 1], two[:, 1] - two[:, 0]
 
+    def losses(self, margin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        scaled = margin / np.sqrt(np.maximum(length, 1))[:, None]
+        return np.stack([(self.reliability * np.logaddexp(0, -self.code[k] * scaled)).sum(1) for k in range(len(self.code))], 1)
+
+    @staticmethod
+    def chances(loss: np.ndarray, temperature: float) -> np.ndarray:
+        p = np.exp(-(loss - loss.min(1, keepdims=True)) / temperature)
+        return p / p.sum(1, keepdims=True)
+
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Summed margins and number of letters of whole texts."""
+        b = _Batch(texts)
+        return np.add.reduceat(self.margins(b), b.start), np.add.reduceat((b.script > 0).astype(np.int64), b.start)
+
+
+def beginnings(text: str) -> list[str]:
+    """A text and its first words (or, of a script without blanks, characters): what short segments look like."""
+    words = text.split()
+    return [text, *(" ".join(words[:k]) for k in (1, 2, 3) if len(words) > k), *(text[:k] for k in (2, 4, 8) if len(words) <= 3 and len(text) > k)]
+
 
 def fit(df: DataFrame, text: str = "title", label: str = "lang", per_language: int = 2000, bits: int = 15) -> Model:
     """A model from a bounded sample of the labelled rows of df."""
@@ -172,9 +195,53 @@ def fit(df: DataFrame, text: str = "title", label: str = "lang", per_language: i
         f = np.add.reduceat(second.margins(bt), bt.start)
         right = (np.sign(f) == code[labels[test]]).mean(0)
         second.reliability = np.clip(2 * right - 1, 0.05, 1) ** 2
+        second.temperature = _temperature(second, [texts[i] for i in test], labels[test])
     return second
 
 
+def _temperature(model: Model, texts: list[str], labels: np.ndarray) -> float:
+    """The temperature under which the labels of the texts and of their beginnings are likeliest."""
+    parts = [(b, l) for t, l in zip(texts, labels) for b in beginnings(t)]
+    margin, length = model.sums([b for b, _ in parts])
+    want, some = np.array([l for _, l in parts]), length > 0
+    loss = model.losses(margin, length)[some]
+    grid = np.geomspace(0.25, 32, 50)
+    return float(min(grid, key=lambda t: -np.log(np.maximum(model.chances(loss, t)[np.arange(some.sum()), want[some]], 1e-12)).sum()))
+
+
+def best_languages(score: np.ndarray, gain: float) -> np.ndarray:
+    """The language of each word that makes the sum of scores (words, languages) less gain per change largest."""
+    best, back = score[0].copy(), []
+    for w in range(1, len(score)):
+        k = int(best.argmax())
+        change = best[k] - gain > best
+        back.append((change, k))
+        best = np.where(change, best[k] - gain, best) + score[w]
+    out = [int(best.argmax())]
+    for change, k in reversed(back):
+        out.append(k if change[out[-1]] else out[-1])
+    return np.array(out[::-1])
+
+
+def runs_of_clauses(score: np.ndarray, clause: Callable[[int, int], bool], gain: float) -> list[int]:
+    """The first words of the segments: runs of best_languages; one that is no clause, or gains too little, joins the neighbour it costs least with."""
+    lang = best_languages(score, gain)
+    total = np.concatenate([np.zeros((1, score.shape[1])), np.cumsum(score, 0)])
+    top = lambda i, j: float((total[j] - total[i]).max())
+    cuts = [0, *(np.flatnonzero(np.diff(lang)) + 1).tolist(), len(score)]
+    while len(cuts) > 2:
+        spans = list(zip(cuts, cuts[1:]))
+        worth = [top(a, b) + top(b, c) - top(a, c) for (a, b), (_, c) in zip(spans, spans[1:])]
+        weak = [k for k, w in enumerate(worth) if w <= gain]
+        short = [k for k, (a, b) in enumerate(spans) if not clause(a, b)]
+        near = {k for s in short for k in (s - 1, s) if 0 <= k < len(worth)}
+        some = weak or sorted(near)
+        if not some:
+            break
+        del cuts[min(some, key=worth.__getitem__) + 1]
+    return cuts[:-1]
+
+
 def segment_batch(model: Model, texts: list[str], min_words: int = 3, min_letters: int = 12, min_chars: int = 5, gain: float = 450.0) -> tuple[np.ndarray, list[list[tuple[str, int, float, bool]]]]:
     """For every text its segments: (text, language index, confidence, ambiguous)."""
     b = _Batch(texts)
@@ -222,27 +289,46 @@ def segment_batch(model: Model, texts: list[str], min_words: int = 3, min_letter
     hit = np.flatnonzero((best == peak[of]) & np.isfinite(best) & (best > gain))
     cut[of[hit][::-1]] = hit[::-1]
 
-    split = cut >= 0
-    edge = np.where(split, np.minimum(cut + 1, len(at) - 1), stop + 1)  # first word of the second segment
-    mid = np.where(split, at[np.minimum(edge, len(at) - 1)], b.end)
+    # texts where further cuts could gain more than this one, by what every word on its own would score
+    loose = np.add.reduceat(score.max(1), begin) - whole.max(1)
+    more = np.flatnonzero(loose > gain + np.maximum(gain, np.where(cut >= 0, peak, 0)))
+    n_before = [np.concatenate([[0], c]) for c in (n_words, n_letters, n_ideo)]
+    firsts: dict[int, list[int]] = {}
+    for t in more.tolist():
+        lo, hi = begin[t], stop[t] + 1
+
+        def is_clause(i: int, j: int) -> bool:
+            w, l, c = (x[lo + j] - x[lo + i] for x in n_before)
+            return bool((w >= min_words and l >= min_letters) or (min_chars <= l < 40 and w >= 2 and hangul[lo]) or c >= min_chars)
+
+        found = runs_of_clauses(score[lo:hi], is_clause, gain)
+        if len(found) > 2:
+            firsts[t] = [int(lo + k) for k in found]
+
+    # spans of words: one or two a text, or as many as were found
+    seg_text, seg_lo, seg_hi = [], [], []
+    for t, (lo, c, hi) in enumerate(zip(begin.tolist(), cut.tolist(), (stop + 1).tolist())):
+        edges = firsts.get(t) or ([lo, c + 1] if c >= 0 and c + 1 < hi else [lo])
+        seg_text += [t] * len(edges)
+        seg_lo += edges
+        seg_hi += [*edges[1:], hi]
+    lo, hi = np.array(seg_lo), np.array(seg_hi)
     run = np.concatenate([np.zeros((1, m.shape[1])), np.cumsum(unit, 0, dtype=np.float64)])
     lettered = np.concatenate([[0], np.cumsum(np.add.reduceat((script[:-1] > 0).astype(np.int64), at))])
-    out: list[list[tuple[str, int, float, bool]]] = []
-    spans = [(b.start, mid), (mid, b.end)]
-    decoded = []
-    for lo, hi in ((begin, edge), (edge, stop + 1)):
-        k = lettered[hi] - lettered[lo]
-        lang, conf, lead = model.decode(run[hi] - run[lo], k)
-        decoded.append((lang.tolist(), conf.tolist(), lead.tolist(), k.tolist()))
-    spans = [(lo.tolist(), hi.tolist()) for lo, hi in spans]
-    for t, text in enumerate(texts):
-        parts = []
-        for (lo, hi), (lang, conf, lead, k) in zip(spans, decoded):
-            if hi[t] > lo[t] and k[t]:
-                parts.append((text[max(0, lo[t] - b.start[t] - 1): hi[t] - b.start[t] - 1].strip(), lang[t], conf[t], lead[t] < 0.2))
-        if len(parts) == 2 and parts[0][1] == parts[1][1]:
-            parts = [(text.strip(), parts[0][1], min(parts[0][2], parts[1][2]), parts[0][3])]
-        out.append(parts)
+    k = lettered[hi] - lettered[lo]
+    lang, conf, lead = (x.tolist() for x in model.decode(run[hi] - run[lo], k))
+    at_end = np.concatenate([at, [b.end[-1]]])
+    out: list[list[tuple[str, int, float, bool]]] = [[] for _ in texts]
+    ends: dict[int, tuple[int, int]] = {}
+    for t, i, j, n, g, c, d in zip(seg_text, at_end[lo].tolist(), at_end[hi].tolist(), k.tolist(), lang, conf, lead):
+        if not n:
+            continue
+        first = b.start[t] + 1
+        if out[t] and out[t][-1][1] == g:  # the same language on either side: one segment
+            i = ends[t][0]
+            c, d = min(c, out[t].pop()[2]), d
+        ends[t] = (i, j)
+        out[t].append((texts[t][max(0, i - first): j - first].strip(), g, c, d < 0.2))
     return cut, out
 
 
