@@ -7,7 +7,7 @@ event and shared token, their union runs over the links event by event in Arrow
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -89,15 +89,19 @@ def representatives(members: DataFrame, groups: DataFrame) -> DataFrame:
     return m.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def _voice(reps: DataFrame) -> Column:
+    return independence_key(F.col("source_domain"), F.col("bloc"), F.col("affiliate") if "affiliate" in reps.columns else None)
+
+
 def independent_counts(reps: DataFrame) -> DataFrame:
-    """(event_id, n_independent, n_unrated, n_originals)."""
-    key = independence_key(F.col("source_domain"), F.col("bloc"))
+    """(event_id, n_independent, n_unrated, n_originals); a column affiliate, where there is one, joins outlets of a group."""
+    key = _voice(reps)
     return reps.groupBy("event_id").agg(F.count_distinct(F.when(F.col("bloc") != "unknown", key)).alias("n_independent"), F.count_distinct(F.when(F.col("bloc") == "unknown", F.col("source_domain"))).alias("n_unrated"), F.count(F.lit(1)).alias("n_originals"))
 
 
 def evidence(reps: DataFrame) -> DataFrame:
     """(event_id, evidence): the strongest voices, one weight per independent one and one for all unrated together, with decreasing coefficients."""
-    rated = reps.where("bloc <> 'unknown'").groupBy("event_id", independence_key(F.col("source_domain"), F.col("bloc")).alias("key")).agg(F.max(tier_weight(F.col("tier"))).alias("w")).select("event_id", "w")
+    rated = reps.where("bloc <> 'unknown'").groupBy("event_id", _voice(reps).alias("key")).agg(F.max(tier_weight(F.col("tier"))).alias("w")).select("event_id", "w")
     unrated = reps.where("bloc = 'unknown'").groupBy("event_id").agg((0.30 * F.max(tier_weight(F.col("tier")))).alias("w"))
     ranked = rated.unionByName(unrated).withColumn("k", F.row_number().over(Window.partitionBy("event_id").orderBy(F.col("w").desc()))).where("k <= 4")
     coefficient = F.element_at(F.array(*map(F.lit, EVIDENCE)), F.col("k"))
@@ -112,12 +116,26 @@ def grade(n: Column, state_only: Column, best_tier: Column) -> tuple[Column, Col
     return g, r
 
 
-def evaluate(members: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """One verdict per event: counts, grade, score, reasons. Further columns of members are ignored."""
+def _named(names: dict[str, str] | None) -> Callable[[Column], Column]:
+    """A column's name from a dict, itself where none is known."""
+    if not names:
+        return lambda c: c
+    known = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+    return lambda c: F.coalesce(F.try_element_at(known, c), c)
+
+
+def evaluate(members: DataFrame, ascii_only: bool = False, affiliates: DataFrame | None = None, bloc_names: dict[str, str] | None = None, tier_names: dict[str, str] | None = None, opposed: tuple[str, str] | None = None) -> DataFrame:
+    """One verdict per event: counts, grade, score, reasons. Further columns of members are ignored.
+
+    affiliates (domain, affiliate): outlets that count as one voice; opposed: two blocs whose joint presence is a reason.
+    """
+    bloc_name, tier_name = _named(bloc_names), _named(tier_names)
     scratch = Scratch(members.sparkSession, "verdicts")
     members = scratch.keep(members.select(*MEMBER), "members")
     groups = scratch.keep(copy_groups(members, ascii_only), "groups")
     reps = scratch.keep(representatives(members, groups), "representatives")
+    if affiliates is not None:
+        reps = reps.join(affiliates.select(F.col("domain").alias("source_domain"), "affiliate"), "source_domain", "left")
     base = members.groupBy("event_id").agg(
         F.max_by("tier", tier_weight(F.col("tier"), 0.0)).alias("top_tier"), F.bool_or("primary_cited").alias("primary_cited"),
         F.count_distinct("lang").alias("n_langs"), F.array_sort(F.collect_set("bloc")).alias("blocs"), F.count(F.lit(1)).alias("n_articles"),
@@ -129,15 +147,20 @@ def evaluate(members: DataFrame, ascii_only: bool = False) -> DataFrame:
     state_only = (F.size(rated) > 0) & ~F.array_contains(rated, "independent")
     g, r = grade(F.col("n_independent"), state_only, F.col("top_tier"))
     score = 50 * F.coalesce("evidence", F.lit(0.0)) + 24 * F.least("n_independent", F.lit(4)) / 4 + F.when(F.col("n_langs") >= 2, 11).otherwise(0) + F.when(F.col("primary_cited"), 7).otherwise(0) + 8 * F.least(F.lit(1.0), F.log1p("hours") / F.log1p(F.lit(72.0)))
-    notes = reps.join(groups.groupBy("event_id", "copy_group").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), ["event_id", "copy_group"]).groupBy("event_id").agg(F.slice(F.array_sort(F.collect_list(F.concat("source_name", F.lit(": "), "kind", F.lit(", counted once")))), 1, 3).alias("notes"))
+    others = members.select("event_id", "id", "source_name").join(groups, ["event_id", "id"]).join(reps.select("event_id", "copy_group", F.col("id").alias("rep"), F.col("source_name").alias("first")), ["event_id", "copy_group"]).where("id <> rep")
+    carried = others.groupBy("event_id", "copy_group", "first", "kind").agg(F.count(F.lit(1)).alias("n"), F.slice(F.array_sort(F.collect_set("source_name")), 1, 3).alias("names"))
+    told = F.when(F.col("kind") == "wire", F.concat("first", F.lit(": text carried by "), F.array_join("names", ", "), F.lit(", counted once"))).otherwise(F.concat("first", F.lit(" and others: figures of one release, counted once")))
+    notes = carried.groupBy("event_id").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), told.alias("note")))), 1, 3), lambda x: x["note"]).alias("notes"))
     e = e.join(notes, "event_id", "left").withColumns({"grade": g, "d_reason": r, "score": F.bround(F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)), 1), "state_only": state_only})
+    states = F.filter(rated, lambda b: b != "independent")
     reasons = F.array_compact(F.array(
-        F.when(F.col("n_independent") == 0, "only unrated outlets").when(F.col("n_independent") == 1, "one independent voice").otherwise(F.concat("n_independent", F.lit(" independent voices"))),
-        F.concat(F.lit("best tier "), "top_tier"),
+        F.when(F.col("n_independent") == 0, "only unrated outlets").when((F.col("n_independent") == 1) & (F.size(rated) == 1) & (F.size(states) == 1), F.concat(bloc_name(F.get(states, F.lit(0))), F.lit(" alone"))).when(F.col("n_independent") == 1, "one independent voice").otherwise(F.concat("n_independent", F.lit(" independent voices"))),
+        F.concat(F.lit("best tier "), tier_name(F.col("top_tier"))),
         F.when(F.col("n_langs") >= 2, F.concat("n_langs", F.lit(" languages"))),
+        F.when(F.array_contains("blocs", opposed[0]) & F.array_contains("blocs", opposed[1]), F.concat(bloc_name(F.lit(opposed[0])), F.lit(" and "), bloc_name(F.lit(opposed[1])), F.lit(" both report it"))) if opposed else F.lit(None).cast("string"),
         F.when(F.col("primary_cited"), "official statement cited"),
     ))
-    late = F.array_compact(F.array(F.when(F.col("n_unrated") > 0, F.concat("n_unrated", F.lit(" unrated outlets more"))), F.when(F.col("state_only"), "no voice outside the states")))
+    late = F.array_compact(F.array(F.when(F.col("n_unrated") > 0, F.concat("n_unrated", F.lit(" unrated outlets more"))), F.when(F.col("state_only"), F.concat(F.lit("only announced by "), F.array_join(F.transform(states, bloc_name), ", ")))))
     return e.select("event_id", "grade", "d_reason", "score", "n_independent", "n_unrated", "n_originals", "n_articles", "n_domains", "blocs", "top_tier", "primary_cited", F.concat(reasons, F.coalesce("notes", F.array().cast("array<string>")), late).alias("reasons"))
 
 

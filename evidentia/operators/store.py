@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidentia.scratch import Scratch
+
 # Fixed value: days of the rolling window.
 WINDOW_DAYS = 14
 
 
 def upsert(previous: DataFrame, current: DataFrame, id: str = "id", n: str = "n_articles", keep: tuple[str, ...] = ("credibility",)) -> DataFrame:
-    """Current rows over previous ones; where the old row counted more articles, the columns `keep` stay the old ones."""
+    """Current rows in place of previous ones, nulls included; where the old row counted more articles (n may be a field of a struct), the columns `keep` stay the old ones."""
     p, c = previous.alias("p"), current.alias("c")
-    old = F.col(f"p.{n}") > F.col(f"c.{n}")
-    cols = [F.when(F.col(f"c.{id}").isNull(), F.col(f"p.{x}")).when(old, F.col(f"p.{x}")).otherwise(F.col(f"c.{x}")).alias(x) if x in keep else F.coalesce(F.col(f"c.{x}"), F.col(f"p.{x}")).alias(x) for x in current.columns]
+    gone, old = F.col(f"c.{id}").isNull(), F.col(f"p.{n}") > F.col(f"c.{n}")
+    cols = [F.when(gone | old if x in keep else gone, F.col(f"p.{x}")).otherwise(F.col(f"c.{x}")).alias(x) for x in current.columns]
     return p.join(c, F.col(f"p.{id}") == F.col(f"c.{id}"), "full_outer").select(*cols)
 
 
@@ -36,9 +38,35 @@ def by_month(events: DataFrame, at: str = "first_seen") -> DataFrame:
     return events.withColumn("month", F.date_format(at, "yyyy-MM"))
 
 
-def write_archive(events: DataFrame, path: str, at: str = "first_seen") -> None:
-    """The months of these events, each replaced as a whole."""
-    by_month(events, at).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+def upsert_months(held: DataFrame, events: DataFrame, id: str = "id", members: str = "articles", blocked: list[str] | None = None) -> DataFrame:
+    """The months of events, month by month: what is held of them and the events over it, without blocked ones.
+
+    held and events have the same columns, month among them. A held event goes only if an event of its month has its id,
+    or one of its articles, or if it has none.
+    """
+    mine = events.select("month", F.col(id).alias("_id")).distinct()
+    arts = events.select("month", F.explode(members).alias("_a")).distinct()
+    kept = held.join(events.select("month").distinct(), "month", "left_semi").where(F.size(members) > 0)
+    kept = kept.join(mine, (kept["month"] == mine["month"]) & (kept[id] == mine["_id"]), "left_anti")
+    ghosts = kept.select("month", id, F.explode(members).alias("_a")).join(arts, ["month", "_a"], "left_semi").select("month", id).distinct()
+    out = events.unionByName(kept.join(ghosts, ["month", id], "left_anti").select(*events.columns))
+    return out.where(~F.col(id).isin(blocked)) if blocked else out
+
+
+def write_archive(events: DataFrame, path: str, at: str = "first_seen", id: str = "id", members: str = "articles", blocked: list[str] | None = None) -> list[str]:
+    """Events merged into the archive's months; other months are not touched. An article in two events of a month is an error. Returns the months written."""
+    spark, scratch = events.sparkSession, Scratch(events.sparkSession, "archive")
+    new = by_month(events, at)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = new.limit(0)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        held = spark.read.schema(new.schema).parquet(path).select(*new.columns)
+    merged = scratch.keep(upsert_months(held, new, id, members, blocked), "merged")  # what is overwritten below is read here
+    clash = merged.select("month", id, F.explode(members).alias("_a")).groupBy("month", "_a").agg(F.min(id).alias("lo"), F.max(id).alias("hi")).where("lo <> hi").limit(1).collect()
+    if clash:
+        raise RuntimeError(f"article {clash[0]['_a']} is in two events of {clash[0]['month']}")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    return sorted(r["month"] for r in merged.select("month").distinct().collect())  # one value per month
 
 
 def fingerprint(df: DataFrame, volatile: tuple[str, ...] = ()) -> DataFrame:

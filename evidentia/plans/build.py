@@ -37,6 +37,8 @@ class Policy:
     syndicators: list[str] = field(default_factory=list)
     noise: list[str] = field(default_factory=list)
     stop_words: list[str] | None = None
+    affiliates: DataFrame | None = None  # domain, affiliate: outlets of one group count as one voice
+    blocked: tuple[str, ...] = ()  # ids of events taken down
 
 
 def articles_of(entries: DataFrame, feeds: DataFrame, policy: Policy, now: Column) -> tuple[DataFrame, DataFrame]:
@@ -57,14 +59,20 @@ def events_of(spark: SparkSession, articles: DataFrame, policy: Policy) -> DataF
     articles = scratch.keep(articles.withColumn("ord", F.col("entry_ord")), "articles")
     groups = cluster_articles(spark, articles.select("id", "title", "summary", "lang", "published"), policy.entities, policy.anchors, policy.stop_words)
     members = scratch.keep(articles.join(groups, "id"), "members")
-    out = C.assemble(members).join(C.evaluate(members).drop("n_domains"), "event_id").join(C.pick_headline(members), "event_id")
+    verdict = C.evaluate(members, affiliates=policy.affiliates)
+    verdict = verdict.select("event_id", F.struct(*(c for c in verdict.columns if c != "event_id")).alias("credibility"))
+    out = C.assemble(members).join(verdict, "event_id").join(C.pick_headline(members), "event_id")
     return out.drop("event_id")
 
 
+def whole_store(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """Current events over previous ones, of whatever age; a verdict over more articles stays."""
+    return ST.drop_ghosts(ST.upsert(previous, current, n="credibility.n_articles"), current)
+
+
 def merged_store(previous: DataFrame, current: DataFrame, now: Column, blocked: list[str] | None = None) -> DataFrame:
     """The rolling store after this build; an article in two events is an error."""
-    merged = ST.drop_ghosts(ST.upsert(previous, current, keep=("grade", "d_reason", "score", "reasons")), current)
-    return ST.prune(merged, now, blocked=blocked)
+    return ST.prune(whole_store(previous, current), now, blocked=blocked)
 
 
 def run_build(spark: SparkSession, entries: DataFrame, feeds: DataFrame, reports: DataFrame, policy: Policy, now: Column, store: str) -> dict:
@@ -75,15 +83,16 @@ def run_build(spark: SparkSession, entries: DataFrame, feeds: DataFrame, reports
     path = f"{store}/events"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     held = spark.read.parquet(path) if jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path) else current.limit(0)
-    events = Scratch(spark, "build").keep(merged_store(held, current, now), "merged")
+    whole = Scratch(spark, "build").keep(whole_store(held, current), "whole")
+    events = Scratch(spark, "build").keep(ST.prune(whole, now, blocked=list(policy.blocked)), "merged")
     clash = ST.shared_articles(events).limit(1).count()
     if clash:
         raise RuntimeError("an article is in two events")
     written = ST.write_if_changed(events, path)
-    ST.write_archive(events, f"{store}/archive")
+    months = ST.write_archive(whole, f"{store}/archive", blocked=list(policy.blocked))
     health = H.feed_health(reports, articles.select("feed_id"), now)
     ST.write_if_changed(health, f"{store}/feeds", ("newest", "n_entries", "n_adopted"))
-    figures = {"events": events.count(), "articles": articles.count(), "written": written, "dropped": {r["drop_reason"]: r["n"] for r in dropped.collect()}, "grades": {r["grade"]: r["count"] for r in events.groupBy("grade").count().collect()}}
+    figures = {"events": events.count(), "articles": articles.count(), "written": written, "dropped": {r["drop_reason"]: r["n"] for r in dropped.collect()}, "grades": {r["grade"]: r["count"] for r in events.groupBy("credibility.grade").count().collect()}, "months": months}
     return figures | {"fatal": H.health_report(health).first()["fatal"]}
 
 

@@ -33,12 +33,35 @@ def test_build_twice(spark, tmp_path):
     assert first["dropped"] == {"no_title": 1} and not first["fatal"] and first["written"]
     events = spark.read.parquet(store + "/events")
     drill = events.where(F.size("articles") > 1).collect()
-    assert len(drill) == 1 and drill[0].n_articles == len(drill[0].articles) >= 2 and drill[0].headline_source == "Alpha"
+    assert len(drill) == 1 and drill[0].credibility.n_articles == len(drill[0].articles) >= 2 and drill[0].headline_source == "Alpha"
     assert events.count() == first["events"] == 9
     again = B.run_build(spark, df, feeds, reports, policy, now, store)
     assert not again["written"] and again["events"] == 9
 
 
+def test_builds_far_apart_lose_no_archived_event(spark, tmp_path):
+    """A build 20 days later: the first one's events leave the window but stay in the archive of their month."""
+    feeds = spark.createDataFrame([("nat", "native", "en", "alpha.test", False)], FEED)
+    outlets = spark.createDataFrame([("alpha.test", "T1", "independent", "Alpha", None)], OUTLET)
+    reports = spark.createDataFrame([("nat", "ok", 9, T0, True)], REPORT)
+    policy = B.Policy(outlets, {"drill": ["drill"]}, ["drill"])
+    store = str(tmp_path)
+    early = [("nat", k, t, "", f"https://alpha.test/{k}", None, None, dt.datetime(2026, 1, 3)) for k, t in enumerate(["budget vote in parliament fails", "bridge opens after long repair"])]
+    late = [("nat", 9, "museum returns old paintings to owners", "", "https://alpha.test/9", None, None, dt.datetime(2026, 1, 24))]
+    B.run_build(spark, spark.createDataFrame(early, ENTRY), feeds, reports, policy, F.lit(dt.datetime(2026, 1, 4)), store)
+    second = B.run_build(spark, spark.createDataFrame(late, ENTRY), feeds, reports, policy, F.lit(dt.datetime(2026, 1, 24)), store)
+    assert second["events"] == 1 and second["months"] == ["2026-01"]
+    assert spark.read.parquet(store + "/archive").count() == 3
+
+
+def test_a_shallow_build_keeps_the_deeper_verdict(spark):
+    v = "id string, last_seen timestamp, articles array<string>, credibility struct<grade:string, n_articles:int>"
+    one = lambda g, n, a: spark.createDataFrame([("e", T0, a, (g, n))], v)
+    store = B.whole_store(one("A", 3, ["1", "2", "3"]), one("B", 2, ["1", "2"]))
+    store = B.whole_store(store, one("C", 1, ["1"]))
+    assert [(r.articles, tuple(r.credibility)) for r in store.collect()] == [(["1"], ("A", 3))]
+
+
 def test_bulletins(spark):
     held = spark.createDataFrame([(dt.date(2026, 1, 1), 1, 1, 1, 0, 0, True)], "date date, aircraft int, navy_ships int, official_ships int, balloons int, crossed_median int, parse_ok boolean")
     page = lambda d, t: (f"PLA Activities 2026.1.{d} {t}",)

@@ -5,6 +5,7 @@ import itertools
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from evidentia.operators import health as H
@@ -28,14 +29,27 @@ def test_upsert_and_ghosts(spark):
 
 
 def test_write_if_changed_and_archive(spark, tmp_path):
-    df = spark.createDataFrame([("a", 1, T0), ("b", 2, dt.datetime(2026, 2, 1))], "id string, updated int, first_seen timestamp")
+    df = spark.createDataFrame([("a", 1, T0, ["1"]), ("b", 2, dt.datetime(2026, 2, 1), ["2"])], "id string, updated int, first_seen timestamp, articles array<string>")
     p = str(tmp_path / "t")
     assert ST.write_if_changed(df, p, ("updated",)) and not ST.write_if_changed(df.withColumn("updated", F.lit(9)).repartition(3), p, ("updated",))
     assert ST.write_if_changed(df.where("id = 'a'"), p, ("updated",))
     a = str(tmp_path / "archive")
-    ST.write_archive(df, a)
-    ST.write_archive(df.where("id = 'b'").withColumn("id", F.lit("c")), a)
-    assert {r.id for r in spark.read.parquet(a).collect()} == {"a", "c"} and S.read_month(spark, a, "2026-02").first().id == "c"
+    feb = lambda id, arts: spark.createDataFrame([(id, 3, dt.datetime(2026, 2, 3), arts)], df.schema)
+    assert ST.write_archive(df, a) == ["2026-01", "2026-02"]
+    assert ST.write_archive(feb("c", ["5"]), a) == ["2026-02"]
+    assert {r.id for r in spark.read.parquet(a).collect()} == {"a", "b", "c"}
+    ST.write_archive(feb("d", ["2", "6"]), a)  # shares an article with b
+    assert sorted(r.id for r in S.read_month(spark, a, "2026-02").collect()) == ["c", "d"]
+    ST.write_archive(feb("d", None), a, blocked=["c"])  # nulls replace as well
+    assert [(r.id, r.articles) for r in S.read_month(spark, a, "2026-02").collect()] == [("d", None)]
+    with pytest.raises(RuntimeError):
+        ST.write_archive(feb("e", ["7"]).unionByName(feb("f", ["7"])), a)
+
+
+def test_upsert_takes_nulls(spark):
+    old = spark.createDataFrame([("a", 1, "old", ["1"])], E)
+    new = spark.createDataFrame([("a", 2, None, None)], E)
+    assert [tuple(r) for r in ST.upsert(old, new).collect()] == [("a", 2, None, None)]
 
 
 def brute(rows):
