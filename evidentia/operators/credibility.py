@@ -1,19 +1,19 @@
 """Evidence of events: copies collapsed, independent voices counted, graded, scored, explained.
 
 Input is one row per (event_id, article): id, title, lang, published, source_domain, source_name, tier, bloc,
-primary_cited, ord.  All steps are grouped aggregations; the links between copies are an equi-join on
-event and shared token, their union runs over the links event by event in Arrow tasks.
+primary_cited, ord.  All steps are grouped aggregations and equi-joins; copies become groups by label propagation, so
+no task holds an event.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidentia.functions.text import containment, numbers_conflict, sha1_nul, title_numbers, title_text, title_tokens
+from evidentia.operators.linkage import link_groups
 from evidentia.operators.policy import independence_key, tier_weight
 from evidentia.scratch import Scratch
 
@@ -23,63 +23,59 @@ EVIDENCE = (1.0, 0.6, 0.35, 0.2)
 TALLY = "(?i)sortie|aircraft|warplane|ships?|vessels?|架次|機艦|机舰|軍機|军机|共機|共机|艦艇|舰艇|共艦|共舰|군용기|함정|항공기|척"
 
 
+#: Stands between an event and a member where they name one node.
+_OF = "\x1f"
 MEMBER = ("event_id", "id", "ord", "title", "lang", "published", "source_domain", "source_name", "tier", "bloc", "primary_cited")
 
 
 def copy_edges(members: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """(event_id, a, b, kind): members (a.ord < b.ord) that carry one text (wire) or one release (release)."""
-    m = members.withColumn("_text", title_text(F.col("title"), ascii_only)).select("event_id", "id", "ord", "lang", "title", title_numbers("title").alias("nums"), title_tokens(F.col("_text"), F.col("lang")).alias("toks"), F.col("title").rlike(TALLY).alias("tally"))
-    m = Scratch(members.sparkSession, "copies").keep(m, "tokens")  # taken apart once, joined four times
-    keys = F.array_union(F.transform("toks", lambda t: F.concat(F.lit("t"), F.col("lang"), F.lit(":"), t)), F.when(F.col("tally"), F.transform(F.filter("nums", lambda n: n >= TALLY_MIN_NUMBER), lambda n: F.concat(F.lit("n:"), n.cast("string")))).otherwise(F.array().cast("array<string>")))
-    k = m.select("event_id", "id", "ord", F.explode(keys).alias("key"))
-    pairs = k.select("event_id", "key", F.col("id").alias("a"), F.col("ord").alias("oa")).join(k.select("event_id", "key", F.col("id").alias("b"), F.col("ord").alias("ob")), ["event_id", "key"]).where("oa < ob").select("event_id", "a", "b").distinct()
-    left, right = (m.select("event_id", F.col("id").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in ("lang", "nums", "toks", "tally"))) for s in ("a", "b"))
-    j = pairs.join(left, ["event_id", "a"]).join(right, ["event_id", "b"])
-    wire = (F.col("a_lang") == F.col("b_lang")) & ~numbers_conflict(F.col("a_nums"), F.col("b_nums")) & (F.least(F.size("a_toks"), F.size("b_toks")) >= COPY_MIN_TOKENS) & (containment(F.col("a_toks"), F.col("b_toks")) >= COPY_CONTAINMENT)
-    shared = F.size(F.filter(F.array_intersect("a_nums", "b_nums"), lambda n: n >= TALLY_MIN_NUMBER))
-    release = F.col("a_tally") & F.col("b_tally") & (shared >= TALLY_MIN_SHARED)
-    return j.select("event_id", "a", "b", F.when(wire, "wire").when(release, "release").alias("kind")).where("kind is not null")
+    """(event_id, a, b, kind): links that join all members of an event that carry one text (wire) or one release (release).
+
+    Equal titles are linked to the first of them, and so are titles that share the same two figures of a tally: both
+    relations hold for all of them at once. Different texts meet by the rarest tokens of the smaller one: of n tokens at
+    least three quarters must be shared, so one of its n - need + 1 rarest is.
+    """
+    scratch = Scratch(members.sparkSession, "copies")
+    m = members.withColumn("_text", title_text(F.col("title"), ascii_only)).select("event_id", "id", "ord", F.coalesce("lang", F.lit("")).alias("lang"), title_numbers("title").alias("nums"), title_tokens(F.col("_text"), F.col("lang")).alias("toks"), F.col("title").rlike(TALLY).alias("tally"))
+    m = m.withColumn("sig", F.md5(F.to_json(F.struct("lang", F.array_sort("toks"), "nums", "tally"))))
+    m = scratch.keep(m, "tokens")  # taken apart once
+    texts = m.groupBy("event_id", "sig").agg(F.min(F.struct("ord", "id"))["id"].alias("key"), F.first("lang").alias("lang"), F.first("nums").alias("nums"), F.first("toks").alias("toks"), F.first("tally").alias("tally"), F.count(F.lit(1)).alias("n"))
+    texts = scratch.keep(texts, "texts")
+    large = lambda nums: F.filter(nums, lambda n: n >= TALLY_MIN_NUMBER)
+    release = F.col("tally") & (F.size(large(F.col("nums"))) >= TALLY_MIN_SHARED)
+    kind = F.when(F.size("toks") >= COPY_MIN_TOKENS, "wire").when(release, "release")
+    equal = m.join(texts.where("n > 1").select("event_id", "sig", F.col("key").alias("a"), kind.alias("kind")), ["event_id", "sig"]).where("id <> a and kind is not null").select("event_id", "a", F.col("id").alias("b"), "kind")
+    # releases: both tell a tally and share two figures
+    figures = F.array_sort(large(F.col("nums")))
+    two = F.flatten(F.transform(figures, lambda x: F.transform(F.filter(figures, lambda y: y > x), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    told = texts.where(release).select("event_id", "key", F.explode(two).alias("two"))
+    first = told.groupBy("event_id", "two").agg(F.min("key").alias("a"))
+    tallies = told.join(first, ["event_id", "two"]).where("a <> key").select("event_id", "a", F.col("key").alias("b"), F.lit("release").alias("kind")).distinct()
+    # one text with edits
+    some = texts.where(F.size("toks") >= COPY_MIN_TOKENS).select("event_id", "key", "lang", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
+    often = some.groupBy("event_id", "lang", "tok").agg(F.count(F.lit(1)).alias("df"))
+    ranked = some.join(often, ["event_id", "lang", "tok"]).where("df > 1").withColumn("rank", F.row_number().over(Window.partitionBy("event_id", "key").orderBy("df", "tok")))
+    # tokens that no other text has cannot meet, but they count among the rarest
+    lone = some.join(often.where("df = 1"), ["event_id", "lang", "tok"]).groupBy("event_id", "key").agg(F.count(F.lit(1)).alias("lone"))
+    ranked = ranked.join(lone, ["event_id", "key"], "left").withColumn("rank", F.col("rank") + F.coalesce("lone", F.lit(0)))
+    head = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * COPY_CONTAINMENT) + 1)
+    small = head.select("event_id", "lang", "tok", F.col("key").alias("s"), F.col("n").alias("ns"))
+    big = ranked.select("event_id", "lang", "tok", F.col("key").alias("g"), F.col("n").alias("ng"))
+    pairs = small.join(big, ["event_id", "lang", "tok"]).where("s <> g and ns <= ng").select("event_id", F.least("s", "g").alias("a"), F.greatest("s", "g").alias("b")).distinct()
+    left, right = (texts.select("event_id", F.col("key").alias(x), F.col("nums").alias(f"{x}_nums"), F.col("toks").alias(f"{x}_toks")) for x in ("a", "b"))
+    close = pairs.join(left, ["event_id", "a"]).join(right, ["event_id", "b"]).where(~numbers_conflict(F.col("a_nums"), F.col("b_nums")) & (containment(F.col("a_toks"), F.col("b_toks")) >= COPY_CONTAINMENT))
+    return equal.unionByName(tallies).unionByName(close.select("event_id", "a", "b", F.lit("wire").alias("kind")))
 
 
 def copy_groups(members: DataFrame, ascii_only: bool = False) -> DataFrame:
     """(event_id, id, copy_group, kind): the group's smallest id; kind wire if any link of the group is, else release, null alone."""
-    edges = copy_edges(members, ascii_only)
-    kind = members.schema["event_id"].dataType.simpleString()
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = edges.select("event_id", "a", "b", "kind").repartition(n, "event_id").sortWithinPartitions("event_id")
-
-    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The links of one event after the other; what is held is the event's linked members, not its links."""
-        event, parent, wire = None, {}, set()
-
-        def find(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        def done(like: pa.RecordBatch) -> pa.RecordBatch:
-            top = {find(x) for x in wire}
-            ids = list(parent)
-            cols = [pa.array([event] * len(ids), like.schema.field(0).type), pa.array(ids, pa.string()), pa.array([find(x) for x in ids], pa.string()), pa.array(["wire" if find(x) in top else "release" for x in ids], pa.string())]
-            return pa.RecordBatch.from_arrays(cols, names=["event_id", "id", "copy_group", "kind"])
-
-        rb = None
-        for rb in batches:
-            for e, a, b, k in zip(*(rb.column(c).to_pylist() for c in range(4))):
-                if e != event:
-                    if parent:
-                        yield done(rb)
-                    event, parent, wire = e, {}, set()
-                x, y = sorted((find(a), find(b)))
-                parent[y] = x
-                if k == "wire":
-                    wire.add(a)
-        if parent:
-            yield done(rb)
-
-    linked = ordered.mapInArrow(union, f"event_id {kind}, id string, copy_group string, kind string")
-    return members.select("event_id", "id").join(linked, ["event_id", "id"], "left").select("event_id", "id", F.coalesce("copy_group", "id").alias("copy_group"), "kind")
+    scratch = Scratch(members.sparkSession, "groups")
+    node = lambda id: F.concat(F.col("event_id").cast("string"), F.lit(_OF), F.col(id))
+    edges = scratch.keep(copy_edges(members, ascii_only).select(node("a").alias("a"), node("b").alias("b"), "kind"), "edges")
+    parts = link_groups(members.sparkSession, edges, scratch, "parts")
+    kinds = edges.join(parts.withColumnRenamed("node", "a"), "a").groupBy("component").agg(F.when(F.bool_or(F.col("kind") == "wire"), "wire").otherwise("release").alias("kind"))
+    linked = parts.join(kinds, "component").select("node", F.substring_index("component", _OF, -1).alias("copy_group"), "kind")
+    return members.select("event_id", "id", node("id").alias("node")).join(linked, "node", "left").select("event_id", "id", F.coalesce("copy_group", "id").alias("copy_group"), "kind")
 
 
 def representatives(members: DataFrame, groups: DataFrame) -> DataFrame:
