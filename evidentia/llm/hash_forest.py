@@ -5,19 +5,20 @@ sorted by a hash of the id and the tree.  The first ``DEPTH`` hashes of such an
 order, cut to 24, 20 and 20 bits and written one after the other, are the set's
 label in that tree, so sets whose orders begin alike are neighbours in the
 sorted labels, and all labels under a prefix are one range of them.  A run of
-the forest is a table of (tree, label, row) sorted by them and bucketed by
-(tree, prefix); beside it stand the rows' id sets, bucketed by row, and their
-event ids, bucketed by event.
+the forest is a table of (tree, label, set) sorted by them and bucketed by
+(tree, prefix); beside it stand the accepted rows' id sets, bucketed by set, and
+their event ids, bucketed by event.  All runs together are one table whose buckets
+hold a file of every run.
 
-A batch is labelled and bucketed once; each of its labels meets the range of
-labels with its prefix in every run.  The runs are streamed past the batch, which
+A batch is labelled and bucketed once, as its own run; each of its labels meets the
+range of labels with its prefix in every run.  The runs are streamed past the batch, which
 is the built side of the join; they are never shuffled, sorted or labelled again.
 The prefix is the longest one whose chance to be shared in some tree reaches the
-recall target for every two sets that are alike (``prefix_depth`` widens it from
-``DEPTH`` on).  Two sets that share one id only never meet at a depth of two.
+recall target for every two different sets that are alike (``prefix_depth`` widens
+it from ``DEPTH`` on).  Two sets that share one id only never meet at a depth of two.
 Candidates are verified exactly on their id sets.  Accepted rows become a new
 run; runs are merged with the ones of their size, so there are few of them and a
-row is rewritten a logarithmic number of times.  A forest lives in a folder and
+row is rewritten a logarithmic number of times; labels of sets turned away go then.  A forest lives in a folder and
 is opened again from there: ``Forest.create``, ``Forest.open``, ``append``.
 
 A prefix under which very many different sets of a batch or a run stand is not
@@ -48,7 +49,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import count
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.scratch import Scratch, release
@@ -80,14 +81,18 @@ def prefix_depth(target: float, trees: int = TREES) -> int:
     return depth
 
 
-def labels(ids: Column, trees: int = TREES) -> Column:
-    """An array of (tree, label); a set of one id has one tree, for its like are equal sets."""
+def hashed(ids: Column) -> Column:
+    return F.transform(ids, lambda x: F.xxhash64(x))
+
+
+def labels(hashes: Column, trees: int = TREES) -> Column:
+    """An array of (tree, label) of the hashed ids of a set; a set of one id has one tree, for its like are equal sets."""
     def label(t: Column) -> Column:
-        first = F.slice(F.sort_array(F.transform(F.transform(ids, lambda x: F.xxhash64(x)), lambda x: F.xxhash64(x, t))), 1, DEPTH)
+        first = F.slice(F.sort_array(F.transform(hashes, lambda x: F.xxhash64(x, t))), 1, DEPTH)
         level = lambda k: F.coalesce(F.get(first, F.lit(k)), F.lit(0).cast("bigint"))
         return F.shiftleft(F.shiftright(level(0), 40), 40).bitwiseOR(F.shiftleft(F.shiftrightunsigned(level(1), 44), 20)).bitwiseOR(F.shiftrightunsigned(level(2), 44))
 
-    return F.transform(F.sequence(F.lit(0), F.when(F.size(ids) > 1, trees - 1).otherwise(0)), lambda t: F.struct(t.alias("tree"), label(t).alias("label")))
+    return F.transform(F.sequence(F.lit(0), F.when(F.size(hashes) > 1, trees - 1).otherwise(0)), lambda t: F.struct(t.alias("tree"), label(t).alias("label")))
 
 
 def alike(a: Column, b: Column) -> Column:
@@ -112,7 +117,7 @@ def event_rows(events: DataFrame) -> DataFrame:
 #: The tables of a run: their columns, what they are bucketed by, what they are sorted by.
 TABLES = {
     "labels": ("tree int, prefix bigint, label bigint, key bigint, n int", ["tree", "prefix"], ["tree", "prefix", "label"]),
-    "rows": ("row_id bigint, ids array<string>", ["row_id"], ["row_id"]),
+    "rows": ("key bigint, row_id bigint, ids array<string>", ["key"], ["key"]),
     "events": ("event string, row_id bigint", ["event"], ["event"]),
 }
 
@@ -123,7 +128,7 @@ class Forest:
     def __init__(self, spark: SparkSession, path: str, state: dict):
         self.spark, self.path, self.state = spark, path.rstrip("/"), state
         self.scratch = Scratch(spark, "forest")
-        self._names: dict[tuple[str, str], str] = {}
+        self._names: list[str] = []
         self.depth = prefix_depth(state["target"], state["trees"])
 
     @classmethod
@@ -157,92 +162,108 @@ class Forest:
 
     @property
     def runs(self) -> list[list]:
-        """[name, rows] of every run, largest first."""
+        """[name, rows, crowded prefixes] of every run, oldest first."""
         return self.state["runs"]
 
     def _write(self, kind: str, run: str, df: DataFrame) -> None:
+        """df as one file per bucket in the folder of that run."""
+        _, keys, order = TABLES[kind]
+        n, name, at = self.state["buckets"], f"forest_{uuid.uuid4().hex}", f"{self.path}/{kind}/run={run}"
+        fs, folder = _fs(self.spark, at)
+        fs.delete(folder, True)  # what an unfinished batch left
+        df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*order).format("parquet").option("path", at).saveAsTable(name)
+        self.spark.sql(f"drop table {name}")  # the files stay
+
+    def _read(self, kind: str, runs: list[str], keep_run: bool = False) -> DataFrame:
+        """These runs as one table: a bucket holds a file of every run."""
         ddl, keys, order = TABLES[kind]
-        n, name = self.state["buckets"], f"forest_{uuid.uuid4().hex}"
-        fs, at = _fs(self.spark, f"{self.path}/{kind}-{run}")
-        fs.delete(at, True)  # what an unfinished batch left
-        df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*order).format("parquet").option("path", f"{self.path}/{kind}-{run}").saveAsTable(name)
-        self._names[kind, run] = name
-
-    def _read(self, kind: str, run: str) -> DataFrame:
-        if (kind, run) not in self._names:
-            ddl, keys, order = TABLES[kind]
-            name = self._names[kind, run] = f"forest_{uuid.uuid4().hex}"
-            self.spark.sql(f"create table {name} ({ddl}) using parquet clustered by ({', '.join(keys)}) sorted by ({', '.join(order)}) into {self.state['buckets']} buckets location '{self.path}/{kind}-{run}'")
-        return self.spark.table(self._names[kind, run])
+        name = f"forest_{uuid.uuid4().hex}"
+        self.spark.sql(f"create table {name} ({ddl}, run string) using parquet partitioned by (run) clustered by ({', '.join(keys)}) sorted by ({', '.join(order)}) into {self.state['buckets']} buckets location '{self.path}/{kind}'")
+        self._names.append(name)
+        self.spark.sql(f"alter table {name} add " + " ".join(f"partition (run='{r}')" for r in runs))
+        return self.spark.table(name) if keep_run else self.spark.table(name).drop("run")
 
     def _drop(self, run: str) -> None:
-        for kind in TABLES:
-            if (kind, run) in self._names:
-                self.spark.sql(f"drop table if exists {self._names.pop((kind, run))}")
-            fs, at = _fs(self.spark, f"{self.path}/{kind}-{run}")
-            fs.delete(at, True)
+        for at in (f"crowded/{run}", *(f"{kind}/run={run}" for kind in TABLES)):
+            fs, folder = _fs(self.spark, f"{self.path}/{at}")
+            fs.delete(folder, True)
 
-    def close(self) -> None:
-        """Forget the tables of this session; the folder stays."""
-        for name in self._names.values():
+    def _forget(self) -> None:
+        """Let go of this session's names of tables; the files stay."""
+        for name in self._names:
             self.spark.sql(f"drop table if exists {name}")
         self._names.clear()
+
+    def close(self) -> None:
+        self._forget()
         self.scratch.drop()
 
-    def _add(self, run: str, rows: int, tables: dict[str, DataFrame]) -> None:
+    def _write_all(self, tables: dict[tuple[str, str], DataFrame]) -> int:
+        """Tables by (kind, run), at the same time; returns how many prefixes of the labels among them hold more than `hot` sets."""
         with ThreadPoolExecutor(len(tables)) as pool:
-            list(pool.map(lambda kind: self._write(kind, run, tables[kind]), tables))
-        self.runs.append([run, rows])
+            list(pool.map(lambda at: self._write(*at, tables[at]), tables))
+        n = 0
+        for kind, run in tables:
+            if kind == "labels":  # no shuffle: bucketed by the prefix
+                hot = self._read("labels", [run]).groupBy("tree", "prefix").count().where(F.col("count") > self.state["hot"]).select("tree", "prefix")
+                seen = Observation()
+                hot.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.path}/crowded/{run}")
+                n += seen.get["n"]
+        return n
+
+    def _add(self, run: str, rows: int, n_crowded: int, tables: dict[tuple[str, str], DataFrame]) -> None:
+        """The batch as a run; its labels are written already."""
+        self._write_all(tables)
+        self.runs.append([run, rows, n_crowded])
         gone = []
         if len(self.runs) > self.state["most_runs"]:
             # the last runs together, as far back as none is more than twice what stands behind it
             at = len(self.runs) - 2
-            while at > 0 and self.runs[at - 1][1] <= 2 * sum(n for _, n in self.runs[at:]):
+            while at > 0 and self.runs[at - 1][1] <= 2 * sum(n for _, n, _ in self.runs[at:]):
                 at -= 1
             some = self.runs[at:]
-            name, gone = f"m{self.state['made']}", [r for r, _ in some]
+            name, gone = f"m{self.state['made']}", [r for r, *_ in some]
             self.state["made"] += 1
-            with ThreadPoolExecutor(len(TABLES)) as pool:
-                list(pool.map(lambda kind: self._write(kind, name, _all([self._read(kind, r) for r in gone])), TABLES))
-            self.state["runs"] = [*self.runs[:at], [name, sum(n for _, n in some)]]
+            held = self._read("rows", gone)
+            # labels of sets that were turned away go here
+            n = self._write_all({("labels", name): self._read("labels", gone).join(held.select("key"), "key", "left_semi"), ("rows", name): held, ("events", name): self._read("events", gone)})
+            self.state["runs"] = [*self.runs[:at], [name, sum(n for _, n, _ in some), n]]
         self._commit()
         for r in gone:
             self._drop(r)
 
-    def _links(self, name: str, sets: DataFrame, entries: DataFrame) -> DataFrame:
-        """(old, key_a, key_b) of alike sets; key_a is a row of the index (old), or an earlier set of the batch."""
-        bucket, hot = ["tree", "prefix"], self.state["hot"]
-        own = entries.select(F.col("key").alias("key_b"), F.col("n").alias("n_b"), *bucket)
-        mine = sets.select(F.col("key").alias("key_b"), F.col("ids").alias("ids_b"))
-        sides = [(False, entries, sets.select(F.col("key").alias("key_a"), F.col("ids").alias("ids_a")), F.col("key_a") < F.col("key_b"))]
-        sides += [(True, self._read("labels", r), self._read("rows", r).select(F.col("row_id").alias("key_a"), F.col("ids").alias("ids_a")), F.lit(True)) for r, _ in self.runs]
-        out = []
-        crowds = [e.groupBy(*bucket).count().where(F.col("count") > hot).select(*bucket) for _, e, _, _ in sides]
-        # no shuffle: every side is bucketed by the prefix
-        crowded, n_crowded = self.scratch.keep_counted(_all(crowds).distinct(), f"crowded-{name}")
-        for old, labels_a, data, order in sides:
-            other = labels_a.select(F.col("key").alias("key_a"), F.col("n").alias("n_a"), *bucket)
-            met = own.hint("shuffle_hash") if not n_crowded else own.join(F.broadcast(crowded) if n_crowded < 100_000 else crowded, bucket, "left_anti")
-            pairs = other.join(met, bucket).where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
-            if n_crowded:
-                pairs = pairs.unionByName(self._by_rarest(other.join(crowded, bucket, "left_semi").select("key_a").distinct(), data, own.join(crowded, bucket, "left_semi").select("key_b").distinct(), mine, order))
-            # the batch's pairs are few: they are what is built, the run's rows stream past them
-            seen = data.join(pairs.distinct().hint("shuffle_hash"), "key_a")
-            out.append(seen.join(mine, "key_b").where(alike(F.col("ids_a"), F.col("ids_b"))).select(F.lit(old).alias("old"), "key_a", "key_b"))
-        return self.scratch.keep(_all(out), f"links-{name}")
-
-    def _by_rarest(self, keys_a: DataFrame, data: DataFrame, keys_b: DataFrame, mine: DataFrame, order: Column) -> DataFrame:
-        """Candidates under crowded prefixes, exactly: sets that are alike share one of the n - floor(n / 2) rarest ids of each."""
-        a, b = data.join(keys_a, "key_a"), mine.join(keys_b, "key_b")
+    def _links(self, run: str, n_crowded: int) -> DataFrame:
+        """(old, row_a, key_a, key_b) of alike sets: key_b of the batch, key_a an earlier set of it, or one of the index (old) with its accepted row."""
+        bucket, held = ["tree", "prefix"], [r for r, *_ in self.runs]
+        own = self._read("labels", [run]).select(F.col("key").alias("key_b"), F.col("n").alias("n_b"), *bucket)
+        other = self._read("labels", [*held, run], keep_run=True).select((F.col("run") != run).alias("old"), F.col("key").alias("key_a"), F.col("n").alias("n_a"), *bucket)
+        data = self._read("rows", [*held, f"t{run}"], keep_run=True).select((F.col("run") != f"t{run}").alias("old"), F.col("key").alias("key_a"), F.col("row_id").alias("row_a"), F.col("ids").alias("ids_a"))
+        mine = self._read("rows", [f"t{run}"]).select(F.col("key").alias("key_b"), F.col("ids").alias("ids_b"))
+        order = F.col("old") | (F.col("key_a") < F.col("key_b"))
+        pair = ["old", "key_a", "key_b"]
+        met = own
+        if n_crowded:
+            crowded = self.spark.read.parquet(*(f"{self.path}/crowded/{r}" for r in [*held, run])).distinct()
+            met = own.join(crowded, bucket, "left_anti")
+        pairs = other.join(met.hint("shuffle_hash"), bucket).where(order & _size_fits("n_a", "n_b")).select(*pair)
+        if n_crowded:
+            pairs = pairs.unionByName(self._by_rarest(data.join(other.join(crowded, bucket, "left_semi").select("old", "key_a").distinct(), ["old", "key_a"]), mine.join(own.join(crowded, bucket, "left_semi").select("key_b").distinct(), "key_b"), order))
+        # the batch's pairs are few: they are what is built, the runs' rows stream past them
+        few = pairs.repartition(self.state["buckets"], "key_a").distinct()
+        seen = data.join(few.hint("shuffle_hash"), ["key_a", "old"]).repartition(self.state["buckets"], "key_b")
+        return seen.join(mine, "key_b").where(alike(F.col("ids_a"), F.col("ids_b"))).select("old", "row_a", "key_a", "key_b")
+
+    def _by_rarest(self, a: DataFrame, b: DataFrame, order: Column) -> DataFrame:
+        """Candidates under crowded prefixes, exactly: sets that are alike share one of the n - floor(n / 2) rarest ids of each. a: old, key_a, ids_a; b: key_b, ids_b."""
         both = a.select(F.explode("ids_a").alias("x")).unionAll(b.select(F.explode("ids_b").alias("x")))
         often = both.groupBy("x").count()
 
-        def rarest(df: DataFrame, key: str, ids: str) -> DataFrame:
-            n = f"n_{key[-1]}"
-            each = df.select(key, F.size(ids).alias(n), F.explode(ids).alias("x")).join(often, "x").groupBy(key, n).agg(F.sort_array(F.collect_list(F.struct("count", "x"))).alias("s"))
-            return each.select(key, n, F.explode(F.slice("s", F.lit(1), F.col(n) - F.floor(F.col(n) / 2).cast("int"))).alias("s")).select(key, n, F.col("s.x").alias("x"))
+        def rarest(df: DataFrame, key: list[str], ids: str) -> DataFrame:
+            n = f"n_{ids[-1]}"
+            each = df.select(*key, F.size(ids).alias(n), F.explode(ids).alias("x")).join(often, "x").groupBy(*key, n).agg(F.sort_array(F.collect_list(F.struct("count", "x"))).alias("s"))
+            return each.select(*key, n, F.explode(F.slice("s", F.lit(1), F.col(n) - F.floor(F.col(n) / 2).cast("int"))).alias("s")).select(*key, n, F.col("s.x").alias("x"))
 
-        return rarest(a, "key_a", "ids_a").join(rarest(b, "key_b", "ids_b"), "x").where(order & _size_fits("n_a", "n_b")).select("key_a", "key_b")
+        return rarest(a, ["old", "key_a"], "ids_a").join(rarest(b, ["key_b"], "ids_b"), "x").where(order & _size_fits("n_a", "n_b")).select("old", "key_a", "key_b")
 
     def append(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(accepted, repeats) of one batch of event_rows: row_id; and (row_a, row_b) of every accepted row_a that row_b, turned away, repeats. The accepted rows are then part of the forest."""
@@ -250,50 +271,52 @@ class Forest:
         self.state["made"] += 1
         marked = rows.select("row_id", "event", "ids", F.when(F.size("ids") > 0, F.md5(F.concat_ws("\x1f", "ids"))).alias("s"))
         first = marked.where("s is not null").groupBy("s").agg(F.min("row_id").alias("set"))
-        mine, n_mine = scratch.keep_counted(marked.join(first, "s", "left").select("row_id", "event", F.coalesce("set", -F.col("row_id") - 1).alias("set"), "ids"), f"batch-{b}")
+        head = F.col("set") == F.col("row_id")
+        mine, n_mine = scratch.keep_counted(marked.join(first, "s", "left").select("row_id", "event", F.coalesce("set", -F.col("row_id") - 1).alias("set"), F.when(head, F.col("ids")).alias("ids"), F.when(head, hashed(F.col("ids"))).alias("h")), f"batch-{b}")
         if not self.state["buckets"]:
             self.state["buckets"] = max(self.spark.sparkContext.defaultParallelism, n_mine * self.state["trees"] // 1_000_000)
-        sets = mine.where("set = row_id").select(F.col("set").alias("key"), "ids")
+        sets = mine.where("set = row_id").select(F.col("set").alias("key"), "ids", "h")
         shift = sum(BITS[self.depth:])
-        each = sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("ids"), self.state["trees"])).alias("l"))
-        run = f"new{b}"
-        self._write("labels", run, each.select("l.tree", F.shiftright("l.label", shift).alias("prefix"), "l.label", "key", "n"))
-        entries = self._read("labels", run)
-        links = self._links(b, sets, entries)
+        each = sets.select("key", F.size("ids").alias("n"), F.explode(labels(F.col("h"), self.state["trees"])).alias("l"))
+        n_crowded = self._write_all({
+            ("labels", b): each.select("l.tree", F.shiftright("l.label", shift).alias("prefix"), "l.label", "key", "n"),
+            ("rows", f"t{b}"): sets.select("key", F.col("key").alias("row_id"), "ids"),
+        })
+        links = scratch.keep(self._links(b, n_crowded + sum(k for _, _, k in self.runs)), f"links-{b}")
         edge = links.where("not old").select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
         both = edge.unionByName(edge.select(F.col("b").alias("a"), F.col("a").alias("b")))
         plain = mine.select("row_id", "event", "set")
-        found = []
-        open_ = plain
+        found, open_ = [], plain
         if self.runs:
-            by_set = links.where("old").select(F.col("key_a").alias("row_a"), F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
-            by_event = [self._read("events", r).select(F.col("row_id").alias("row_a"), "event").join(plain.hint("shuffle_hash"), "event").select("row_a", F.col("row_id").alias("row_b")) for r, _ in self.runs]
-            old = scratch.keep(_all([by_set, *by_event]).distinct(), f"old-{b}")
+            by_set = links.where("old").select("row_a", F.col("key_b").alias("set")).join(plain, "set").select("row_a", F.col("row_id").alias("row_b"))
+            by_event = self._read("events", [r for r, *_ in self.runs]).select(F.col("row_id").alias("row_a"), "event").join(plain.hint("shuffle_hash"), "event").select("row_a", F.col("row_id").alias("row_b"))
+            old = scratch.keep(by_set.unionByName(by_event).distinct(), f"old-{b}")
             found.append(old)
             open_ = plain.join(old.select(F.col("row_b").alias("row_id")).distinct(), "row_id", "left_anti")
-        accepted = self._settle(b, open_, both)
-        a, later = accepted.withColumnRenamed("row_id", "row_a"), plain.withColumnRenamed("row_id", "row_b")
-        same_event = a.select("row_a", "event").join(later.select("row_b", "event"), "event").select("row_a", "row_b")
-        same_set = a.select("row_a", "set").join(later.select("row_b", "set"), "set").select("row_a", "row_b")
-        near_set = a.select("row_a", F.col("set").alias("a")).join(both, "a").select("row_a", F.col("b").alias("set")).join(later.select("row_b", "set"), "set").select("row_a", "row_b")
-        found.append(_all([same_event, same_set, near_set]).where("row_a < row_b").distinct())
+        release(self.spark)
+        accepted, n = self._settle(b, open_, both)
+        # what an accepted row stands for: its event, its set and the sets linked to it; what a row is: its event and its set
+        own = F.explode(F.array(F.struct(F.lit(0).alias("kind"), "event", F.lit(None).cast("bigint").alias("set")), F.struct(F.lit(1).alias("kind"), F.lit("").alias("event"), F.col("set")))).alias("g")
+        group = [F.col("g.kind").alias("kind"), F.col("g.event").alias("event"), F.coalesce("g.set", F.lit(0)).alias("set")]
+        near = accepted.select("row_id", F.col("set").alias("a")).join(both, "a").select("row_id", F.lit(1).alias("kind"), F.lit("").alias("event"), F.col("b").alias("set"))
+        stands = accepted.select("row_id", own).select("row_id", *group).unionByName(near).withColumnRenamed("row_id", "row_a")
+        later = plain.select(F.col("row_id").alias("row_b"), own).select("row_b", *group)
+        found.append(stands.join(later, ["kind", "event", "set"]).where("row_a < row_b").select("row_a", "row_b").distinct())
         repeats = scratch.keep(_all(found), f"repeats-{b}")
-        taken, n = scratch.keep_counted(accepted, f"accepted-{b}")
-        key = taken.select(F.col("set").alias("key"), "row_id")
-        self._add(b, n, {
-            "labels": entries.join(key, "key").select("tree", "prefix", "label", F.col("row_id").alias("key"), "n"),
-            "rows": sets.join(key, "key").select("row_id", "ids"),
-            "events": taken.select("event", "row_id"),
+        self._add(b, n, n_crowded, {
+            ("rows", b): sets.join(accepted.select(F.col("set").alias("key"), "row_id"), "key").select("key", "row_id", "ids"),
+            ("events", b): accepted.select("event", "row_id"),
         })
-        self._drop(run)
-        for name in ("batch", "crowded", "links", "old", *(f"state{k}" for k in range(self._rounds))):
+        self._drop(f"t{b}")
+        self._forget()
+        for name in ("batch", "links", "old"):
             scratch.drop(f"{name}-{b}")
         release(self.spark)
-        return taken.select("row_id"), repeats
+        return accepted.select("row_id"), repeats
 
-    def _settle(self, b: str, open_: DataFrame, both: DataFrame, plain_rounds: int = 4) -> DataFrame:
-        """(row_id, event, set) of the accepted among open rows; both: (a, b) of linked sets, either way."""
-        parts = []
+    def _settle(self, b: str, open_: DataFrame, both: DataFrame, plain_rounds: int = 4) -> tuple[DataFrame, int]:
+        """(row_id, event, set) of the accepted among open rows, and about how many; both: (a, b) of linked sets, either way."""
+        parts, before = [], None
         for k in count():
             least_event = open_.groupBy("event").agg(F.min("row_id").alias("me"))
             least_set = open_.groupBy("set").agg(F.min("row_id").alias("ms"))
@@ -308,7 +331,8 @@ class Forest:
             taken = state.where("taken").drop("taken")
             parts.append(taken)
             if not n:
-                return _all(parts)
+                return _all(parts), before or 0
+            before = n if before is None else before
             gone = taken.select("set").unionByName(both.join(taken.select(F.col("set").alias("a")), "a").select(F.col("b").alias("set"))).distinct()
             open_ = state.where("not taken").drop("taken").join(taken.select("event").distinct(), "event", "left_anti").join(gone, "set", "left_anti")
 

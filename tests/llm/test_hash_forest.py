@@ -74,7 +74,7 @@ def test_depth_widens_to_the_target():
 def test_labels_are_ranges(spark):
     """Equal first ids of an order give equal prefixes, and the prefix is the head of the label."""
     rows = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "b", "d"]), (3, ["q"])], "k int, ids array<string>")
-    got = rows.select("k", H.F.explode(H.labels(H.F.col("ids"))).alias("l")).select("k", "l.*").collect()
+    got = rows.select("k", H.F.explode(H.labels(H.hashed(H.F.col("ids")))).alias("l")).select("k", "l.*").collect()
     assert sum(r.k == 3 for r in got) == 1 and sum(r.k == 1 for r in got) == H.TREES
     of = {(r.k, r.tree): r.label for r in got}
     both = sum(of[1, t] >> 20 == of[2, t] >> 20 for t in range(H.TREES))
@@ -116,8 +116,8 @@ def test_the_run_is_not_shuffled(spark, tmp_path):
     df = spark.createDataFrame([(r, b, e, None if a is None else [(x,) for x in a], 1) for r, b, e, a in rows], SCHEMA)
     forest = H.Forest.create(spark, str(tmp_path / "f"))
     forest.append(H.event_rows(df))
-    run = forest.runs[0][0]
-    a = forest._read("labels", run)
+    forest.append(H.event_rows(df.where("false")))
+    a = forest._read("labels", [r for r, *_ in forest.runs])
     plan = a.join(a.select("tree", "prefix", H.F.col("key").alias("k")).hint("shuffle_hash"), ["tree", "prefix"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "ShuffledHashJoin" in plan
 
