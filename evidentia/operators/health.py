@@ -32,6 +32,48 @@ def health_report(health: DataFrame) -> DataFrame:
     )
 
 
+def report_rows(health: DataFrame) -> DataFrame:
+    """Per feed its name, state and what to say about it. Optional columns: name, error."""
+    has = lambda c, other: F.coalesce(F.col(c).cast("string"), other) if c in health.columns else other
+    n, k = F.coalesce("n_entries", F.lit(0)).cast("string"), F.col("n_adopted").cast("string")
+    note = (
+        F.when(F.col("health") == "error", has("error", F.lit("unknown cause")))
+        .when(F.col("health") == "empty", "no entries")
+        .when(F.col("health") == "stale", F.concat(F.lit("newest entry of "), F.coalesce(F.date_format("newest", "yyyy-MM-dd"), F.lit("?"))))
+        .when(F.col("health") == "no_adopt", F.concat(n, F.lit(" entries, none adopted")))
+        .when(F.col("status") == "not_modified", "unchanged since the last fetch")
+        .otherwise(F.concat(n, F.lit(" entries, "), k, F.lit(" adopted")))
+    )
+    return health.select("feed_id", has("name", F.col("feed_id")).alias("name"), "critical", F.col("health").alias("state"), (F.col("health") != "ok").alias("bad"), F.coalesce("n_entries", F.lit(0)).alias("n_entries"), "n_adopted", note.alias("note"))
+
+
+def fatal_reasons(health: DataFrame) -> DataFrame:
+    """One row: why the run counts as failed, an empty array if it does not."""
+    down, n = F.col("health") != "ok", F.count(F.lit(1))
+    vital = F.count_if("critical")
+    return health.agg(F.array_compact(F.array(
+        F.when((n > 0) & (F.count_if(F.col("health") == "error") == n), "no feed could be fetched"),
+        F.when((vital > 0) & (F.count_if(F.col("critical") & down) == vital), F.concat(F.lit("all critical feeds down: "), vital.cast("string"))),
+        F.when(F.coalesce(F.sum("n_adopted"), F.lit(0)) == 0, "no article adopted"),
+    )).alias("reasons"))
+
+
+def markdown(health: DataFrame, figures: dict | None = None) -> tuple[str, list[str], list[str]]:
+    """(table as text, warnings, reasons to fail) of a run; the feeds are a small table."""
+    rows = report_rows(health).orderBy("feed_id").collect()
+    fatal = fatal_reasons(health).first()["reasons"]
+    lines = ["| feed | critical | state | entries | adopted | note |", "|-|-|-|-|-|-|"]
+    lines += [f"| {r['name']} | {'yes' if r['critical'] else ''} | {r['state']} | {r['n_entries']} | {r['n_adopted']} | {r['note']} |" for r in rows]
+    lines += ["", *(f"{k}: {v}" for k, v in (figures or {}).items()), *(f"FAILED: {x}" for x in fatal)]
+    return "\n".join(lines), [f"{r['name']}: {r['note']}" for r in rows if r["bad"]], fatal
+
+
+def run_figures(articles: DataFrame) -> DataFrame:
+    """One row of a run: articles, outlets of the first tier, and articles per tier."""
+    tiers = articles.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.when(F.col("tier") == "T1", F.col("domain"))).alias("first"))  # a row per tier
+    return tiers.agg(F.sum("n").alias("n_articles"), F.array_sort(F.flatten(F.collect_list("first"))).alias("t1_domains"), F.array_sort(F.collect_list(F.struct("tier", "n"))).alias("tiers"))
+
+
 def status_line(health: Column, name: Column, n: Column) -> Column:
     return F.when(health == "ok", F.concat(name, F.lit(": "), n.cast("string"), F.lit(" articles"))).when(health == "no_adopt", F.concat(name, F.lit(": nothing adopted"))).otherwise(F.concat(name, F.lit(": "), health))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MOST_LABELS = 10_000
+# What a clustering must reach.
+LEAST_F1, MOST_CONTAMINATED, MOST_FRAGMENTS = 0.80, 2, 6
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -63,7 +65,26 @@ def fragmentation(rows: DataFrame, cluster: str = "cluster", label: str = "label
     return rows.groupBy(F.col(label).alias("label")).agg(F.count_distinct(cluster).alias("n_clusters"))
 
 
-def gate(f1: float, contaminated: int, fragments: int, least_f1: float = 0.80, most_contaminated: int = 2, most_fragments: int = 6) -> bool:
+def load_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """A stored set of articles (JSON); what a row lacks gets its default."""
+    df = spark.read.schema("id string, title string, summary string, url string, published timestamp, lang string, source_domain string, source_name string, tier string, bloc string, bias string, hedged boolean, primary_cited boolean").json(path)
+    return df.fillna({"summary": "", "hedged": False, "primary_cited": False})
+
+
+def probe(cases: DataFrame, got: Column, want: str = "want") -> DataFrame:
+    """The cases (input columns and `want`) that come out otherwise, with what they gave."""
+    return cases.withColumn("got", got).where(~F.col("got").eqNullSafe(F.col(want)))
+
+
+def quality_row(rows: DataFrame, cluster: str = "cluster", label: str = "label", gray: DataFrame | None = None) -> DataFrame:
+    """One row: BCubed F1, members out of place, clusters beyond the first of a label, and whether they pass the gate's defaults."""
+    b = bcubed(rows, cluster, label).select("f1")
+    c = contamination(rows, cluster, label, gray).agg(F.coalesce(F.sum("n_other"), F.lit(0)).alias("contaminated"))
+    f = fragmentation(rows, cluster, label).agg(F.coalesce(F.sum(F.col("n_clusters") - 1), F.lit(0)).alias("fragments"))
+    return b.crossJoin(c).crossJoin(f).withColumn("passed", (F.col("f1") >= LEAST_F1) & (F.col("contaminated") <= MOST_CONTAMINATED) & (F.col("fragments") <= MOST_FRAGMENTS))  # three single rows
+
+
+def gate(f1: float, contaminated: int, fragments: int, least_f1: float = LEAST_F1, most_contaminated: int = MOST_CONTAMINATED, most_fragments: int = MOST_FRAGMENTS) -> bool:
     return f1 >= least_f1 and contaminated <= most_contaminated and fragments <= most_fragments
 
 

@@ -645,18 +645,15 @@ def side_top_articles(spark, d):
 
 @query("stream_daily_tumble", "select cast(ts as date) as day, event_type, count(*) as n from events group by 1, 2")
 def stream_daily_tumble(spark, d):
-    import uuid
-
     from evidentia.scratch import Scratch
+    from evidentia.streaming.events import daily, into_store
 
     scratch = Scratch(spark, "stream")
     src = table(spark, d, "events")
     stream = spark.readStream.schema(src.schema).option("pathGlobFilter", "events.parquet").parquet(d).withColumn("at", F.col("ts").cast("timestamp"))
-    counts = stream.groupBy(F.window("at", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    name = f"daily_{uuid.uuid4().hex[:8]}"
-    q = counts.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", scratch.path("ckpt")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name).select(F.to_date("w.start").alias("day"), "event_type", "n")
+    counts = daily(stream, "at", "2 days", F.count(F.lit(1)).alias("n"), by=["event_type"])
+    into_store(counts, lambda batch, _: batch.write.mode("overwrite").parquet(scratch.path("out")), scratch.path("ckpt"), "complete").awaitTermination()
+    return spark.read.schema(counts.schema).parquet(scratch.path("out")).select(F.to_date("w.start").alias("day"), "event_type", "n")
 
 
 @query("stream_dedupe", "select event_type, count(distinct event_id) as n from events group by 1")
@@ -676,7 +673,7 @@ def stream_dedupe(spark, d):
     return spark.read.schema("event_id bigint, event_type string").parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("session_48h", "with g as (select user_id, ts, case when epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts)) >= 6 * 3600000000 then 1 else 0 end as cut from events), s as (select user_id, ts, sum(cut) over (partition by user_id order by ts rows unbounded preceding) no from g) select user_id, min(ts) as start_at, count(*) as n from s group by user_id, no")
+@query("session_48h", "with g as (select user_id, ts, case when epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts)) >= 48 * 3600000000 then 1 else 0 end as cut from events), s as (select user_id, ts, sum(cut) over (partition by user_id order by ts rows unbounded preceding) no from g) select user_id, min(ts) as start_at, count(*) as n from s group by user_id, no")
 def session_48h(spark, d):
     e = table(spark, d, "events")
-    return e.groupBy("user_id", F.session_window(F.col("ts"), "6 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("start_at")).select("user_id", "start_at", "n")
+    return e.groupBy("user_id", F.session_window(F.col("ts"), "48 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("start_at")).select("user_id", "start_at", "n")
