@@ -11,6 +11,7 @@ wording goes on where a headline pattern has many.  Under such a branch every
 place of a message is constant, or a wildcard where tokens differ; the message
 with its wildcards is its template.
 
+A message may differ from its template in one half of it only, and a short one nowhere.
 Every template is classified once, and the verdict goes back to all its records:
 a ``notice`` is constant in nearly all places, holds most of its branch, and has
 been sent by several outlets on several days over weeks.  A headline that several
@@ -66,28 +67,43 @@ SLOT = "|".join(
 # The words of the printers' filler passage.
 PASSAGE = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua"
 _FILLER = rf"(?:\b(?:{PASSAGE.replace(' ', '|')})\b[ ,.]*){{3,}}"
+_LONG_WORDS = [w for w in PASSAGE.split() if len(w) > 3]
 _DENSE = "[\\u3040-\\u30ff\\u3400-\\u9fff\\uac00-\\ud7af\\u0e00-\\u0e7f]"
+_ENDS = " .。!"
 
 
-def message(text: Column, outlet_name: Column, outlet_host: Column) -> Column:
-    """The folded and masked form of a text."""
-    # each step uses the one before once only: nested conditions would repeat it in the generated code
+def _plain(t: Column) -> Column:
+    return F.octet_length(t) == F.length(t)
+
+
+def with_message(df: DataFrame, text: str, name: str, host: str) -> DataFrame:
+    """df with _m: the folded and masked form of its text. A column per step, so that a step's value is looked at before its regex runs, and is computed once."""
     a, b = pairs_1to1(folding())
-    t = F.lower(F.when(text.rlike("[^\\x00-\\x7f]"), F.translate(text, a, b)).otherwise(text))
-    hostname = F.regexp_replace(F.lower(F.trim(outlet_host)), "^www\\.", "")
-    for x in (F.lower(outlet_name), hostname):
-        t = F.replace(t, F.coalesce(F.when(F.length(x) > 2, x), F.lit("\x00")), F.lit("<src>"))
-    t = F.regexp_replace(t, "[0-9]+", "0")
-    t = F.regexp_replace(t, _FILLER, "<filler>")
-    t = F.regexp_replace(t, "(?:[ .。!]*(?:\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})|[–—-] *<src>))+[ .。!]*$|^<src> ?[:|–—-] ?", "")
-    t = F.regexp_replace(t, "(?:[ .。!]*[(]0[)])?[ .。!]*$", "")
-    t = F.regexp_replace(t, "^[(](.*)[)]$", "$1")
-    return F.ltrim(t)
+    t = F.col("_m")
+    hostname = F.regexp_replace(F.lower(F.trim(F.col(host))), "^www\\.", "")
+    out = df.withColumn("_m", F.lower(F.when(F.col(text).rlike("[^\\x00-\\x7f]"), F.translate(F.col(text), a, b)).otherwise(F.col(text))))
+    masked = t
+    for x in (F.lower(F.col(name)), hostname):
+        masked = F.replace(masked, F.coalesce(F.when(F.length(x) > 2, x), F.lit("\x00")), F.lit("<src>"))
+    out = out.withColumn("_m", F.rtrim(F.regexp_replace(masked, "[0-9]+", "0"), F.lit(_ENDS)))
+    some = F.lit(False)
+    for w in _LONG_WORDS:
+        some = some | t.contains(w)
+    steps = [
+        (_plain(t) & some, F.regexp_replace(t, _FILLER, "<filler>")),
+        (t.contains("|") | t.contains("<src>"), F.rtrim(F.regexp_replace(t, "(?:[ .。!]*(?:\\| *(?:<src>|[a-z0-9][^|{}<>]{1,40})|[–—-] *<src>))+$|^<src> ?[:|–—-] ?", ""), F.lit(_ENDS))),
+        (t.endswith("(0)"), F.rtrim(F.left(t, F.length(t) - 3), F.lit(_ENDS))),
+        (t.startswith("(") & t.endswith(")"), F.substring(t, F.lit(2), F.length(t) - 2)),
+    ]
+    for when, value in steps:
+        out = out.withColumn("_m", F.when(when, value).otherwise(t))
+    return out.withColumn("_m", F.ltrim(t))
 
 
 def tokens(m: Column) -> Column:
     """Words, and pieces of three characters of scripts without blanks."""
-    return F.filter(F.split(F.regexp_replace(m, f"({_DENSE}{{1,3}})", " $1 "), " "), lambda x: x != "")
+    pieces = F.trim(F.regexp_replace(F.regexp_replace(m, f"({_DENSE}{{1,3}})", " $1 "), " +", " "))
+    return F.split(F.when(_plain(m), m).otherwise(pieces), " ")
 
 
 def has_slot(text: Column) -> Column:
@@ -101,35 +117,43 @@ def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name
     scratch = Scratch(df.sparkSession, "residue")
     day = F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date"))
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(63)).cast("int"))
-    rows = df.select(message(F.col(text), F.col(name), F.col(host)).alias("_m"), day.alias("day"), bit(F.xxhash64(norm_domain(host))).alias("outlet"), norm_domain(host).isNotNull().alias("named"))
+    rows = with_message(df.select(text, name, host, at), text, name, host).select("_m", day.alias("day"), bit(F.xxhash64(norm_domain(host))).alias("outlet"), norm_domain(host).isNotNull().alias("named"))
     spread = [F.bit_or(F.when(F.col("named"), F.col("outlet"))).alias("outlets"), F.bit_or(bit(F.col("day"))).alias("days"), F.min("day").alias("first"), F.max("day").alias("last")]
     again = [F.bit_or("outlets").alias("outlets"), F.bit_or("days").alias("days"), F.min("first").alias("first"), F.max("last").alias("last")]
     wide = (F.bit_count("outlets") >= min_outlets) & (F.bit_count("days") >= min_days) & (F.col("last") - F.col("first") >= min_span)
-    counted = rows.where("_m <> ''").groupBy("_m").agg(F.count(F.lit(1)).alias("n"), *spread)
-    toks = tokens(F.col("_m"))
-    level = lambda k: F.coalesce(F.get(F.col("t"), F.lit(k)), F.lit(""))
+    counted = rows.groupBy("_m").agg(F.count(F.lit(1)).alias("n"), *spread)
     size = F.size("t")
-    messages = counted.withColumn("t", toks).select("_m", "n", "outlets", "days", "first", "last", F.xxhash64(size, *(level(k) for k in range(DEPTH - 1))).alias("parent"), F.xxhash64(size, *(level(k) for k in range(DEPTH))).alias("node"))
-    messages = scratch.keep(messages, "messages")
+    head = lambda k: F.xxhash64(size, F.concat_ws("\x1f", F.slice("t", 1, k)))
+    messages = counted.withColumn("t", tokens(F.col("_m"))).select("_m", "n", "outlets", "days", "first", "last", size.alias("size"), head(DEPTH - 1).alias("parent"), head(DEPTH).alias("node"))
+    # empty ones are left out only here: pushed further down, the condition would repeat every step of the message in the next
+    messages = scratch.keep(messages, "messages").where("_m <> ''")
     # branches of the tree's last level that hold most of their parent and are spread wide enough to hold a notice
     nodes = messages.groupBy("parent", "node").agg(F.sum("n").alias("in_node"), *again)
     parents = nodes.groupBy("parent").agg(F.sum("in_node").alias("in_parent"))
     followed = nodes.where(wide).join(parents, "parent").where(F.col("in_node") >= branch * F.col("in_parent")).select("node", "in_parent")
-    below = scratch.keep(messages.join(followed, "node").drop("parent"), "below")
+    # of a short message no place may differ, so it is a template of its own; a longer one may, in one half
+    short = F.col("size") * (1 - constant) < 1
+    below = messages.where(~short | wide).join(followed, "node").drop("parent")
+    below = scratch.keep(below.where(~short | (F.col("n") >= branch * F.col("in_parent"))), "below")
+    half = F.floor(F.col("size") / 2).cast("int")
+    halves = below.where(~short).withColumn("t", tokens(F.col("_m"))).select("_m", "node", "n", "in_parent", "t", F.xxhash64("node", F.lit(0), F.slice("t", F.lit(1), half)).alias("h0"), F.xxhash64("node", F.lit(1), F.slice("t", half + 1, size)).alias("h1"))
+    strong = halves.select("n", "in_parent", F.explode(F.array("h0", "h1")).alias("h")).groupBy("h").agg(F.sum("n").alias("k"), F.first("in_parent").alias("in_parent")).where(F.col("k") >= branch * F.col("in_parent")).select("h")
+    framed = halves.select("_m", "node", "n", "in_parent", "t", F.explode(F.array("h0", "h1")).alias("h")).join(strong, "h", "left_semi").drop("h").dropDuplicates(["_m"])
     # places: a token that most of the branch's rows have there is constant, others are wildcards
-    each = below.select("_m", "node", "n", "in_parent", F.posexplode(toks).alias("pos", "token"))
+    each = framed.select("_m", "node", "n", "in_parent", F.posexplode("t").alias("pos", "token"))
     share = each.groupBy("node", "pos", "token").agg((F.sum("n") / F.first("in_parent") >= branch).alias("fixed"))
     placed = each.join(share, ["node", "pos", "token"]).groupBy("_m").agg(F.avg(F.col("fixed").cast("double")).alias("share"), F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("fixed"), F.col("token")).alias("token")))).alias("places"))
     templates = below.join(placed, "_m").withColumn("template", F.xxhash64("node", "places"))
     verdict = templates.groupBy("template").agg(F.sum("n").alias("n"), F.first("in_parent").alias("in_parent"), F.first("share").alias("share"), *again)
     notices = verdict.where(wide & (F.col("share") >= constant) & (F.col("n") >= branch * F.col("in_parent"))).select("template")
+    found = below.where(short).select("_m").unionByName(templates.join(notices, "template", "left_semi").select("_m"))
     # written, so that its size is known and a join with it is a broadcast only while it is small
-    return scratch.keep(templates.join(notices, "template", "left_semi").select("_m", F.lit(True).alias("_notice")), "verdict")
+    return scratch.keep(found.select("_m", F.lit(True).alias("_notice")), "verdict")
 
 
 def flag(df: DataFrame, verdict: DataFrame, text: str = "title", name: str = "source_name", host: str = "source_domain") -> DataFrame:
     """df with the column ``residue``: null for content, else ``notice``, ``slot`` or ``empty``."""
-    rows = df.withColumn("_m", message(F.col(text), F.col(name), F.col(host)))
+    rows = with_message(df, text, name, host)
     kind = F.when(F.col(text).isNull(), None).when(F.col("_m") == "", "empty").when(F.col("_notice"), "notice").when(has_slot(F.col(text)), "slot")
     return rows.join(verdict, "_m", "left").withColumn("residue", kind).select(*(c for c in df.columns if c != "residue"), "residue")
 
