@@ -57,21 +57,18 @@ NUMBERS = {
     "dos": 2, "tres": 3, "cuatro": 4, "cinco": 5, "seis": 6, "siete": 7, "ocho": 8, "nueve": 9, "diez": 10, "once": 11, "doce": 12,
 }
 NUMERALS = {"一": 1, "二": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9, "两": 2, "兩": 2}
-# Filler words that an edit puts in or in another word's place, and labels before or after a headline.
+# Filler words that an edit puts in or in another word's place.
 FILLERS = {"still", "again", "also", "now", "late", "reportedly", "already", "yet", "aussi", "encore", "déjà", "toujours", "también", "ya", "otra", "vez", "aún", "bereits", "auch", "erneut", "nun", "wieder", "noch"}
 CJK_FILLERS = set("再次仍又びさらにまた계속다시또")
-LABEL_HEAD = re.compile(
-    r"\s*(?:[\[【][^\]】]{1,20}[\]】]|(?:update|exclusive|breaking|live|video|watch|exclusif|direct|urgent|mise à jour|vidéo|eil|eilmeldung|exklusiv|última hora|actualizado|urgente|vídeo|exclusiva|更新|独家|獨家|快讯|快訊|视频|速報|独自|動画|단독|속보|업데이트|영상)\s*[:：|\-–—])\s*",
-    re.IGNORECASE,
-)
-LABEL_ENDS = ("sources say", "what we know", "update", "updated", "die lage", "selon des sources", "según fuentes", "laut quellen", "消息人士称", "関係者が明かす", "소식통")
+#: A label before a headline, in brackets. Words of other labels are tokens that one headline has more than the other.
+LABEL_HEAD = re.compile(r"\s*[\[【][^\]】]{1,20}[\]】]\s*")
 #: Letters of a word from which on one of them may be replaced.
 MIN_REPLACED = 6
 _BRACKET_END = re.compile(r"\s*[(（][^()（）]{1,12}[)）]\s*$")
 
 
 def without_labels(text: str) -> str:
-    """A headline without the labels put before or after it."""
+    """A headline without bracketed labels before it, and without what stands in brackets or after a bar at its end."""
     while m := LABEL_HEAD.match(text):
         if m.end() >= len(text):
             break
@@ -82,8 +79,6 @@ def without_labels(text: str) -> str:
             cut = _BRACKET_END.sub("", text)
         elif "|" in text[-20:] or "｜" in text[-20:]:
             cut = text[: max(text.rfind("|"), text.rfind("｜"))]
-        elif (low := text.lower()).endswith(LABEL_ENDS):
-            cut = text[: len(text) - max(len(e) for e in LABEL_ENDS if low.endswith(e))].rstrip(" ,，、:：;；-–—·…")
         else:
             return text
         if not cut.strip() or cut == text:
