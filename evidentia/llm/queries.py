@@ -135,4 +135,15 @@ with recursive m as (select nullif(lower(trim(id_a, ' ' || chr(9))), '') as a, n
 select id, min(x) as group_id from r group by id
 """
 
-ORACLE = {"p2_found": _P2}
+# rows one after the other: the accepted ones so far are the state of the recursion
+_P3 = r"""
+with recursive l as (select row_id, nullif(lower(trim(id, ' ' || chr(9))), '') as event, list_distinct(list_filter(list_transform(coalesce(articles, []), lambda x: nullif(lower(trim(x.id, ' ' || chr(9))), '')), lambda i: i is not null)) as ids from news_event),
+ u as (select row_id, len(ids) as n, unnest(ids) as i from l),
+ s as (select a.row_id as a, b.row_id as b from u a join u b on a.i = b.i and a.row_id < b.row_id group by a.row_id, b.row_id, a.n, b.n having 3 * count(*) > a.n + b.n),
+ r as (select a, b from s union select a.row_id, b.row_id from l a join l b on a.event = b.event and a.row_id < b.row_id),
+ near as (select l.row_id, row_number() over (order by l.row_id) as k, coalesce(g.before, []) as before from l left join (select b, list(a) as before from r group by b) g on g.b = l.row_id),
+ run as (select 0::bigint as k, []::bigint[] as accepted union all select near.k, case when list_has_any(near.before, run.accepted) then run.accepted else list_append(run.accepted, near.row_id) end from run join near on near.k = run.k + 1),
+ ok as (select unnest(accepted) as row_id from run where k = (select max(k) from run))
+"""
+
+ORACLE = {"p2_found": _P2, "p3_found": _P3 + " select a as row_a, b as row_b from r join ok on r.a = ok.row_id where b not in (select row_id from ok)", "p3_accepted": _P3 + " select row_id from ok"}

@@ -1,5 +1,6 @@
 """Batches against the sequential procedure."""
 
+import os
 import random
 
 import pytest
@@ -125,3 +126,16 @@ def test_the_run_is_not_shuffled(spark, tmp_path):
 def test_repeated_rows_count_once(spark):
     rows = make(40, 2)
     assert run(spark, rows + rows[:20]) == brute(rows)
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="no driver tables")
+def test_whole_table_equals_the_sql(spark):
+    """Every row of sf0.01, one after the other in SQL."""
+    import duckdb
+
+    from evidentia.llm import queries as Q
+
+    db = duckdb.connect()
+    db.execute("create view news_event as select * from '/root/testdata/sf0.01/news_event.parquet'")
+    got = {(r.row_a, r.row_b) for r in Q.p3_found(spark, "/root/testdata/sf0.01").collect()}
+    assert got == set(db.execute(Q.ORACLE["p3_found"]).fetchall()) and len(got) > 100

@@ -68,3 +68,37 @@ def test_a_name_is_no_segment_and_empty_cases(spark):
 def test_fit_on_an_empty_table(spark):
     model = L.fit(sample(spark).where("false"))
     assert L.segment_batch(model, ["ships"])[1][0][0][2] <= 1.0
+
+
+def test_three_segments_and_a_language_that_returns(spark):
+    model = L.fit(sample(spark), per_language=50)
+    rng = random.Random(11)
+    mixed = [(a, b, c) for a, b in itertools.permutations(("en", "fr", "de", "ko", "zh"), 2) for c in ("en", "fr", "de") if c != b]
+    texts = [" | ".join(sentence(x, rng) for x in m) for m in mixed]
+    _, parts = L.segment_batch(model, texts)
+    hit = [[L.LANGUAGES[q[1]] for q in p] == list(m) for m, p in zip(mixed, parts)]
+    assert np.mean(hit) >= 0.9
+    for t, p in zip(texts, parts):  # segments stand in the text in order
+        at = -1
+        for seg, *_ in p:
+            at = t.index(seg, at + 1)
+
+
+def test_best_languages_and_runs():
+    score = np.array([[5.0, 0], [5, 0], [0, 4], [0, 5], [5, 0], [4, 0]])
+    assert L.best_languages(score, 3).tolist() == [0, 0, 1, 1, 0, 0] and L.best_languages(score, 20).tolist() == [0] * 6
+    every = lambda i, j: True
+    assert L.runs_of_clauses(score, every, 3) == [0, 2, 4] and L.runs_of_clauses(score, lambda i, j: j - i >= 3, 3) == [0]
+
+
+def test_confidence_is_calibrated(spark):
+    """Of short pieces, which are sometimes wrong, about as many are right as the confidence says."""
+    model = L.fit(sample(spark, 120), per_language=100)
+    rng = random.Random(3)
+    pieces = [(lang, p) for lang in SAY for _ in range(40) for p in L.beginnings(sentence(lang, rng))]
+    margin, length = model.sums([p for _, p in pieces])
+    lang, conf, _ = model.decode(margin, length)
+    right = np.array([L.LANGUAGES[k] == x for k, (x, _) in zip(lang, pieces)])
+    bins = np.minimum((conf * 10).astype(int), 9)
+    error = sum(abs(conf[bins == b].mean() - right[bins == b].mean()) * (bins == b).mean() for b in set(bins.tolist()))
+    assert error < 0.1
