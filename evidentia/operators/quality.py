@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from evidentia.functions.text import strip_furniture, title_numbers
+
 MOST_LABELS = 10_000
 # What a clustering must reach.
 LEAST_F1, MOST_CONTAMINATED, MOST_FRAGMENTS = 0.80, 2, 6
@@ -76,6 +78,18 @@ def probe(cases: DataFrame, got: Column, want: str = "want") -> DataFrame:
     return cases.withColumn("got", got).where(~F.col("got").eqNullSafe(F.col(want)))
 
 
+# Inputs whose outcome is known: figures of a title, and titles that keep their whole text.
+FIGURE_PROBES = [("Tension rises over a drone", []), ("Two days of drills near the strait", [2]), ("Navy tracks 11 ships, 4 aircraft", [4, 11]), ("In 2026, ninety of 15 planes", [15])]
+WHOLE_PROBES = ["Activity near the strait hits three-year low", "Talks between A-B resume", "Tactics near the gray-zone - 17 sorties"]
+
+
+def failed_probes(spark: SparkSession, figures: list = FIGURE_PROBES, whole: list = WHOLE_PROBES) -> list[str]:
+    """What the scalar functions give for the probes, where it is not what it must be."""
+    a = probe(spark.createDataFrame(figures, "title string, want array<int>"), title_numbers("title"))
+    b = probe(spark.createDataFrame([(t, t) for t in whole], "title string, want string"), strip_furniture("title"))
+    return [f"{r['title']}: {r['got']} instead of {r['want']}" for df in (a, b) for r in df.collect()]
+
+
 def quality_row(rows: DataFrame, cluster: str = "cluster", label: str = "label", gray: DataFrame | None = None) -> DataFrame:
     """One row: BCubed F1, members out of place, clusters beyond the first of a label, and whether they pass the gate's defaults."""
     b = bcubed(rows, cluster, label).select("f1")

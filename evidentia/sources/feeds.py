@@ -13,7 +13,7 @@ ENTRY = "title string, summary string, link string, source_href string, source_t
 STATE = "feed_id string, etag string, last_modified string, fetched_at timestamp"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
@@ -29,7 +29,7 @@ def stream_entries(spark: SparkSession, path: str) -> DataFrame:
 
 def read_json(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
     """A JSON store; an empty table where none is. What cannot be parsed is an error."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
