@@ -160,7 +160,7 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: float | None = N
     gap = drawn.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("got")).join(F.broadcast(plan_s), "source").select("source", "cap", ((F.col("plan") - F.col("got")) / salts).alias("gap"))
     free = ((F.col("gap") > 0) & (F.col("copies") < F.col("cap"))) | ((F.col("gap") < 0) & (F.col("copies") > 0))
     near = drawn.join(F.broadcast(gap), "source").withColumn("free", free)
-    run = Window.partitionBy("source", "salt", "free").orderBy("draw", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = Window.partitionBy("source", "salt", "free").orderBy("n_tokens", "draw", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     step = F.when(F.col("free") & (F.sum("n_tokens").over(run) <= F.abs("gap")), F.signum("gap")).otherwise(0)
     mixture = scratch.keep(near.select("doc_id", "source", "language", "topic", "n_tokens", (F.col("copies") + step).cast("int").alias("copies")).where("copies > 0"), "mixture")
     used = mixture.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("used_tokens"), F.max("copies").alias("most_copies"), F.count(F.lit(1)).alias("n_used"))
