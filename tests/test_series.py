@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from evidentia.operators import series as S
-from evidentia.operators.regular_grid import impute_block, missing_days, read_date, regular_grid
+from evidentia.operators.regular_grid import impute_blocks, missing_days, read_date, regular_grid
 
 SCHEMA = "reading_id bigint, series_id string, date string, observed_at timestamp, aircraft int, navy_ships int, official_ships int, parse_ok boolean, value double, block int"
 
@@ -32,7 +32,7 @@ def test_grid_cases(spark):
     got = {(r.series_id, r.field, str(r.on_date)): (r.value, r.state) for r in regular_grid(df).collect()}
     assert got["a", "navy_ships", "2026-01-01"] == (6.0, "observed") and got["a", "official_ships", "2026-01-01"] == (1.0, "observed")
     assert {k[2] for k in got if k[0] == "a"} == {f"2026-01-0{d}" for d in range(1, 6)}
-    assert got["a", "navy_ships", "2026-01-04"][1] == "filled" and got[None, "navy_ships", "2026-01-02"] == (None, "missing")
+    assert got["a", "navy_ships", "2026-01-04"][1] == "median" and got[None, "navy_ships", "2026-01-02"] == (None, "missing")
     missing = {(r.series_id, r.field, r.on_date) for r in missing_days(regular_grid(df)).collect()}
     assert missing == {("a", "navy_ships", f"2026-01-0{d}") for d in (2, 3, 4)} | {("a", "official_ships", "2026-01-02"), ("a", "official_ships", "2026-01-04"), (None, "navy_ships", "2026-01-02"), (None, "official_ships", "2026-01-02")}
 
@@ -53,9 +53,23 @@ def test_imputation_follows_a_cycle():
     y = true.copy()
     gone = np.random.default_rng(1).choice(140, 30, replace=False)
     y[gone] = np.nan
-    filled = impute_block(y)
+    (filled, none), how = impute_blocks([y, np.full(5, np.nan)])
     assert np.abs(filled - true)[gone].mean() < 1.0 and np.array_equal(filled[~np.isnan(y)], y[~np.isnan(y)])
-    assert np.isnan(impute_block(np.full(5, np.nan))).all()
+    assert np.isnan(none).all() and how == ["filled", "missing"]
+    assert impute_blocks([y], rounds=1)[1] == ["unsettled"] and impute_blocks([y[:5]])[1] == ["median" if np.isnan(y[:5]).any() else "filled"]
+
+
+def test_a_stack_gives_what_single_blocks_give():
+    rng = np.random.default_rng(6)
+    ys = []
+    for n in (3, 9, 20, 40, 41, 120, 200):
+        y = 10 + 5 * np.sin(np.arange(n) / 5) + rng.normal(0, 1, n)
+        y[rng.random(n) < 0.2] = np.nan
+        ys.append(y)
+    together, how = impute_blocks(ys)
+    for y, z, h in zip(ys, together, how):
+        (alone,), (k,) = impute_blocks([y])
+        assert h == k and np.allclose(alone, z, equal_nan=True, atol=1e-6)
 
 
 def test_baseline_needs_rows_and_skips_today(spark):
