@@ -77,13 +77,12 @@ def _plain(t: Column) -> Column:
 
 
 def with_message(df: DataFrame, text: str, name: str, host: str) -> DataFrame:
-    """df with _m: the folded and masked form of its text. A column per step, so that a step's value is looked at before its regex runs, and is computed once."""
+    """df with _residue_host, and _m: the folded and masked form of its text. A column per step, so that a step's value is looked at before its regex runs, and is computed once."""
     a, b = pairs_1to1(folding())
     t = F.col("_m")
-    hostname = F.regexp_replace(F.lower(F.trim(F.col(host))), "^www\\.", "")
-    out = df.withColumn("_m", F.lower(F.when(F.col(text).rlike("[^\\x00-\\x7f]"), F.translate(F.col(text), a, b)).otherwise(F.col(text))))
+    out = df.withColumn("_residue_host", norm_domain(host)).withColumn("_m", F.lower(F.when(F.col(text).rlike("[^\\x00-\\x7f]"), F.translate(F.col(text), a, b)).otherwise(F.col(text))))
     masked = t
-    for x in (F.lower(F.col(name)), hostname):
+    for x in (F.lower(F.col(name)), F.col("_residue_host")):
         masked = F.replace(masked, F.coalesce(F.when(F.length(x) > 2, x), F.lit("\x00")), F.lit("<src>"))
     out = out.withColumn("_m", F.rtrim(F.regexp_replace(masked, "[0-9]+", "0"), F.lit(_ENDS)))
     some = F.lit(False)
@@ -117,7 +116,7 @@ def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name
     scratch = Scratch(df.sparkSession, "residue")
     day = F.datediff(F.col(at).cast("date"), F.lit("1970-01-01").cast("date"))
     bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(63)).cast("int"))
-    rows = with_message(df.select(text, name, host, at), text, name, host).select("_m", day.alias("day"), bit(F.xxhash64(norm_domain(host))).alias("outlet"), norm_domain(host).isNotNull().alias("named"))
+    rows = with_message(df.select(text, name, host, at), text, name, host).select("_m", day.alias("day"), bit(F.xxhash64("_residue_host")).alias("outlet"), F.col("_residue_host").isNotNull().alias("named"))
     spread = [F.bit_or(F.when(F.col("named"), F.col("outlet"))).alias("outlets"), F.bit_or(bit(F.col("day"))).alias("days"), F.min("day").alias("first"), F.max("day").alias("last")]
     again = [F.bit_or("outlets").alias("outlets"), F.bit_or("days").alias("days"), F.min("first").alias("first"), F.max("last").alias("last")]
     wide = (F.bit_count("outlets") >= min_outlets) & (F.bit_count("days") >= min_days) & (F.col("last") - F.col("first") >= min_span)
@@ -131,19 +130,21 @@ def notice_messages(df: DataFrame, text: str = "title", name: str = "source_name
     nodes = messages.groupBy("parent", "node").agg(F.sum("n").alias("in_node"), *again)
     parents = nodes.groupBy("parent").agg(F.sum("in_node").alias("in_parent"))
     followed = nodes.where(wide).join(parents, "parent").where(F.col("in_node") >= branch * F.col("in_parent")).select("node", "in_parent")
+    followed = scratch.keep(followed, "followed")  # small as a rule: written, it is sent to the messages, which are not moved
     # of a short message no place may differ, so it is a template of its own; a longer one may, in one half
     short = F.col("size") * (1 - constant) < 1
-    below = messages.where(~short | wide).join(followed, "node").drop("parent")
-    below = scratch.keep(below.where(~short | (F.col("n") >= branch * F.col("in_parent"))), "below")
+    below = messages.where(~short | wide).join(followed, "node").where(~short | (F.col("n") >= branch * F.col("in_parent"))).withColumn("t", F.when(~short, tokens(F.col("_m"))))
     half = F.floor(F.col("size") / 2).cast("int")
-    halves = below.where(~short).withColumn("t", tokens(F.col("_m"))).select("_m", "node", "n", "in_parent", "t", F.xxhash64("node", F.lit(0), F.slice("t", F.lit(1), half)).alias("h0"), F.xxhash64("node", F.lit(1), F.slice("t", half + 1, size)).alias("h1"))
-    strong = halves.select("n", "in_parent", F.explode(F.array("h0", "h1")).alias("h")).groupBy("h").agg(F.sum("n").alias("k"), F.first("in_parent").alias("in_parent")).where(F.col("k") >= branch * F.col("in_parent")).select("h")
-    framed = halves.select("_m", "node", "n", "in_parent", "t", F.explode(F.array("h0", "h1")).alias("h")).join(strong, "h", "left_semi").drop("h").dropDuplicates(["_m"])
+    halves = F.when(~short, F.array(F.xxhash64("node", F.lit(0), F.slice("t", F.lit(1), half)), F.xxhash64("node", F.lit(1), F.slice("t", half + 1, F.col("size")))))
+    below = scratch.keep(below.withColumn("halves", halves).drop("t", "parent"), "below")
+    strong = below.select("n", "in_parent", F.explode("halves").alias("h")).groupBy("h").agg(F.sum("n").alias("k"), F.first("in_parent").alias("in_parent")).where(F.col("k") >= branch * F.col("in_parent")).select("h")
+    strong = scratch.keep(strong, "strong")
+    framed = below.select("_m", "node", "n", "in_parent", F.explode("halves").alias("h")).join(strong, "h", "left_semi").drop("h").dropDuplicates(["_m"]).withColumn("t", tokens(F.col("_m")))
     # places: a token that most of the branch's rows have there is constant, others are wildcards
     each = framed.select("_m", "node", "n", "in_parent", F.posexplode("t").alias("pos", "token"))
     share = each.groupBy("node", "pos", "token").agg((F.sum("n") / F.first("in_parent") >= branch).alias("fixed"))
     placed = each.join(share, ["node", "pos", "token"]).groupBy("_m").agg(F.avg(F.col("fixed").cast("double")).alias("share"), F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("fixed"), F.col("token")).alias("token")))).alias("places"))
-    templates = below.join(placed, "_m").withColumn("template", F.xxhash64("node", "places"))
+    templates = below.drop("halves").join(placed, "_m").withColumn("template", F.xxhash64("node", "places"))
     verdict = templates.groupBy("template").agg(F.sum("n").alias("n"), F.first("in_parent").alias("in_parent"), F.first("share").alias("share"), *again)
     notices = verdict.where(wide & (F.col("share") >= constant) & (F.col("n") >= branch * F.col("in_parent"))).select("template")
     found = below.where(short).select("_m").unionByName(templates.join(notices, "template", "left_semi").select("_m"))
