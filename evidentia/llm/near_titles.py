@@ -14,7 +14,7 @@ similar to it and has occurred within the window has then been linked, or will b
 when it occurs again, so the groups are those of all pairs.
 
 In a block every title becomes a set of tokens (words; single characters of
-scripts without blanks; figures, number words among them), labels and filler
+scripts without blanks; figures, number words among them), bracketed labels and filler
 words left out, sorted rarest first, and the sets are stored in a trie, one per
 stretch as long as the window.  A set is looked up from the nodes of its rare
 tokens downwards, titles with a common beginning being counted together, and a
@@ -38,6 +38,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -406,6 +407,7 @@ def near_pairs(df: DataFrame, text: str = "title", id: str = "id", outlet: str =
         single_part = single_part.unionByName(hot.mapInArrow(spread, schema))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = single_part.select(*names).repartition(n, "outlet", "block", "part").sortWithinPartitions("outlet", "block", "part")
+    ordered = ordered.select(F.xxhash64("outlet", "block", "part").alias("group"), "id", "at", "title", "carried")  # of the block only its change matters
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
@@ -415,12 +417,16 @@ def near_pairs(df: DataFrame, text: str = "title", id: str = "id", outlet: str =
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.string())], names=["a", "b"])
 
         for rb in batches:
-            for i, o, t, s, b, c, p in zip(*(rb.column(k).to_pylist() for k in range(7))):
-                if (o, b, p) != key:
-                    if len(group) > 1:
-                        yield done()
-                    key, group = (o, b, p), []
-                group.append((i, t, s, c))
+            rows = list(zip(*(rb.column(k).to_pylist() for k in range(1, 5))))
+            keys = rb.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(rows)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if hi > lo:
+                    if keys[lo] != key:
+                        if len(group) > 1:
+                            yield done()
+                        key, group = keys[lo], []
+                    group += rows[lo:hi]
         if len(group) > 1:
             yield done()
 
