@@ -69,8 +69,14 @@ def write_archive(events: DataFrame, path: str, at: str = "first_seen", id: str
     return sorted(r["month"] for r in merged.select("month").distinct().collect())  # one value per month
 
 
-def fingerprint(df: DataFrame, volatile: tuple[str, ...] = ()) -> DataFrame:
-    """(n, digest): independent of order, without volatile columns."""
+def _without(fields: tuple[str, ...]):
+    return lambda x: x.dropFields(*fields)
+
+
+def fingerprint(df: DataFrame, volatile: tuple[str, ...] = (), nested: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """(n, digest): independent of order, without volatile columns; nested names volatile fields of the structs in array columns."""
+    for c, fields in (nested or {}).items():
+        df = df.withColumn(c, F.transform(c, _without(fields)))
     cols = sorted(c for c in df.columns if c not in volatile)
     h = F.xxhash64(*(F.to_json(F.struct(c)) for c in cols))
     return df.select(h.alias("h")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("digest"))

@@ -97,12 +97,15 @@ def run_build(spark: SparkSession, entries: DataFrame, feeds: DataFrame, reports
 
 
 def run_bulletins(pages: DataFrame, html: str, held: DataFrame) -> tuple[DataFrame, dict]:
-    """(series with index, baseline and ratio; counts of pages added, skipped and rejected)."""
+    """(series with index, baseline and ratio; counts of pages added, skipped, rejected, failed (nothing fetched), and, where pages tell the date the list gave (listed), mismatched)."""
     parsed = S.parse_bulletin(pages, html)
+    seen = pages.agg(F.count_if(F.col(html).isNull()).alias("failed")).first()
     good = parsed.where("parse_ok")
     new = S.new_records(good, held)
     counts = {"rejected": parsed.where("not parse_ok").count(), "added": new.count()}
     counts["skipped"] = good.count() - counts["added"]
+    counts["failed"] = seen["failed"]
+    counts["mismatched"] = S.bulletin_dates(pages, html).where("date is not null and listed is not null and date <> listed").count() if "listed" in pages.columns else 0
     rows = held.select(*new.columns).unionByName(new)
     series = rows.withColumn("index", S.tension_index(F.col("aircraft"), F.col("navy_ships"), F.col("official_ships")))
     return S.trailing_baseline(series), counts

@@ -9,6 +9,7 @@ from evidentia.functions import text as T
 from evidentia.operators import health as H
 from evidentia.operators import quality as Q
 from evidentia.operators import store as ST
+from evidentia.operators import views as V
 from evidentia.plans.reference_queries import _CL, _HEALTH, _clusters, _health
 from evidentia.scratch import Scratch
 from evidentia.sources.tables import norm_id, table
@@ -109,6 +110,24 @@ def number_conflicts(spark, d):
     return n.withColumn("y", F.lag("x").over(w)).where("y is not null").select("entry_ord", T.numbers_conflict(F.col("x"), F.col("y")).alias("conflict"))
 
 
+@query("event_filter_text", "select row_id from news_event where credibility.grade in ('A', 'B', 'C') and list_contains(langs, 'en') and (contains(lower(headline), 'frigate') or len(list_filter(articles, lambda x: contains(lower(x.title), 'frigate') or contains(lower(x.source_domain), 'frigate'))) > 0)")
+def event_filter_text(spark, d):
+    return V.event_filter(table(spark, d, "news_event"), ["A", "B", "C"], "en", "Frigate", entities="langs").select("row_id")
+
+
+@query("article_output", "select entry_ord, coalesce(case tier when 'T1' then 'wire' when 'TA' then 'analysis' end, tier) as tier_label, coalesce(case bloc when 'independent' then 'free' end, bloc) as bloc_label, list_filter([lang, 'n:' || entry_ord], lambda x: x is not null and not starts_with(x, 'n:')) as entities from article")
+def article_output(spark, d):
+    labels = lambda rows: spark.createDataFrame(rows, "code string, label string")
+    a = table(spark, d, "article").select("entry_ord", "tier", "bloc", F.array_compact(F.array("lang", F.concat(F.lit("n:"), F.col("entry_ord").cast("string")))).alias("signature"))
+    return V.article_output(a, labels([("T1", "wire"), ("TA", "analysis")]), labels([("independent", "free")])).select("entry_ord", "tier_label", "bloc_label", "entities")
+
+
+@query("entity_chips", "select row_id, list_slice(list_distinct_order, 1, 3) as chips from (select row_id, list_reverse(list_reduce(list_concat([[]::varchar[]], list_transform(list_filter(list_transform(coalesce(articles, []), lambda x: x.lang), lambda y: y is not null), lambda y: [y])), lambda acc, v: case when list_contains(acc, v[1]) then acc else list_concat(v, acc) end)) as list_distinct_order from news_event)")
+def entity_chips(spark, d):
+    e = table(spark, d, "news_event").select("row_id", F.transform(F.filter(F.coalesce(F.col("articles.lang"), F.array().cast("array<string>")), lambda x: x.isNotNull()), lambda x: F.array(x)).alias("l"))
+    return e.select("row_id", V.chips(F.col("l"), 3).alias("chips"))
+
+
 # ---------------------------------------------------------------- quality and run reports
 
 @query("quality_gate", f"with {_CL}, j as (select a.vec_id, count(*) filter (a.cluster = b.cluster and a.label = b.label) both_, count(*) filter (a.cluster = b.cluster) c, count(*) filter (a.label = b.label) l from cl a, cl b group by 1), r as (select avg(both_ / c) as p, avg(both_ / l) as q from j), t as (select cluster, label, count(*) n from cl group by 1, 2), m as (select cluster, arg_max(label, (n, label)) majority, sum(n) size from t group by 1), o as (select coalesce(sum(n), 0)::bigint k from t join m using (cluster) where label <> majority and size > 1), f as (select sum(n - 1)::bigint k from (select label, count(distinct cluster) n from cl group by 1)) select round(2 * p * q / (p + q), 9) as f1, o.k as contaminated, f.k as fragments, 2 * p * q / (p + q) >= 0.8 and o.k <= 2 and f.k <= 6 as passed from r, o, f")

@@ -67,5 +67,7 @@ def test_bulletins(spark):
     page = lambda d, t: (f"PLA Activities 2026.1.{d} {t}",)
     pages = spark.createDataFrame([page(1, "3 PLA aircraft were detected by noon"), page(2, "3 PLA aircraft and 2 PLAN ships were detected by noon"), page(3, "were detected by noon")], "html string")
     series, counts = B.run_bulletins(pages, "html", held)
-    assert counts == {"rejected": 1, "added": 1, "skipped": 1}
+    assert counts == {"rejected": 1, "added": 1, "skipped": 1, "failed": 0, "mismatched": 0}
     assert {str(r.date): r["index"] for r in series.collect()} == {"2026-01-01": 4, "2026-01-02": 7}
+    listed = pages.withColumn("listed", F.lit(dt.date(2026, 1, 2))).unionByName(spark.createDataFrame([(None, dt.date(2026, 1, 9))], "html string, listed date"))
+    assert {k: v for k, v in B.run_bulletins(listed, "html", held)[1].items() if k in ("failed", "mismatched")} == {"failed": 1, "mismatched": 2}

@@ -35,8 +35,8 @@ def test_metrics_and_bulletins(spark, tmp_path, capsys):
     assert main(["metrics", c], spark) == 0 and json.loads(capsys.readouterr().out)["f1"] == 1.0
     pages, series = str(tmp_path / "pages"), str(tmp_path / "series")
     spark.createDataFrame([("Activities 2026.1.5 3 PLA aircraft were detected by noon",)], "html string").write.parquet(pages)
-    assert main(["bulletins", pages, series], spark) == 0 and json.loads(capsys.readouterr().out) == {"rejected": 0, "added": 1, "skipped": 0, "written": True}
-    assert main(["bulletins", pages, series], spark) == 0 and json.loads(capsys.readouterr().out) == {"rejected": 0, "added": 0, "skipped": 1, "written": False}
+    assert main(["bulletins", pages, series], spark) == 0 and json.loads(capsys.readouterr().out) == {"rejected": 0, "added": 1, "skipped": 0, "failed": 0, "mismatched": 0, "written": True}
+    assert main(["bulletins", pages, series], spark) == 0 and json.loads(capsys.readouterr().out) == {"rejected": 0, "added": 0, "skipped": 1, "failed": 0, "mismatched": 0, "written": False}
 
 
 def test_feed_report(spark):

@@ -46,6 +46,12 @@ def test_write_if_changed_and_archive(spark, tmp_path):
         ST.write_archive(feb("e", ["7"]).unionByName(feb("f", ["7"])), a)
 
 
+def test_fingerprint_without_nested_fields(spark):
+    df = lambda n: spark.createDataFrame([("a", [("f", n)])], "id string, feeds array<struct<id:string,n:int>>")
+    same = lambda **k: ST.fingerprint(df(1), **k).first() == ST.fingerprint(df(2), **k).first()
+    assert not same() and same(nested={"feeds": ("n",)})
+
+
 def test_upsert_takes_nulls(spark):
     old = spark.createDataFrame([("a", 1, "old", ["1"])], E)
     new = spark.createDataFrame([("a", 2, None, None)], E)
