@@ -83,3 +83,14 @@ def test_no_candidate_is_moved(spark, tmp_path):
         assert moved(spark) - before < 400_000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_candidate_of_terms_is_moved(spark, tmp_path):
+    d = dense_titles(spark, tmp_path, 1500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = moved(spark)
+        Q.terms_cosine_pairs(spark, d).count()
+        assert moved(spark) - before < 1_000_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
