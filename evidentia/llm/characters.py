@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 # Characters without a visible form (joiners, marks of direction, soft hyphen, fillers).
 INVISIBLE = [0x00AD, 0x034F, 0x061C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180E, 0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x202A, 0x202B, 0x202C, 0x202D, 0x202E, 0x2060, 0x2061, 0x2062, 0x2063, 0x2064, 0x2066, 0x2067, 0x2068, 0x2069, 0x206A, 0x206B, 0x206C, 0x206D, 0x206E, 0x206F, 0x3164, 0xFE00, 0xFE01, 0xFE02, 0xFE03, 0xFE04, 0xFE05, 0xFE06, 0xFE07, 0xFE08, 0xFE09, 0xFE0A, 0xFE0B, 0xFE0C, 0xFE0D, 0xFE0E, 0xFE0F, 0xFEFF, 0xFFA0]
@@ -26,7 +27,13 @@ ALIKE = {
 def single() -> dict[int, str]:
     """Code point -> what it becomes on its own ('' if invisible); only those that change. Composed accents and syllables stay composed."""
     out: dict[int, str] = {}
-    for c in range(0x80, 0x110000):
+    changing = []
+    for lo in range(0x80, 0xF0000, 0x80):
+        if not 0xD800 <= lo <= 0xF8FF:
+            block = "".join(map(chr, range(lo, lo + 0x80)))
+            if unicodedata.normalize("NFKC", block) != block:  # of a text in one form every part is
+                changing.append(range(lo, lo + 0x80))
+    for c in chain(*changing):
         if 0xAC00 <= c <= 0xD7A3 or 0xD800 <= c <= 0xDFFF or 0xE000 <= c <= 0xF8FF or c >= 0xF0000:
             continue
         ch = chr(c)

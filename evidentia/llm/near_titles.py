@@ -226,8 +226,8 @@ def same_headline(a: Title, b: Title, share: float = 0.4) -> bool:
 class _Node:
     __slots__ = ("gram", "above", "children", "items", "only", "longest")
 
-    def __init__(self, gram, above: frozenset):
-        self.gram, self.above, self.children, self.items, self.only, self.longest = gram, above, {}, [], None, 0
+    def __init__(self, gram, above: list, only):
+        self.gram, self.above, self.children, self.items, self.only, self.longest = gram, above, None, None, only, 0
 
 
 class Trie:
@@ -237,7 +237,7 @@ class Trie:
     """
 
     def __init__(self, share: float):
-        self.share, self.root, self.at = share, _Node(None, frozenset()), defaultdict(list)
+        self.share, self.root, self.at = share, _Node(None, [], None), defaultdict(list)
         self.needs: dict[int, int] = {}
 
     def need(self, n: int) -> int:
@@ -251,33 +251,42 @@ class Trie:
         """So many of the rarest tokens hold one that a partner shares."""
         return n - self.need(n) + 1
 
-    def add(self, grams: list, item) -> None:
-        node, n, above = self.root, len(grams), frozenset()
-        leaf = (self.need(n), frozenset(grams), item)
-        for d in range(self.prefix(n)):
+    def add(self, grams: list, item, full: set | None = None, skip: int = 0) -> None:
+        """full: the set of grams, if there is one; skip: so many of the first ones are in no other set."""
+        node, n, at = self.root, len(grams), self.at
+        need = self.need(n)
+        leaf = (need, set(grams) if full is None else full, item)
+        if skip > n - need:
+            return  # nothing shares enough with it
+        for d in range(skip, n - need + 1):
             g = grams[d]
-            child = node.children.get(g)
+            children = node.children
+            if children is None:
+                children = node.children = {}
+            child = children.get(g)
             if child is None:
-                child = node.children[g] = _Node(g, above)
-                child.only = leaf
-                self.at[g].append(child)
+                child = children[g] = _Node(g, grams[skip:d], leaf)
+                at[g].append(child)
             else:
                 child.only = None
             node = child
-            above |= {g}
             if node.longest < n - d - 1:
                 node.longest = n - d - 1
-        node.items.append(leaf)
-
-    def find(self, grams: list) -> Iterator:
-        """Items whose sets overlap with grams in the required share of the larger set."""
-        n, have, head = len(grams), set(grams), set()
-        need = self.need(n)
-        for k in range(self.prefix(n)):
-            g, after = grams[k], n - k
-            for start in self.at.get(g, ()):
+        if node.items is None:
+            node.items = [leaf]
+        else:
+            node.items.append(leaf)
+
+    def find(self, grams: list, have: set | None = None, skip: int = 0) -> Iterator:
+        """Items whose sets overlap with grams in the required share of the larger set; have, skip: as full and skip of add."""
+        n, head = len(grams), set()
+        have = set(grams) if have is None else have
+        need, at = self.need(n), self.at
+        for k in range(skip, n - need + 1):
+            g = grams[k]
+            for start in at.get(g, ()):
                 # what stands above in the path and in grams as well would have been met from there
-                if start.longest + 1 < need or after < need or not head.isdisjoint(start.above):
+                if start.longest + 1 < need or start.above and head and not head.isdisjoint(start.above):
                     continue
                 if start.only is not None:
                     least, full, item = start.only
@@ -288,11 +297,11 @@ class Trie:
                 stack = [(start, 1)]
                 while stack:
                     node, o = stack.pop()
-                    for least, full, item in node.items:
+                    for least, full, item in node.items or ():
                         both = len(have & full)
                         if both >= need and both >= least:
                             yield item
-                    for child in node.children.values():
+                    for child in node.children.values() if node.children else ():
                         oc = o + (child.gram in have)
                         if oc + child.longest >= need:
                             if child.only is None:
@@ -329,24 +338,37 @@ def join_block(rows: list[tuple[str, int, str, bool]], window_us: int, share: fl
                 made[x] = Title(x)
         return same_headline(made[a], made[b])
 
+    lone = sum(k == 1 for k in often.values())  # so many come first in order
     order = {g: k for k, g in enumerate(sorted(often, key=lambda g: (often[g], g)))}
+
+    def ranked(t: str) -> tuple[list[str], int]:
+        """A title's tokens, rarest first, and how many of them no other title has."""
+        grams = sorted(sets[t], key=order.__getitem__)
+        k = 0
+        while k < len(grams) and order[grams[k]] < lone:
+            k += 1
+        return grams, k
+
     out = []
     tries: dict[int, tuple[Trie, set[str]]] = {}  # of each stretch the titles that occur in it, once
     latest: dict[str, tuple[int, str, bool]] = {}
+    last = None
     for at, id, t, carried in items:
         slot = at // window_us
-        for s in [s for s in tries if s < slot - 1]:
-            del tries[s]
+        if slot != last:
+            last = slot
+            for s in [s for s in tries if s < slot - 1]:
+                del tries[s]
         before = latest.get(t)
         grams = None
         if before and at - before[0] <= window_us:
             if not (carried and before[2]):
                 out.append((before[1], id))
         else:
-            grams = sorted(sets[t], key=order.__getitem__)
+            grams, skip = ranked(t)
             met = {t}
             for s in (slot - 1, slot):
-                for t2 in tries[s][0].find(grams) if s in tries else ():
+                for t2 in tries[s][0].find(grams, sets[t], skip) if s in tries else ():
                     if t2 not in met:
                         met.add(t2)
                         at2, id2, carried2 = latest[t2]
@@ -358,7 +380,9 @@ def join_block(rows: list[tuple[str, int, str, bool]], window_us: int, share: fl
         trie, held = tries[slot]
         if t not in held:
             held.add(t)
-            trie.add(grams or sorted(sets[t], key=order.__getitem__), t)
+            if grams is None:
+                grams, skip = ranked(t)
+            trie.add(grams, t, sets[t], skip)
     return out
 
 

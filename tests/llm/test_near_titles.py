@@ -2,10 +2,13 @@
 
 import datetime as dt
 import random
+import unicodedata
+from collections import Counter
 
 import pytest
 
 from evidentia.llm import near_titles as N
+from evidentia.llm.characters import ALIKE, BLANK, INVISIBLE, single
 
 BASE = "Fishermen near Zell Reef report 13 survey ships, radio calls went unanswered"
 SAME = ["[Update] " + BASE, BASE + " | Politics", BASE.upper(), BASE.replace(",", " -"), "Radio calls went unanswered – Fishermen near Zell Reef report 13 survey ships", BASE.replace("report", "again"), BASE.replace("Fishermen", "Fishhermen"), BASE.replace("near", ""), BASE.replace("13", "thirteen"), "Exclusive: " + BASE + ", sources say", BASE.replace("s", "ѕ")]
@@ -103,3 +106,25 @@ def test_a_replaced_letter_and_other_scripts():
     assert not same("Crews find a boat near the reef", "Crews find a coat near the reef")
     for t in ("Корабли вышли из порта", "เรือออกจากท่า"):
         assert N.tokens(t)
+
+
+def test_tokens_of_one_title_only_are_no_nodes():
+    """A token that no other title of the block has is neither stored nor looked up, and the items found are the same."""
+    rng = random.Random(5)
+    sets = [{*rng.sample("abcdefghijkl", rng.randint(2, 7)), *(f"lone{k}-{x}" for x in range(rng.randint(0, 2)))} for k in range(300)]
+    often = Counter(g for s in sets for g in s)
+    trie = N.Trie(0.75)
+    grams = [sorted(s, key=lambda g: (often[g], g)) for s in sets]
+    skip = [sum(often[g] == 1 for g in s) for s in sets]
+    for k, s in enumerate(sets):
+        trie.add(grams[k], k, s, skip[k])
+    assert not any(g.startswith("lone") for g in trie.at)
+    for k, s in enumerate(sets):
+        want = {j for j, t in enumerate(sets) if len(s & t) >= max(trie.need(len(s)), trie.need(len(t)))} - {k}
+        assert set(trie.find(grams[k], s, skip[k])) - {k} == want
+
+
+def test_character_table_is_that_of_single_characters():
+    table = single()
+    alone = {c: n for c in range(0x80, 0x30000) if not 0xAC00 <= c <= 0xD7A3 and not 0xD800 <= c <= 0xF8FF for n in [unicodedata.normalize("NFKC", chr(c))] if n != chr(c)}
+    assert alone.keys() <= table.keys() and table.keys() - alone.keys() <= {*BLANK, *INVISIBLE, *map(ord, ALIKE)}
